@@ -17,6 +17,7 @@ from postflow.operators.matching import (
     match_orgs,
     match_terms,
     with_lower,
+    without_lower,
 )
 from postflow.schemas import POST_STORED, conform
 
@@ -55,7 +56,7 @@ def classify_posts(
     recent = has_text(posts.filter(in_publish_window(F.col("pub_time"), as_of)))
     lowered = with_lower(recent, "content")
     clean = drop_spam(lowered, spam_terms(orgs, encoded_spam), limits=limits)
-    matched = match_orgs(clean, org_keywords(orgs), limits=limits)
+    matched = without_lower(match_orgs(clean, org_keywords(orgs), limits=limits))
     return to_stored(matched, as_of, null_url)
 
 

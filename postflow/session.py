@@ -34,6 +34,12 @@ def build_session(
         "spark.sql.session.timeZone": time_zone,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # stream state outside the JVM heap, with small incremental commits
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # posts can be long texts; this bounds the memory of one Arrow batch
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
         "spark.executor.memory": executor_memory,
         "spark.executor.cores": executor_cores,
         "spark.executor.instances": num_executors,

@@ -78,15 +78,35 @@ def windowed_delta(
     late: str = "10 minutes",
     **options,
 ) -> DataFrame:
-    """Sales delta to the preceding window on a stream.
+    """Sales delta to the preceding window on a stream, as one stateful aggregation.
 
-    The events are aggregated a second time with their time moved one window ahead; both aggregates are
-    then joined on the window itself, which carries the watermark a stream-stream outer join needs.
+    Every event counts twice: in its own window as the current value, and one window later as the previous
+    value. A window therefore holds both values when it closes, and neither a stream-stream join nor its
+    state is needed. The moved events run one window ahead, so the watermark waits that much longer and
+    still trails the newest event by ``late``.
     """
-    ahead = events.withColumn(time, F.col(time) + F.expr(f"interval {width}"))
-    current = windowed_last(events, keys=keys, time=time, width=width, late=late, **options)
-    before = windowed_last(ahead, keys=keys, time=time, width=width, late=late, **options)
-    before = before.select("time_window", *keys, F.col("total_sales").alias("prev_total_sales"))
-    joined = current.join(before, ["time_window", *keys], "left")
+    total, price = options.pop("total", "property_sold"), options.pop("price", "property_price")
+    order = F.struct(time, *options.pop("tiebreak", ()))
+    if options:
+        raise TypeError(f"unknown options {sorted(options)}")
+    own = F.col("_ahead") == 0
+    twice = events.withColumn("_ahead", F.explode(F.array(F.lit(0), F.lit(1))))
+    at = F.when(own, F.col(time)).otherwise(F.col(time) + F.expr(f"interval {width}"))
+    windows = (
+        twice.withColumn("_at", at)
+        .withWatermark("_at", f"{late} {width}")
+        .groupBy(F.window("_at", width).alias("time_window"), *keys)
+        .agg(
+            F.max_by(total, F.when(own, order)).alias("total_sales"),
+            F.max_by(price, F.when(own, order)).alias("price"),
+            F.max_by(total, F.when(~own, order)).alias("prev_total_sales"),
+            F.count_if(own).alias("_events"),
+        )
+    )
     quantity = delta(F.col("total_sales"), F.col("prev_total_sales"))
-    return joined.withColumn("quantity", quantity).withColumn("gmv", F.col("quantity") * F.col("price"))
+    return (
+        windows.filter(F.col("_events") > 0)
+        .drop("_events")
+        .withColumn("quantity", quantity)
+        .withColumn("gmv", F.col("quantity") * F.col("price"))
+    )
