@@ -28,7 +28,7 @@ def phrases_from_structs(entries: Column) -> Column:
 def phrases_from_text(text: Column) -> Column:
     """``[{match_phrase={content=A}}, {match_phrase={content=B c}}]`` -> ``['A', 'B c']``."""
     found = F.regexp_extract_all(text, F.lit(PHRASE_TEXT), F.lit(1))
-    return F.filter(F.transform(found, F.trim), lambda t: t != "")
+    return F.filter(F.transform(found, lambda p: F.trim(p)), lambda t: t != "")
 
 
 def bracket_list(text: Column) -> Column:
@@ -38,7 +38,7 @@ def bracket_list(text: Column) -> Column:
 
 def bracket_objects(text: Column) -> Column:
     """``[{..}, {..}]`` -> the trimmed text of each object, split at the inner braces."""
-    return F.transform(F.split(F.regexp_replace(text, r"^\[|\]$", ""), r"\}, \{"), F.trim)
+    return F.transform(F.split(F.regexp_replace(text, r"^\[|\]$", ""), r"\}, \{"), lambda o: F.trim(o))
 
 
 def org_keywords(orgs: DataFrame) -> DataFrame:
