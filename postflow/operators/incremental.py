@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postflow.operators.matching import fits_broadcast
+from postflow.operators.matching import table_size
 from postflow.session import stage
 from postflow.sources.specs import SinkSpec
 from postflow.sources.writers import read_target, write
@@ -100,7 +100,8 @@ def append_missing(
         if keys:
             held = target.select(*keys)
             wanted = incoming.select(*keys)
-            if null_keys == "skip" and fits_broadcast(wanted, KEY_ROWS, KEY_BYTES):
+            rows, size = table_size(wanted)
+            if null_keys == "skip" and rows <= KEY_ROWS and size <= KEY_BYTES:
                 held = held.join(F.broadcast(wanted), list(keys), "left_semi")
             missing = stage(insert_missing(incoming, held, keys, null_keys))
         else:

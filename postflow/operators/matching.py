@@ -93,11 +93,11 @@ def _dictionary(terms: DataFrame, limits: MatchLimits) -> tuple[str, list]:
     return "shuffled", []
 
 
-def _labels_found(spark: SparkSession, labels: dict[str, list[int]]):
+def _labels_found(spark: SparkSession, labels: dict[str, list], kind: str = "int"):
     """Arrow UDF: lower-cased text -> sorted distinct labels of all needles that occur in it."""
     shared = spark.sparkContext.broadcast(labels)
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf(f"array<{kind}>")
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         automaton = ahocorasick.Automaton()
         for needle, found in shared.value.items():
@@ -111,13 +111,19 @@ def _labels_found(spark: SparkSession, labels: dict[str, list[int]]):
     return find
 
 
+def table_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes of the values as text), from one distributed pass."""
+    size = F.lit(0).cast("bigint")
+    for name in df.columns:
+        size = size + F.coalesce(F.octet_length(F.col(name).cast("string")).cast("bigint"), F.lit(0))
+    n, total = df.agg(F.count(F.lit(1)), F.sum(size)).first()
+    return n, total or 0
+
+
 def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
     """Measure a table with one bounded job before it is broadcast."""
-    size = F.lit(0).cast("bigint")
-    for f in df.schema.fields:
-        size = size + F.coalesce(F.octet_length(F.col(f.name).cast("string")).cast("bigint"), F.lit(0))
-    n, total = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(size)).first()
-    return n <= max_rows and (total or 0) <= max_bytes
+    rows, size = table_size(df.limit(max_rows + 1))
+    return rows <= max_rows and size <= max_bytes
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
@@ -308,11 +314,10 @@ def matched_keywords(
     rows = sorted(rows)
     base = with_lower(posts, content)
     if way == "automaton":
-        labels: dict[str, list[int]] = {}
-        for i, r in enumerate(rows):
-            labels.setdefault(r[_NEEDLE], []).append(i)
-        spellings = F.array(*[F.lit(r["keyword"]) for r in rows])
-        found = F.transform(_labels_found(posts.sparkSession, labels)(_LOWER), lambda i: F.get(spellings, i))
+        labels: dict[str, list[str]] = {}
+        for r in rows:
+            labels.setdefault(r[_NEEDLE], []).append(r["keyword"])
+        found = _labels_found(posts.sparkSession, labels, "string")(_LOWER)
     elif rows:
         tests = [F.when(F.col(_LOWER).contains(F.lit(r[_NEEDLE])), F.lit(r["keyword"])) for r in rows]
         found = F.array_compact(F.array(*tests))

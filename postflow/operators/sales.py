@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -22,33 +23,49 @@ def window_last(
 ) -> DataFrame:
     """Last ``total`` and ``price`` of every key in every tumbling window.
 
-    "Last" is by event time, then by ``tiebreak``. The aggregate is partial before its shuffle, so a key
-    with very many events sends one row per window and input partition.
+    "Last" is by event time, then by ``tiebreak``; give one where event times can be equal. The aggregate
+    is partial before its shuffle, so a key with very many events sends one row per window and input
+    partition.
     """
-    order = F.struct(time, *tiebreak)
+    order = event_order(time, tiebreak)
     grouped = events.groupBy(F.window(time, width).alias("time_window"), *keys)
     return grouped.agg(F.max_by(total, order).alias("total_sales"), F.max_by(price, order).alias("price"))
 
 
+def event_order(time: str, tiebreak: Sequence[str] = ()) -> Column:
+    """Ordering of events; a bare timestamp keeps the aggregation hash-based."""
+    return F.struct(time, *tiebreak) if tiebreak else F.col(time)
+
+
+def all_set(keys: Sequence[str]) -> Column:
+    """Every key column has a value; rows without one have no previous window."""
+    return functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
 def delta(total: Column, previous: Column) -> Column:
     """Difference to the previous window; 0 where that window has no row."""
     return F.when(previous.isNotNull(), total - previous).otherwise(F.lit(0))
 
 
 def with_previous(windows: DataFrame, *, keys: Sequence[str] = KEYS, width: str = "1 minute") -> DataFrame:
-    """Add ``prev_total_sales`` of exactly the preceding window (a gap gives NULL).
+    """keys, window_start, total_sales, price and ``prev_total_sales`` of exactly the preceding window.
 
-    An equi-join on (key, window) instead of a per-key window frame: the load spreads over windows, so one
-    hot key is never sorted in a single task, and both sides reuse the same aggregation shuffle.
+    A gap gives NULL. Every window row counts once as itself and once, one window later, as the previous
+    value; a second small aggregation brings the two together. The events are read and aggregated once, no
+    join is needed, and the load spreads over (key, window), so one hot key is never sorted in one task.
     """
-    windows = windows.withColumn("window_start", F.col("time_window.start"))
-    shift = F.expr(f"interval {width}")
-    previous = windows.select(
-        *keys,
-        (F.col("window_start") + shift).alias("window_start"),
-        F.col("total_sales").alias("prev_total_sales"),
+    own = F.col("_ahead") == 0
+    start = F.col("time_window.start")
+    twice = windows.withColumn("_ahead", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
+        "window_start", F.when(own, start).otherwise(start + F.expr(f"interval {width}"))
+    )
+    paired = twice.groupBy(*keys, "window_start").agg(
+        F.max(F.when(own, F.col("total_sales"))).alias("total_sales"),
+        F.max(F.when(own, F.col("price"))).alias("price"),
+        F.max(F.when(~own & all_set(keys), F.col("total_sales"))).alias("prev_total_sales"),
+        F.count_if(own).alias("_own"),
     )
-    return windows.join(previous, [*keys, "window_start"], "left")
+    return paired.filter(F.col("_own") > 0).drop("_own")
 
 
 def property_gmv(

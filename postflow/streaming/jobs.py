@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from postflow.functions.variations import split_variations, variation_names, variation_values
 from postflow.operators.incremental import append_missing
 from postflow.operators.matching import DEFAULT_LIMITS, MatchLimits
-from postflow.operators.sales import KEYS, delta, window_last
+from postflow.operators.sales import KEYS, all_set, delta, event_order, window_last
 from postflow.plans.classify import classify_all
 from postflow.schemas import PROPERTY_OUT
 from postflow.sources.specs import SinkSpec
@@ -35,13 +35,24 @@ def classify_stream(posts: DataFrame, orgs: DataFrame, *, encoded_spam: bool = F
 
 
 def classify_each_batch(
-    read_orgs: Callable[[], DataFrame], sink: SinkSpec, *, encoded_spam: bool = False,
+    read_orgs: Callable[[], DataFrame],
+    sink: SinkSpec,
+    *,
+    keys: Sequence[str] | None = None,
+    encoded_spam: bool = False,
     limits: MatchLimits = DEFAULT_LIMITS,
 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer that classifies every micro-batch against the dictionary of the moment."""
+    """``foreachBatch`` writer that classifies every micro-batch against the dictionary of the moment.
+
+    With ``keys`` only rows absent from the sink are appended, so a replayed batch adds nothing.
+    """
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        write(classify_all(batch, read_orgs(), how="inner", encoded_spam=encoded_spam, limits=limits), sink)
+        rows = classify_all(batch, read_orgs(), how="inner", encoded_spam=encoded_spam, limits=limits)
+        if keys:
+            append_missing(rows, sink, keys)
+        else:
+            write(rows, sink)
 
     return run
 
@@ -86,7 +97,7 @@ def windowed_delta(
     still trails the newest event by ``late``.
     """
     total, price = options.pop("total", "property_sold"), options.pop("price", "property_price")
-    order = F.struct(time, *options.pop("tiebreak", ()))
+    order = event_order(time, options.pop("tiebreak", ()))
     if options:
         raise TypeError(f"unknown options {sorted(options)}")
     own = F.col("_ahead") == 0
@@ -99,7 +110,7 @@ def windowed_delta(
         .agg(
             F.max_by(total, F.when(own, order)).alias("total_sales"),
             F.max_by(price, F.when(own, order)).alias("price"),
-            F.max_by(total, F.when(~own, order)).alias("prev_total_sales"),
+            F.max_by(total, F.when(~own & all_set(keys), order)).alias("prev_total_sales"),
             F.count_if(own).alias("_events"),
         )
     )

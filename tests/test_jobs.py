@@ -142,6 +142,8 @@ def test_gap_is_not_bridged(spark):
     gmv = sales.property_gmv(events).orderBy("product_id", "window_start")
     assert [(r.product_id, r.total_sales, r.prev_total_sales, r.quantity, r.gmv) for r in gmv.collect()] == [
         (1, 5, None, 0, 0), (1, 9, 5, 4, 40), (1, 20, None, 0, 0), (2, 1, None, 0, 0)]
+    no_key = sales.property_gmv(sold(spark, [(None, 0, 3), (None, 70, 9)]))
+    assert [r.prev_total_sales for r in no_key.collect()] == [None, None]
     attached = sales.attach_gmv(events, gmv)
     assert sorted(r.quantity for r in attached.collect()) == [0, 0, 0, 0, 4]
 
