@@ -12,6 +12,7 @@ from postflow.operators.incremental import append_missing
 from postflow.operators.matching import DEFAULT_LIMITS, MatchLimits
 from postflow.operators.sales import KEYS, all_set, delta, event_order, window_last
 from postflow.plans.classify import classify_all
+from postflow.plans.property_sales import sales_columns
 from postflow.schemas import PROPERTY_OUT
 from postflow.sources.specs import SinkSpec
 from postflow.sources.writers import write
@@ -121,3 +122,17 @@ def windowed_delta(
         .withColumn("quantity", quantity)
         .withColumn("gmv", F.col("quantity") * F.col("price"))
     )
+
+
+def property_sales_stream(events: DataFrame, *, width: str = "1 minute", late: str = "10 minutes") -> DataFrame:
+    """Every event with quantity and gmv of its window, emitted once that window is closed.
+
+    Events wait in the state of a join on (window, key) until :func:`windowed_delta` emits the window; the
+    watermark clears both sides.
+    """
+    deltas = windowed_delta(events, width=width, late=late).select("time_window", *KEYS, "quantity", "gmv")
+    keyed = events.withWatermark("crawl_time", late).withColumn("time_window", F.window("crawl_time", width))
+    # a stream may carry one event-time column: the window keeps the watermark, the raw time gives its mark up
+    keyed = keyed.withColumn("crawl_time", F.col("crawl_time").alias("crawl_time", metadata={}))
+    joined = keyed.join(deltas, ["time_window", *KEYS], "left").fillna({"quantity": 0, "gmv": 0})
+    return sales_columns(joined)

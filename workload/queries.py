@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from postflow.functions import calendar, ids, phrases, variations
 from postflow.operators import dedupe, incremental, matching, quality, sales
-from postflow.plans import classify, publish
-from postflow.schemas import POST_PUBLISH, POST_STORED, POST_STREAM, PROPERTY_EVENT, table as schema
+from postflow.plans import classify, property_sales as sales_plan, publish
+from postflow.schemas import POST_PUBLISH, POST_STORED, POST_STREAM, PROPERTY_EVENT, conform, table as schema
 from postflow.session import run_folder
 from postflow.sources.readers import read_source
 from postflow.sources.specs import SinkSpec, StreamSinkSpec, files
@@ -222,8 +222,6 @@ def cast_projection(spark, d):
         (F.col("o_orderkey") * 1000000).alias("views"),
         F.col("o_custkey").alias("auth_id"),
     )
-    from postflow.schemas import conform
-
     return conform(raw, schema("o_orderkey L, level I, doc_type I, views I, auth_id S"))
 
 
@@ -485,6 +483,18 @@ def gmv_attach(spark, d):
     )
 
 
+_SALES_SQL = f"""WITH {_GMV_SQL} SELECT e.property_id, e.product_id, split_part(e.property_name, ',', 1) AS property_name_1,
+    ' ' || split_part(e.property_name, ', ', 2) AS property_name_2, e.property_price, e.property_price_before_discount,
+    e.property_stock, e.property_sold, e.property_promotion_id, g.quantity, g.gmv, e.rating_star, e.crawl_time
+    FROM properties e JOIN gmv g ON e.product_id = g.product_id AND e.property_id = g.property_id
+      AND g.window_start = CAST(floor(epoch(e.crawl_time) / 3600) AS BIGINT) * 3600"""
+
+
+@query(_SALES_SQL)
+def property_sales(spark, d):
+    return naive_stamps(sales_plan.property_sales(_properties(spark, d), width=HOUR))
+
+
 # --- quality ---------------------------------------------------------------------------------------
 
 _DQ = {
@@ -592,6 +602,12 @@ def stream_prev_delta(spark, d):
     return _drain(spark, _window_epoch(rows), "prev-delta")
 
 
+@query(f"{_SALES_SQL} AND {_CLOSED}")
+def stream_property_sales(spark, d):
+    rows = jobs.property_sales_stream(as_properties(stream(spark, d, "events")), width=HOUR)
+    return naive_stamps(_drain(spark, rows, "property-sales"))
+
+
 @query("SELECT event_id, user_id, event_type, value FROM events")
 def stream_insert_missing(spark, d):
     """The stream is delivered twice; the second delivery adds nothing."""
