@@ -92,23 +92,25 @@ def append_missing(
     """
     spark = incoming.sparkSession
     incoming = stage(incoming)
+    n_incoming = incoming.count()
     target = read_target(spark, sink)
     if target is None:
-        missing, n_target = incoming, 0
+        missing, n_target, n_missing = incoming, 0, n_incoming
     else:
         n_target = target.count()
         if keys:
             held = target.select(*keys)
-            wanted = incoming.select(*keys)
-            rows, size = table_size(wanted)
-            if null_keys == "skip" and rows <= KEY_ROWS and size <= KEY_BYTES:
-                held = held.join(F.broadcast(wanted), list(keys), "left_semi")
+            if null_keys == "skip" and n_incoming <= KEY_ROWS:
+                wanted = incoming.select(*keys)
+                if table_size(wanted)[1] <= KEY_BYTES:
+                    held = held.join(F.broadcast(wanted), list(keys), "left_semi")
             missing = stage(insert_missing(incoming, held, keys, null_keys))
         else:
             missing = stage(insert_missing_rows(incoming, target, surrogate))
+        n_missing = missing.count()
     if preview:
         missing.show(preview, truncate=False)
-    report = LoadReport(n_target, incoming.count(), missing.count())
+    report = LoadReport(n_target, n_incoming, n_missing)
     log.info("%s: %s, counts equal: %s", sink.label, report, report.counts_equal)
     if report.n_missing:
         write(missing, sink)

@@ -85,13 +85,15 @@ def run_folder(spark: SparkSession, label: str) -> str:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the shared folder and continue from there.
+    """Write ``df`` once as a table in the shared folder and continue from there.
 
-    Used wherever one result feeds several actions (count, then write) or where the inputs are about
-    to change. A reliable checkpoint survives lost executors and needs no recomputation.
+    Used wherever one result feeds several actions (count, then write) or where the inputs are about to
+    change. Lost executors cost no recomputation, later steps read only the columns they need, and counts
+    come from the file footers. Folders below the shared folder can be expired by age.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    folder = run_folder(df.sparkSession, "staged")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def cache_static(df: DataFrame) -> DataFrame:
