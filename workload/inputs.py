@@ -23,10 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same file as a stream: a file stream watches its folder."""
+    """The same table as a stream.
+
+    A file stream takes folders or patterns, not a single file; the one-letter pattern fits the table
+    whether it is one file or a folder of files.
+    """
     schema = table(spark, sf_dir, name).schema
-    spec = SourceSpec("parquet", {"pathGlobFilter": f"{name}.parquet"}, sf_dir, schema)
-    return read_stream(spark, spec)
+    return read_stream(spark, SourceSpec("parquet", path=f"{sf_dir}/{name}.parque[t]", schema=schema))
 
 
 # --- organisations ---------------------------------------------------------------------------------

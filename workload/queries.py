@@ -186,6 +186,15 @@ def keyword_entries(spark, d):
     return found.select("conv_id", "turn", "org_id", "keyword")
 
 
+@query(ORACLES["keyword_entries"])
+def keyword_entries_shuffled(spark, d):
+    """The same rows by the way that is taken for dictionaries of any size."""
+    any_size = matching.MatchLimits(literal_terms=0, automaton_terms=0)
+    terms = phrases.org_keywords(orgs(spark))
+    found = matching.match_terms(table(spark, d, "conversations"), terms, content="text", limits=any_size)
+    return found.select("conv_id", "turn", "org_id", "keyword")
+
+
 # --- filters, projections, ids ---------------------------------------------------------------------
 
 @query(f"""SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS pub_time FROM events
