@@ -35,12 +35,13 @@ HEADLINE = (
     "split_variations",
     "window_last",
     "window_prev_delta",
-    "gmv_attach",
+    "property_sales",
     "dq_contract",
     "stream_parse_properties",
     "stream_classify",
     "stream_window_last",
     "stream_prev_delta",
+    "stream_property_sales",
     "stream_insert_missing",
 )
 
