@@ -219,6 +219,9 @@ def match_terms(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
+    shared = set(posts.columns) & set(terms.columns)
+    if shared:
+        raise ValueError(f"posts and terms share the columns {sorted(shared)}")
     spark = posts.sparkSession
     entries = terms.withColumn(_NEEDLE, F.lower(term))
     way, rows = _dictionary(entries, limits)

@@ -131,6 +131,13 @@ def test_no_row_python_and_no_pair_join(spark):
             assert "Exchange" not in plan
 
 
+def test_shared_columns_are_refused(spark):
+    with pytest.raises(ValueError, match="org_id"):
+        m.match_terms(posts(spark).withColumn("org_id", F.lit(1)), dictionary(spark))
+    with pytest.raises(ValueError, match="inner or left"):
+        m.match_terms(posts(spark), dictionary(spark), how="right")
+
+
 def test_size_check(spark):
     df = spark.range(100).select(F.lit("x" * 10).alias("s"))
     assert m.fits_broadcast(df, 100, 1000)
