@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from postflow.llm.common import table
 from postflow.llm.cuckoo import exact_duplicates
 from postflow.llm.simhash import simhash_classes
+from postflow.llm.tiling import contaminated
+from postflow.llm.warc import archive_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +44,17 @@ SELECT doc_id,
        sha256(n) AS text_sha256
 FROM d WINDOW w AS (PARTITION BY n ORDER BY length(t) DESC, doc_id NULLS LAST)
 """
+
+
+@_query
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that cover a benchmark item, with the item and the tiles that cover it."""
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(found.id.alias("doc_id"), "item_id", "item_words", "covered", "coverage", "tiles")
+
+
+@_query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives written from ``pages`` hold when they are read back."""
+    found = archive_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+    return found.select("page_id", "payload_bytes", "payload_digest", found.warc_type.alias("record_type"), "refers_to")
