@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from postflow.llm.common import table
 from postflow.llm.cuckoo import exact_duplicates
 from postflow.llm.simhash import simhash_classes
+from postflow.llm.token_files import token_file_round_trip
 from postflow.llm.tiling import contaminated
 from postflow.llm.warc import archive_round_trip
 
@@ -46,6 +48,13 @@ FROM d WINDOW w AS (PARTITION BY n ORDER BY length(t) DESC, doc_id NULLS LAST)
 """
 
 
+@_query
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the token files written from all documents hold when they are read back."""
+    found = token_file_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return found.select(found.id.alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 @_query
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that cover a benchmark item, with the item and the tiles that cover it."""
