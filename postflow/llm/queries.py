@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postflow.llm.common import table
 from postflow.llm.cuckoo import exact_duplicates
+from postflow.llm.sentence_pieces import encode_pieces
 from postflow.llm.simhash import simhash_classes
+from postflow.llm.token_counts import section_tokens
 from postflow.llm.token_files import token_file_round_trip
 from postflow.llm.tiling import contaminated
 from postflow.llm.warc import archive_round_trip
@@ -48,6 +50,13 @@ FROM d WINDOW w AS (PARTITION BY n ORDER BY length(t) DESC, doc_id NULLS LAST)
 """
 
 
+@_query
+def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every document, and whether decoding them gives the text back."""
+    found = encode_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select(found.id.alias("doc_id"), "n_ids", "ids", found.same.alias("round_trip"))
+
+
 @_query
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the token files written from all documents hold when they are read back."""
@@ -55,6 +64,13 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(found.id.alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+@_query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    found = section_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return found.select(found.id.alias("doc_id"), "section", "char_start", "char_end", "n_tokens", "n_crossing")
+
+
 @_query
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that cover a benchmark item, with the item and the tiles that cover it."""
