@@ -183,7 +183,7 @@ def candidates(spark: SparkSession, folder: str) -> DataFrame:
     found = stage(source.mapInPandas(_candidates, f"path string, start long, at long, size long, span long, whole boolean, raw binary, {FIELDS}"), "stretches")
     size = found.groupBy("path", "start").agg(F.sum(F.col("size") + len(MAGIC)).alias("bytes"))
     before = F.sum("bytes").over(W.partitionBy("path").orderBy("start").rowsBetween(W.unboundedPreceding, -1))
-    base = size.select("path", "start", F.coalesce(before, F.lit(0)).alias("base"))
+    base = stage(size.select("path", "start", F.coalesce(before, F.lit(0)).alias("base")), "splits")
     return found.join(base, ["path", "start"]).withColumn("offset", F.col("base") + F.col("at") - len(MAGIC)).drop("base", "at", "start")
 
 
@@ -240,9 +240,11 @@ def read_warc(spark: SparkSession, folder: str, *, bin_bytes: int = 1 << 20) ->
     records = found.join(reached, ["path", "offset"])
     whole = records.where("whole and record_id is not null").select(*columns)
     cut = records.where("not whole").select("path", F.col("offset").alias("first"), "span", F.explode(F.sequence(F.floor(F.col("offset") / bin_bytes), F.floor((F.col("offset") + F.col("span") - 1) / bin_bytes))).alias("bin"))
-    stretches = found.where("offset >= 0").withColumn("bin", F.floor(F.col("offset") / bin_bytes))
+    stretches = found.where("offset >= 0").select("path", "offset", F.floor(F.col("offset") / bin_bytes).alias("bin"))
+    # as a written table its size is known: few cut records are sent to the stretches, many are shuffled
+    owned = stage(stretches.join(cut, ["path", "bin"]).where("offset >= first and offset < first + span").select("path", "offset", "first", "span"), "cut")
     parts = (
-        stretches.select("path", "bin", "offset", "raw").join(cut, ["path", "bin"]).where("offset >= first and offset < first + span")
+        found.select("path", "offset", "raw").join(owned, ["path", "offset"])
         .groupBy("path", F.col("first").alias("offset"), "span").agg(F.collect_list(F.struct(F.col("offset").alias("at"), "raw")).alias("parts"))
     )
     joined = parts.mapInPandas(_assemble, f"path string, offset long, span long, raw binary, {FIELDS}").where("record_id is not null")
