@@ -14,6 +14,7 @@ from postflow.llm.simhash import simhash_classes
 from postflow.llm.token_counts import section_tokens
 from postflow.llm.token_files import token_file_round_trip
 from postflow.llm.tiling import contaminated
+from postflow.llm.toxicity import fit, toxicity
 from postflow.llm.warc import archive_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +72,14 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(found.id.alias("doc_id"), "section", "char_start", "char_end", "n_tokens", "n_crossing")
 
 
+@_query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, from a network trained on labelled documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity(docs, fit(docs, table(spark, sf_dir, "labels")), threshold=0.3)
+    return found.select(found.id.alias("doc_id"), "held_out", "score", "predicted")
+
+
 @_query
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that cover a benchmark item, with the item and the tiles that cover it."""
