@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postflow.llm.common import table
 from postflow.llm.cuckoo import exact_duplicates
+from postflow.llm.language_model import score_texts
 from postflow.llm.sentence_pieces import encode_pieces
 from postflow.llm.simhash import simhash_classes
 from postflow.llm.token_counts import section_tokens
@@ -65,6 +66,13 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(found.id.alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+@_query
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model and base log10 probability of every document."""
+    found = score_texts(table(spark, sf_dir, "documents"), order=2)
+    return found.select(found.id.alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @_query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document."""
