@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from postflow.llm.common import table
 from postflow.llm.cuckoo import exact_duplicates
 from postflow.llm.language_model import score_texts
+from postflow.llm.personal_data import personal_data, span_report
 from postflow.llm.sentence_pieces import encode_pieces
 from postflow.llm.simhash import simhash_classes
 from postflow.llm.token_counts import section_tokens
@@ -73,6 +74,12 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(found.id.alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@_query
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return span_report(personal_data(table(spark, sf_dir, "documents")))
+
+
 @_query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document."""
