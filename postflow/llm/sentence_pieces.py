@@ -34,7 +34,8 @@ def merged(symbols: list[str], rank: dict[str, int]) -> tuple[list[str], tuple[s
 
 
 class PieceLattice:
-    """Finds a BPE model's segmentation of many short strings at once.
+    """Finds a BPE model's segmentation of many short strings at once. Every piece must rank behind its two parts, as
+    in any vocabulary that merging has made.
 
     The strings are laid end to end and a suffix array is built over them; every piece's occurrences are a range of
     it, found by binary search. The occurrences are the edges of a lattice, sorted by where they end. An edge is
@@ -52,6 +53,8 @@ class PieceLattice:
         longer = sorted((n for n in score if len(n) > 1), key=lambda n: -score[n])
         rank = {name: i for i, name in enumerate(longer)}
         splits = {name: pair for name in longer for left, pair in [merged(list(name), rank)] if left == [name]}
+        if any(rank.get(part, -1) > rank[name] for name, pair in splits.items() for part in pair):
+            raise ValueError("a piece that merges before its parts is no byte-pair vocabulary")
         self.names = [*self.alphabet, *(n for n in longer if n in splits)]
         self.number = {name: i for i, name in enumerate(self.names)}
         base = len(self.alphabet)

@@ -189,12 +189,13 @@ def _grid(numbers: np.ndarray, starts: np.ndarray, ends: np.ndarray, shape: Shap
     return np.where(at < ends, padded[np.minimum(at, len(numbers))], 0)
 
 
-def train(examples: list[tuple[int, str, int]], shape: Shape = Shape(), *, passes: int = 7, batch: int = 512, rate: float = 0.01, seed: int = 11) -> Network:
+def train(examples: list[tuple[int, str, int]], shape: Shape = Shape(), *, passes: int = 7, batch: int = 512, steps: int = 100, rate: float = 0.01, seed: int = 11) -> Network:
     """Fit on (document number, window text, document label).
 
     A label says that some window of the document is toxic, not which. At first every window takes its document's label;
     after three passes, only the highest-scoring window of a toxic document keeps it, and the others are left out.
-    Windows of other documents are examples of 0 all the time.
+    Windows of other documents are examples of 0 all the time. Small sets are taken in smaller batches than ``batch``, so
+    that a pass has about ``steps`` steps.
     """
     texts = [[bare(w) for w in text.split()] for _, text, _ in examples]
     in_docs = Counter(w for _, w in {(d, w) for (d, _, _), words in zip(examples, texts) for w in words})
@@ -230,8 +231,9 @@ def train(examples: list[tuple[int, str, int]], shape: Shape = Shape(), *, passe
             top[order[np.unique(doc[order], return_index=True)[1]]] = True
             chosen = chosen[(label == 0) | top]
         rng.shuffle(chosen)
-        for a in range(0, len(chosen), batch):
-            columns = chosen[a : a + batch]
+        size = max(16, min(batch, len(chosen) // steps))
+        for a in range(0, len(chosen), size):
+            columns = chosen[a : a + size]
             used, place, chars, count = gather(columns)
             mask = (grid[:, columns] > 0).astype(np.float32)
             logit, kept = net.forward(net.embed(word_slot[used], chars, count)[place], mask, keep=True)
