@@ -9,6 +9,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -56,6 +57,7 @@ def main() -> None:
         driver_memory="8g",
         conf={
             "spark.sql.shuffle.partitions": cpus,
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -29,16 +29,17 @@ def latest_crawl(df: DataFrame, keys: Sequence[str], tiebreak: str = "id") -> Da
 
 
 def collapse_orgs(df: DataFrame, keys: Sequence[str] = ("post_id", "content")) -> DataFrame:
-    """One row per post with the sorted set of its organisations; other columns come from its latest crawl."""
-    rest = [c for c in df.columns if c not in (*keys, "org_id")]
-    order = F.struct("crawl_time", F.xxhash64(*[F.col(c) for c in rest]))
+    """One row per post with the sorted set of its organisations; other columns come from its latest crawl.
+
+    The key columns are grouped by a digest of their values, so long texts are not compared or sorted.
+    """
+    rest = [c for c in df.columns if c != "org_id"]
+    order = F.struct("crawl_time", F.xxhash64(*[F.col(c) for c in rest if c not in keys]))
+    digest = F.sha2(F.to_json(F.struct(*keys)), 256)
     return (
-        df.groupBy(*keys)
-        .agg(
-            F.sort_array(F.collect_set("org_id")).alias("org_ids"),
-            F.max_by(F.struct(*rest), order).alias("_rest"),
-        )
-        .select(*keys, "org_ids", "_rest.*")
+        df.groupBy(digest.alias("_key"))
+        .agg(F.sort_array(F.collect_set("org_id")).alias("org_ids"), F.max_by(F.struct(*rest), order).alias("_rest"))
+        .select(*[F.col("_rest")[k].alias(k) for k in keys], "org_ids", *[F.col("_rest")[c].alias(c) for c in rest if c not in keys])
     )
 
 

@@ -1,7 +1,7 @@
 """Write only what the target does not hold yet.
 
 Single writer per target is assumed: the check and the append are two steps. A key that appears twice in
-the incoming rows is written twice; reduce the rows first where that is not wanted.
+the incoming rows is written twice; ``unique_keys`` refuses such rows instead.
 """
 
 from __future__ import annotations
@@ -11,30 +11,26 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postflow.operators.matching import table_size
-from postflow.session import stage
+from postflow.session import Staged
 from postflow.sources.specs import SinkSpec
 from postflow.sources.writers import read_target, write
 
 log = logging.getLogger(__name__)
 
-# size of the incoming keys up to which they are broadcast over the target scan
-KEY_ROWS = 2_000_000
-KEY_BYTES = 128 * 1024 * 1024
-
 
 @dataclass(frozen=True)
 class LoadReport:
-    n_target: int
+    n_target: int | None
     n_incoming: int
     n_missing: int
 
     @property
-    def counts_equal(self) -> bool:
-        return self.n_target == self.n_incoming
+    def counts_equal(self) -> bool | None:
+        """None where the target was not counted."""
+        return None if self.n_target is None else self.n_target == self.n_incoming
 
 
 def insert_missing(incoming: DataFrame, target: DataFrame, keys: Sequence[str], null_keys: str = "skip") -> DataFrame:
@@ -45,7 +41,7 @@ def insert_missing(incoming: DataFrame, target: DataFrame, keys: Sequence[str],
     keys = list(keys)
     held = target.select(*keys)
     if null_keys == "skip":
-        return incoming.dropna(subset=keys).join(held, keys, "left_anti")
+        return incoming.dropna(subset=keys).join(held, keys, "left_anti").select(*incoming.columns)
     if null_keys != "insert":
         raise ValueError(f"null_keys must be skip or insert, not {null_keys!r}")
     held = held.toDF(*[f"_held_{k}" for k in keys])
@@ -56,10 +52,20 @@ def insert_missing(incoming: DataFrame, target: DataFrame, keys: Sequence[str],
 def insert_missing_rows(incoming: DataFrame, target: DataFrame, surrogate: str | None = None) -> DataFrame:
     """Distinct incoming rows that the target does not hold as a whole row (NULLs compare equal).
 
-    Columns are matched by name. ``surrogate`` names a key column only the target has.
+    Columns are matched by name. ``surrogate`` names a key column only the target has. Rows are compared by a
+    256-bit digest of their values, so of the target only digests are shuffled.
     """
     names = [c for c in target.columns if c != surrogate]
-    return incoming.select(*names).subtract(target.select(*names))
+    types = dict(incoming.select(*names).dtypes)
+    rows = incoming.select(*names).withColumn("_digest", row_digest(names))
+    # values compare as the incoming types, so that 1 and 1L are one value
+    held = target.select(*[F.col(c).cast(types[c]).alias(c) for c in names]).select(row_digest(names).alias("_digest"))
+    return rows.join(held, "_digest", "left_anti").dropDuplicates(["_digest"]).select(*names)
+
+
+def row_digest(columns: Sequence[str]) -> Column:
+    """SHA-256 over a row's values as JSON, with names in order; a NULL differs from every value."""
+    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"}), 256)
 
 
 def reconcile(incoming: DataFrame, target: DataFrame, missing: DataFrame) -> DataFrame:
@@ -82,36 +88,54 @@ def append_missing(
     surrogate: str | None = None,
     null_keys: str = "skip",
     preview: int = 0,
+    count_target: bool = True,
+    target_filter: Column | None = None,
+    unique_keys: bool = False,
+    key_rows: int = 2_000_000,
+    key_bytes: int = 128 * 1024 * 1024,
 ) -> LoadReport:
     """Append the rows the sink's table does not hold; without ``keys`` whole rows are compared.
 
-    The incoming rows are staged once, so counts, preview and write see the same rows. If their keys are
-    small (measured), the target scan is first reduced to the keys they share with a broadcast semi join:
-    one pass over the target, no shuffle of its keys. The difference is staged before the append because
-    the append changes the table it was computed from.
+    The incoming rows are staged once, so preview, check and write see the same rows, and are counted by that
+    write. If their keys are small (up to ``key_rows`` and ``key_bytes``, as measured), the target scan is first reduced
+    to the keys they share with a broadcast semi join: one pass over the target, no shuffle of its keys. The
+    difference is staged, because the append changes the table it was computed from. Both staged tables
+    are deleted in the end.
+
+    ``target_filter`` limits the scan of the target to rows that can hold the incoming keys (a day, a partition).
+    ``count_target=False`` saves counting the target, whose cost grows with it. ``unique_keys`` raises if a key comes twice.
+    Columns are written in the order of the target.
     """
     spark = incoming.sparkSession
-    incoming = stage(incoming)
-    n_incoming = incoming.count()
-    target = read_target(spark, sink)
-    if target is None:
-        missing, n_target, n_missing = incoming, 0, n_incoming
-    else:
-        n_target = target.count()
-        if keys:
-            held = target.select(*keys)
-            if null_keys == "skip" and n_incoming <= KEY_ROWS:
-                wanted = incoming.select(*keys)
-                if table_size(wanted)[1] <= KEY_BYTES:
-                    held = held.join(F.broadcast(wanted), list(keys), "left_semi")
-            missing = stage(insert_missing(incoming, held, keys, null_keys))
+    staged = [Staged.of(incoming, sized=keys or ())]
+    try:
+        incoming, n_incoming = staged[0].table, staged[0].n_rows
+        if unique_keys and keys and not incoming.groupBy(*keys).count().filter("count > 1").isEmpty():
+            raise ValueError(f"incoming rows repeat a key of {list(keys)}")
+        target = read_target(spark, sink)
+        if target is None:
+            missing, n_target, n_missing = incoming, 0, n_incoming
         else:
-            missing = stage(insert_missing_rows(incoming, target, surrogate))
-        n_missing = missing.count()
-    if preview:
-        missing.show(preview, truncate=False)
-    report = LoadReport(n_target, n_incoming, n_missing)
-    log.info("%s: %s, counts equal: %s", sink.label, report, report.counts_equal)
-    if report.n_missing:
-        write(missing, sink)
-    return report
+            n_target = target.count() if count_target else None
+            held = target if target_filter is None else target.filter(target_filter)
+            if keys:
+                held = held.select(*keys)
+                if null_keys == "skip" and n_incoming <= key_rows and staged[0].n_bytes <= key_bytes:
+                    held = held.join(F.broadcast(incoming.select(*keys)), list(keys), "left_semi")
+                difference = insert_missing(incoming, held, keys, null_keys)
+            else:
+                difference = insert_missing_rows(incoming, held, surrogate)
+            staged.append(Staged.of(difference))
+            missing, n_missing = staged[1].table, staged[1].n_rows
+            order = [c for c in target.columns if c in missing.columns]
+            missing = missing.select(*order, *[c for c in missing.columns if c not in order])
+        if preview:
+            missing.show(preview, truncate=False)
+        report = LoadReport(n_target, n_incoming, n_missing)
+        log.info("%s: %s, counts equal: %s", sink.label, report, report.counts_equal)
+        if report.n_missing:
+            write(missing, sink)
+        return report
+    finally:
+        for one in staged:
+            one.delete()

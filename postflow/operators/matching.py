@@ -1,24 +1,25 @@
 """Find dictionary terms inside post texts.
 
-A term matches when it occurs anywhere in the text, ignoring case and word boundaries. The number of
-(post, term) pairs is far too large to test one by one on big dictionaries, so the work is done in one
-of three ways, chosen by the measured size of the dictionary. All three give the same rows.
+A term matches when it occurs anywhere in the text, ignoring case and word boundaries. NULL and blank terms
+match nothing: they are dropped from the dictionary before anything else. The cleaned dictionary is written
+once as a snapshot, and its size decides between three ways that give the same rows.
 
 ``literal``    a handful of terms: the tests are written into the projection itself. One codegen stage,
                no join and no shuffle.
 ``automaton``  up to some 50,000 terms: one pass over each text with a multi-pattern automaton, in Arrow
                batches. Spark has no built-in that searches many terms in one pass; testing them one by one
                costs (text length x terms), the automaton only (text length). Posts are not shuffled.
-``shuffled``   any size: every text is cut into consecutive blocks and a block meets only the terms filed
-               under it. Only (text key, block) pairs are shuffled; candidates return to their text by key
-               and are verified there. Adaptive execution splits the partitions of blocks that many texts
-               share. Also used where the automaton module is not installed.
-
-Why blocks find everything: wherever a term starts, if it has at least twice the block width less one
-characters, each possible alignment puts a whole block inside it. A term is therefore filed once per
-alignment, each time under the block the fewest other terms use, so that a common block does not gather a
-large part of the dictionary. Shorter terms use narrower blocks. A candidate counts only under the
-alignment of the term's first occurrence, which makes every (post, term) pair appear exactly once.
+``shuffled``   any size: texts and terms meet in an equi-join. Terms of up to ten characters meet the
+               distinct stretches of just their length of every text, so what meets is a match. A longer
+               term meets the consecutive blocks of the texts; such candidates return to their text by key
+               and are verified there. Only (text key, stretch) pairs are shuffled, and adaptive execution
+               splits the partitions of stretches that many texts share.
+
+Why blocks find everything: wherever a term of eleven characters or more starts, each possible alignment
+puts a whole block of six inside it. A term is therefore filed once per alignment, each time under the
+block the fewest other terms use, so that a common block does not gather a large part of the dictionary.
+A candidate counts only under the alignment of the term's first occurrence, which makes every (post, term)
+pair appear exactly once.
 """
 
 from __future__ import annotations
@@ -26,23 +27,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-try:
-    import ahocorasick
-except ImportError:  # the shuffled way needs no extra module
-    ahocorasick = None
+from postflow.session import Staged, stage
 
 BLOCK = 6
+#: Terms shorter than this need not hold a whole block at every alignment.
+LONG = 2 * BLOCK - 1
 
 _LOWER = "_text_lower"
 _KEY = "_text_key"
 _BLOCK = "_block"
 _NEEDLE = "_needle"
 _PHASE = "_phase"
-_WIDTH = "_width"
 
 
 @dataclass(frozen=True)
@@ -80,17 +80,20 @@ def _any_term(terms: list[str]) -> Column:
     return tests[0]
 
 
-def _dictionary(terms: DataFrame, limits: MatchLimits) -> tuple[str, list]:
-    """Which way to take, and the dictionary's rows unless it is the shuffled one.
+def _dictionary(terms: DataFrame, limits: MatchLimits) -> tuple[str, list, DataFrame | None]:
+    """Which way to take; the dictionary's rows, or for the shuffled way its snapshot.
 
-    At most ``automaton_terms`` + 1 rows are fetched, and only after their bytes were measured.
+    ``terms`` holds the lower-cased term in column ``_needle``. What is measured, fetched and joined is one
+    snapshot, so a dictionary that changes meanwhile is neither cut nor mixed: two jobs, the write that measures
+    it and, below the limits, the fetch.
     """
-    rows = terms.limit(limits.literal_terms + 1).collect()
-    if len(rows) <= limits.literal_terms:
-        return "literal", rows
-    if ahocorasick and fits_broadcast(terms, limits.automaton_terms, limits.automaton_bytes):
-        return "automaton", terms.limit(limits.automaton_terms + 1).collect()
-    return "shuffled", []
+    clean = terms.filter(F.col(_NEEDLE).isNotNull() & (F.trim(_NEEDLE) != ""))
+    held = Staged.of(clean, sized=terms.columns)
+    if held.n_bytes > limits.automaton_bytes or held.n_rows > max(limits.literal_terms, limits.automaton_terms):
+        return "shuffled", [], held.table
+    rows = held.table.collect()
+    held.delete()
+    return "literal" if len(rows) <= limits.literal_terms else "automaton", rows, None
 
 
 def _labels_found(spark: SparkSession, labels: dict[str, list], kind: str = "int"):
@@ -111,6 +114,22 @@ def _labels_found(spark: SparkSession, labels: dict[str, list], kind: str = "int
     return find
 
 
+def _any_found(spark: SparkSession, needles: list[str]):
+    """Arrow UDF: lower-cased text -> does any needle occur? Stops at the first."""
+    shared = spark.sparkContext.broadcast(needles)
+
+    @F.pandas_udf("boolean")
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        automaton = ahocorasick.Automaton()
+        for needle in shared.value:
+            automaton.add_word(needle, True)
+        automaton.make_automaton()
+        for texts in batches:
+            yield texts.map(lambda t: bool(t) and next(automaton.iter(t), None) is not None)
+
+    return find
+
+
 def table_size(df: DataFrame) -> tuple[int, int]:
     """(rows, bytes of the values as text), from one distributed pass."""
     size = F.lit(0).cast("bigint")
@@ -131,46 +150,32 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int =
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
-def _text_blocks(text: Column, widths: list[int]) -> Column:
-    """Distinct consecutive blocks of the whole text, for each block width."""
-    cuts = [F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s).{{{w}}}"), F.lit(0))) for w in widths]
-    return F.concat(*cuts)
+def _text_blocks(text: Column) -> Column:
+    """Distinct consecutive blocks of the whole text."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s).{{{BLOCK}}}"), F.lit(0)))
 
 
-def _block_width(needle: Column) -> Column:
-    """Widest block that lies inside the needle under every alignment."""
-    return F.least(F.floor((F.char_length(needle) + 1) / 2), F.lit(BLOCK)).cast("int")
+def _stretches(text: Column, lengths: list[int]) -> Column:
+    """Distinct stretches of the given lengths, from every place of the text."""
 
+    def of(n: int) -> Column:
+        places = F.sequence(F.lit(1), F.char_length(text) - (n - 1))
+        found = F.array_distinct(F.transform(places, lambda at: F.substring(text, at, F.lit(n))))
+        return F.when(F.char_length(text) >= n, found).otherwise(F.array().cast("array<string>"))
 
-def _block_widths(terms: DataFrame, term: str) -> list[int]:
-    rows = terms.select(_block_width(F.lower(term)).alias("w")).distinct().collect()  # at most BLOCK rows
-    return sorted(r["w"] for r in rows)
+    return F.concat(*[of(n) for n in lengths])
 
 
-def _filed(terms: DataFrame, term: str) -> DataFrame:
-    """Dictionary entries with one block per alignment."""
-    entries = terms.withColumn(_NEEDLE, F.lower(term))
+def _filed(entries: DataFrame) -> DataFrame:
+    """Long dictionary entries with one block per alignment."""
     blocks = (
-        entries.select(_NEEDLE, _block_width(F.col(_NEEDLE)).alias(_WIDTH))
+        entries.select(_NEEDLE)
         .distinct()
-        .select(
-            _NEEDLE,
-            _WIDTH,
-            F.explode(F.sequence(F.lit(0), F.char_length(_NEEDLE) - F.col(_WIDTH))).alias("_offset"),
-        )
-        .select(
-            _NEEDLE,
-            _WIDTH,
-            (F.col("_offset") % F.col(_WIDTH)).alias(_PHASE),
-            F.substring(F.col(_NEEDLE), F.col("_offset") + 1, F.col(_WIDTH)).alias(_BLOCK),
-        )
+        .select(_NEEDLE, F.explode(F.sequence(F.lit(0), F.char_length(_NEEDLE) - BLOCK)).alias("_offset"))
+        .select(_NEEDLE, (F.col("_offset") % BLOCK).alias(_PHASE), F.substring(F.col(_NEEDLE), F.col("_offset") + 1, F.lit(BLOCK)).alias(_BLOCK))
     )
     users = blocks.groupBy(_BLOCK).agg(F.count(F.lit(1)).alias("_users"))
-    filed = (
-        blocks.join(users, _BLOCK)
-        .groupBy(_NEEDLE, _WIDTH, _PHASE)
-        .agg(F.min_by(_BLOCK, F.struct("_users", _BLOCK)).alias(_BLOCK))
-    )
+    filed = blocks.join(users, _BLOCK).groupBy(_NEEDLE, _PHASE).agg(F.min_by(_BLOCK, F.struct("_users", _BLOCK)).alias(_BLOCK))
     return entries.join(filed, _NEEDLE)
 
 
@@ -180,7 +185,7 @@ def _verified() -> Column:
     ``contains`` comes first: it is the cheap test that rejects most candidates.
     """
     at = F.position(F.col(_NEEDLE), F.col(_LOWER))
-    return F.contains(F.col(_LOWER), F.col(_NEEDLE)) & ((at - 1 + F.col(_PHASE)) % F.col(_WIDTH) == 0)
+    return F.contains(F.col(_LOWER), F.col(_NEEDLE)) & ((at - 1 + F.col(_PHASE)) % BLOCK == 0)
 
 
 def text_key(content: str) -> Column:
@@ -188,13 +193,30 @@ def text_key(content: str) -> Column:
     return F.sha2(F.col(content), 256)
 
 
-def _key_matches(posts: DataFrame, terms: DataFrame, term: str, content: str) -> DataFrame:
-    """Shuffled way: (text key, dictionary entry) of every distinct text, each pair once."""
-    texts = posts.select(text_key(content).alias(_KEY), F.col(content).alias("_text"))
-    texts = texts.dropDuplicates([_KEY]).select(_KEY, F.lower("_text").alias(_LOWER))
-    blocks = _text_blocks(F.col(_LOWER), _block_widths(terms, term))
-    candidates = texts.select(_KEY, F.explode(blocks).alias(_BLOCK)).join(_filed(terms, term), _BLOCK).drop(_BLOCK)
-    return candidates.join(texts, _KEY).filter(_verified()).select(_KEY, *terms.columns)
+def _key_matches(posts: DataFrame, entries: DataFrame, content: str) -> DataFrame:
+    """Shuffled way: (text key, columns of the dictionary entry) of every distinct text, each pair once.
+
+    ``entries`` is a cleaned snapshot with ``_needle``. Distinct texts are written once and read by both joins.
+    """
+    texts = posts.filter(F.col(content).isNotNull()).select(text_key(content).alias(_KEY), F.col(content).alias("_text"))
+    texts = stage(texts.dropDuplicates([_KEY]).select(_KEY, F.lower("_text").alias(_LOWER)))
+    columns = [c for c in entries.columns if c != _NEEDLE]
+    short, long_ = (entries.filter(F.char_length(_NEEDLE) < LONG), entries.filter(F.char_length(_NEEDLE) >= LONG))
+    lengths = sorted(r["n"] for r in short.select(F.char_length(_NEEDLE).alias("n")).distinct().collect())  # at most LONG rows
+    found = texts.select(_KEY, F.explode(_text_blocks(F.col(_LOWER))).alias(_BLOCK)).join(_filed(long_), _BLOCK).drop(_BLOCK)
+    found = found.join(texts, _KEY).filter(_verified()).select(_KEY, *columns)
+    if lengths:
+        pieces = texts.select(_KEY, F.explode(_stretches(F.col(_LOWER), lengths)).alias(_NEEDLE))
+        found = found.unionByName(pieces.join(short, _NEEDLE).select(_KEY, *columns))
+    return found
+
+
+def _with_hits(posts: DataFrame, hits: DataFrame, content: str, how: str) -> DataFrame:
+    """Posts joined with ``hits`` by the key of their text; posts without text stay out of the shuffle."""
+    found = posts.filter(F.col(content).isNotNull()).withColumn(_KEY, text_key(content)).join(hits, _KEY, how)
+    if how == "inner":
+        return found
+    return found.unionByName(posts.filter(F.col(content).isNull()), allowMissingColumns=True)
 
 
 def _spread(posts: DataFrame, labels: Column, how: str) -> DataFrame:
@@ -224,7 +246,7 @@ def match_terms(
         raise ValueError(f"posts and terms share the columns {sorted(shared)}")
     spark = posts.sparkSession
     entries = terms.withColumn(_NEEDLE, F.lower(term))
-    way, rows = _dictionary(entries, limits)
+    way, rows, snapshot = _dictionary(entries, limits)
     base = with_lower(posts, content)
     if way == "literal":
         kind = f"struct<{','.join(f'`{f.name}`:{f.dataType.simpleString()}' for f in terms.schema)}>"
@@ -254,10 +276,10 @@ def match_terms(
         # the listed rows are the ones just measured and fetched, so their size is bounded
         return out.join(F.broadcast(listed), "_label", how).select(*posts.columns, *terms.columns)
     # repeated entries are counted before the keys are made distinct, and spread out again afterwards
-    counted = terms.groupBy(*terms.columns).agg(F.count(F.lit(1)).cast("int").alias("_times"))
-    hits = _key_matches(posts, counted, term, content)
-    keyed = posts.withColumn(_KEY, text_key(content)).join(hits, _KEY, how)
+    counted = snapshot.groupBy(*snapshot.columns).agg(F.count(F.lit(1)).cast("int").alias("_times"))
+    hits = _key_matches(posts, counted, content)
     copies = F.array_repeat(F.lit(0), F.coalesce("_times", F.lit(1)))
+    keyed = _with_hits(posts, hits, content, how)
     return keyed.select("*", F.explode(copies).alias("_copy")).select(*posts.columns, *terms.columns)
 
 
@@ -274,10 +296,10 @@ def match_orgs(
         .select(F.col("org_id").cast("int").alias("org_id"), F.lower("keyword").alias(_NEEDLE))
         .distinct()
     )
-    way, rows = _dictionary(entries, limits)
+    way, rows, snapshot = _dictionary(entries, limits)
     if way == "shuffled":
-        hits = _key_matches(posts, entries, _NEEDLE, content).select(_KEY, "org_id").distinct()
-        return posts.withColumn(_KEY, text_key(content)).join(hits, _KEY).select(*posts.columns, "org_id")
+        hits = _key_matches(posts, snapshot, content).distinct()
+        return _with_hits(posts, hits, content, "inner").select(*posts.columns, "org_id")
     base = with_lower(posts, content)
     if way == "automaton":
         labels: dict[str, list[int]] = {}
@@ -303,15 +325,11 @@ def matched_keywords(
 ) -> DataFrame:
     """Add ``matched_keywords``: the sorted array of distinct dictionary spellings found; NULL for a NULL text."""
     terms = keywords.select("keyword").distinct().withColumn(_NEEDLE, F.lower("keyword"))
-    way, rows = _dictionary(terms, limits)
+    way, rows, snapshot = _dictionary(terms, limits)
     present = F.col(content).isNotNull()
     if way == "shuffled":
-        hits = (
-            _key_matches(posts, terms.select("keyword"), "keyword", content)
-            .groupBy(_KEY)
-            .agg(F.array_sort(F.collect_set("keyword")).alias("matched_keywords"))
-        )
-        keyed = posts.withColumn(_KEY, text_key(content)).join(hits, _KEY, "left")
+        hits = _key_matches(posts, snapshot, content).groupBy(_KEY).agg(F.array_sort(F.collect_set("keyword")).alias("matched_keywords"))
+        keyed = _with_hits(posts, hits, content, "left")
         found = F.coalesce("matched_keywords", F.array().cast("array<string>"))
         return keyed.select(*posts.columns, F.when(present, found).alias("matched_keywords"))
     rows = sorted(rows)
@@ -344,14 +362,14 @@ def is_spam(
 ) -> DataFrame:
     """Add ``has_spamwords``: NULL for a missing or empty text, else whether a spam term occurs."""
     needles = spam.select(F.lower(term).alias(_NEEDLE)).distinct()
-    way, rows = _dictionary(needles, limits)
+    way, rows, snapshot = _dictionary(needles, limits)
     present = F.col(content).isNotNull() & (F.col(content) != "")
     if way == "shuffled":
-        hits = _key_matches(posts, needles, _NEEDLE, content).select(_KEY, F.lit(True).alias("_spam")).distinct()
-        keyed = posts.withColumn(_KEY, text_key(content)).join(hits, _KEY, "left")
+        hits = _key_matches(posts, snapshot, content).select(_KEY, F.lit(True).alias("_spam")).distinct()
+        keyed = _with_hits(posts, hits, content, "left")
         return keyed.select(*posts.columns, F.when(present, F.coalesce("_spam", F.lit(False))).alias("has_spamwords"))
     if way == "automaton":
-        hit = F.size(_labels_found(posts.sparkSession, {r[_NEEDLE]: [0] for r in rows})(_LOWER)) > 0
+        hit = _any_found(posts.sparkSession, [r[_NEEDLE] for r in rows])(_LOWER)
     else:
         hit = _any_term(sorted(r[_NEEDLE] for r in rows)) if rows else F.lit(False)
     return with_lower(posts, content).select(*posts.columns, F.when(present, hit).alias("has_spamwords"))

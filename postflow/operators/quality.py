@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ SMALLINT = (-32768, 32767)
 
 @dataclass(frozen=True)
 class Contract:
+    required: tuple[str, ...] = ()
     not_null: tuple[str, ...] = ()
     types: Mapping[str, T.DataType] = field(default_factory=dict)
     max_length: Mapping[str, int] = field(default_factory=dict)
@@ -27,12 +28,14 @@ class Contract:
 
 # Contract of the document store.
 STORE_CONTRACT = Contract(
-    not_null=("post_id", "org_id", "sentiment", "pg_sync", "createdAt", "updatedAt"),
+    required=("post_id", "org_id"),
+    not_null=("post_id", "org_id"),
     types={f.name: f.dataType for f in POST_STORED},
 )
 
 # Contract of the relational publish table.
 PUBLISH_CONTRACT = Contract(
+    required=("post_id", "url", "org_id"),
     not_null=("post_id", "url", "org_id"),
     max_length={
         "post_id": 255, "subject_id": 255, "reply_to": 255, "tag1": 255, "tag2": 255, "tag3": 255,
@@ -45,6 +48,15 @@ PUBLISH_CONTRACT = Contract(
     defaults={"sentiment": 0, "is_sent": 0, "spam": 0},
 )
 
+#: The same contract for rows as ``publish_posts`` gives them: their key column is ``id``.
+PUBLISHED_CONTRACT = replace(
+    PUBLISH_CONTRACT,
+    required=("id", "url", "org_id"),
+    not_null=("id", "url", "org_id"),
+    max_length={"id": 255, **{c: n for c, n in PUBLISH_CONTRACT.max_length.items() if c != "post_id"}},
+    primary_key=("id",),
+)
+
 
 def broken_rules(df: DataFrame, contract: Contract) -> dict[tuple[str, str], Column]:
     """(rule, column) -> predicate that is true on rows breaking it; columns the table lacks are skipped."""
@@ -65,7 +77,7 @@ def broken_rules(df: DataFrame, contract: Contract) -> dict[tuple[str, str], Col
 def schema_faults(df: DataFrame, contract: Contract) -> list[tuple[str, str]]:
     """(rule, column) for missing required columns and for columns of the wrong type."""
     kinds = {f.name: f.dataType for f in df.schema}
-    missing = [("required", c) for c in contract.not_null if c not in kinds]
+    missing = [("required", c) for c in contract.required if c not in kinds]
     wrong = [("type", c) for c, t in contract.types.items() if c in kinds and kinds[c] != t]
     return missing + wrong
 
@@ -73,10 +85,10 @@ def schema_faults(df: DataFrame, contract: Contract) -> list[tuple[str, str]]:
 def check(df: DataFrame, contract: Contract) -> DataFrame:
     """(rule, column, n_bad) for every rule of the contract, from one pass over the rows.
 
-    Key uniqueness adds a second aggregation that shuffles keys only.
+    A fault of the schema counts every row. Key uniqueness adds a second aggregation that shuffles keys only.
     """
     rules = broken_rules(df, contract)
-    faults = [F.struct(F.lit(r).alias("rule"), F.lit(c).alias("column"), F.lit(1).cast("bigint").alias("n_bad"))
+    faults = [F.struct(F.lit(r).alias("rule"), F.lit(c).alias("column"), F.col("_n").alias("n_bad"))
               for r, c in schema_faults(df, contract)]
     counts = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(p).alias(f"{r}:{c}") for (r, c), p in rules.items()])
     rows = [F.struct(F.lit(r).alias("rule"), F.lit(c).alias("column"), F.col(f"{r}:{c}").alias("n_bad")) for r, c in rules]

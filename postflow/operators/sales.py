@@ -95,7 +95,14 @@ def attach_gmv(
     time: str = "crawl_time",
     width: str = "1 minute",
 ) -> DataFrame:
-    """Events with quantity and gmv of their window; 0 where there is none."""
-    keyed = events.withColumn("window_start", F.window(time, width)["start"])
+    """Events with quantity and gmv of their window; 0 where there is none.
+
+    Events without a time or key have no window; they are kept, with 0.
+    """
+    at = F.col(time)
+    # window functions drop rows without a time, so these go round the join
+    keyed = events.filter(at.isNotNull()).withColumn("window_start", F.window(time, width)["start"])
     values = gmv.select(*keys, "window_start", "quantity", "gmv")
-    return keyed.join(values, [*keys, "window_start"], "left").fillna({"quantity": 0, "gmv": 0})
+    joined = keyed.join(values, [*keys, "window_start"], "left")
+    timeless = events.filter(at.isNull())
+    return joined.unionByName(timeless, allowMissingColumns=True).fillna({"quantity": 0, "gmv": 0})

@@ -25,6 +25,7 @@ def publish_posts(stored: DataFrame, org_codes: DataFrame, as_of: AsOf = None, *
     today = stored_on(stored, "createdAt", as_of)
     coded = today.join(bounded_broadcast(org_codes.select("code", "org_id")), "org_id")
     uid = random_uid() if random_ids else keyed_uid(["url", "org_id"])
-    flagged = coded.withColumns({name: F.lit(value) for name, value in NEW_FLAGS.items()})
-    rows = flagged.withColumn("uid", uid).withColumn("id", public_id()).select(*POST_PUBLISH.names)
-    return latest_crawl(rows, ["url", "org_id"])
+    # which row stays is settled on stored columns, before any id is drawn
+    kept = latest_crawl(coded, ["url", "org_id"], tiebreak="post_id")
+    flagged = kept.withColumns({name: F.lit(value) for name, value in NEW_FLAGS.items()})
+    return flagged.withColumn("uid", uid).withColumn("id", public_id()).select(*POST_PUBLISH.names)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(
@@ -60,11 +61,7 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a temporary folder; on a cluster such a folder would exist
-    on one machine only, so the missing setting is an error there.
-    """
+    """Folder every executor can reach, taken from ``spark.checkpoint.dir`` (or a checkpoint folder set before)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         if not spark.sparkContext.getCheckpointDir():
@@ -73,10 +70,7 @@ def shared_folder(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="postflow-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def run_folder(spark: SparkSession, label: str) -> str:
@@ -85,15 +79,38 @@ def run_folder(spark: SparkSession, label: str) -> str:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as a table in the shared folder and continue from there.
+    """Write ``df`` once as a table in the shared folder and continue from there (see :class:`Staged`)."""
+    return Staged.of(df).table
+
+
+@dataclass(frozen=True)
+class Staged:
+    """A table written once below the shared folder, with its size as counted while it was written.
 
     Used wherever one result feeds several actions (count, then write) or where the inputs are about to
-    change. Lost executors cost no recomputation, later steps read only the columns they need, and counts
-    come from the file footers. Folders below the shared folder can be expired by age.
+    change. Lost executors cost no recomputation, and later steps read only the columns they need.
+    ``delete`` it once nothing reads it any more.
     """
-    folder = run_folder(df.sparkSession, "staged")
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+    table: DataFrame
+    folder: str
+    n_rows: int
+    n_bytes: int
+
+    @classmethod
+    def of(cls, df: DataFrame, sized: Sequence[str] = ()) -> Staged:
+        """``n_bytes`` counts the values of the columns in ``sized``, as text."""
+        spark, folder, seen = df.sparkSession, run_folder(df.sparkSession, "staged"), Observation()
+        length = F.lit(0).cast("bigint")
+        for name in sized:
+            length = length + F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")).cast("bigint"), F.lit(0))
+        df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(length).alias("bytes")).write.parquet(folder)
+        return cls(spark.read.schema(df.schema).parquet(folder), folder, seen.get["n"], seen.get["bytes"] or 0)
+
+    def delete(self) -> None:
+        spark = self.table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cache_static(df: DataFrame) -> DataFrame:

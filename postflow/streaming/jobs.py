@@ -51,7 +51,7 @@ def classify_each_batch(
     def run(batch: DataFrame, epoch_id: int) -> None:
         rows = classify_all(batch, read_orgs(), how="inner", encoded_spam=encoded_spam, limits=limits)
         if keys:
-            append_missing(rows, sink, keys)
+            append_missing(rows, sink, keys, count_target=False)
         else:
             write(rows, sink)
 
@@ -67,11 +67,14 @@ def append_each_batch(sink: SinkSpec) -> Callable[[DataFrame, int], None]:
     return run
 
 
-def append_missing_each_batch(sink: SinkSpec, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer that appends only absent keys, so a replayed batch adds nothing."""
+def append_missing_each_batch(sink: SinkSpec, keys: Sequence[str], **options) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` writer that appends only absent keys, so a replayed batch adds nothing.
+
+    The target is not counted; ``options`` go to :func:`append_missing`, such as a ``target_filter``.
+    """
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        append_missing(batch, sink, keys)
+        append_missing(batch, sink, keys, **{"count_target": False, **options})
 
     return run
 
@@ -134,5 +137,7 @@ def property_sales_stream(events: DataFrame, *, width: str = "1 minute", late: s
     keyed = events.withWatermark("crawl_time", late).withColumn("time_window", F.window("crawl_time", width))
     # a stream may carry one event-time column: the window keeps the watermark, the raw time gives its mark up
     keyed = keyed.withColumn("crawl_time", F.col("crawl_time").alias("crawl_time", metadata={}))
-    joined = keyed.join(deltas, ["time_window", *KEYS], "left").fillna({"quantity": 0, "gmv": 0})
-    return sales_columns(joined)
+    joined = keyed.join(deltas, ["time_window", *KEYS], "left")
+    # events without a time belong to no window; they pass at once, with 0
+    timeless = events.filter(F.col("crawl_time").isNull())
+    return sales_columns(joined.unionByName(timeless, allowMissingColumns=True).fillna({"quantity": 0, "gmv": 0}))

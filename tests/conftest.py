@@ -13,13 +13,14 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
         driver_memory="4g",
         conf={
             "spark.sql.shuffle.partitions": "4",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -145,3 +145,36 @@ def test_size_check(spark):
     assert not m.fits_broadcast(df, 100, 999)
     assert "broadcast" in m.bounded_broadcast(df)._jdf.queryExecution().logical().toString()
     assert "broadcast" not in m.bounded_broadcast(df, max_rows=5)._jdf.queryExecution().logical().toString()
+
+
+def test_null_and_blank_terms_match_nothing(spark, limits):
+    terms = dictionary(spark, [(1, "aa"), (2, None), (3, ""), (4, "  "), (5, "cc")])
+    texts = ["xAAx", "nothing at all", None, "", "cc"]
+    got = m.match_terms(posts(spark, texts), terms, limits=limits).select("id", "org_id", "keyword")
+    assert values(got) == [(0, 1, "aa"), (4, 5, "cc")]
+    assert m.match_terms(posts(spark, texts), terms, how="left", limits=limits).count() == 5
+    spam = terms.selectExpr("keyword AS term")
+    flags = {r.id: r.has_spamwords for r in m.is_spam(posts(spark, texts), spam, limits=limits).collect()}
+    assert flags == {0: True, 1: False, 2: None, 3: None, 4: True}
+    found = {r.id: r.matched_keywords for r in m.matched_keywords(posts(spark, texts), terms, limits=limits).collect()}
+    assert found == {0: ["aa"], 1: [], 2: None, 3: [], 4: ["cc"]}
+
+
+def test_a_growing_dictionary_is_read_once(spark, tmp_path, limits):
+    """What counts is the dictionary of the moment it was measured."""
+    folder = str(tmp_path / "terms")
+    dictionary(spark, [(k, f"t{k}t") for k in range(5)]).write.parquet(folder)
+    live = spark.read.parquet(folder)
+    found = m.match_terms(posts(spark, [f"t{k}t" for k in range(20)]), live, limits=limits)
+    dictionary(spark, [(k, f"t{k}t") for k in range(5, 20)]).write.mode("append").parquet(folder)
+    assert found.count() == 5
+
+
+def test_short_terms_meet_matches_only(spark):
+    """Candidates of three and four letters are the true matches: no pair is joined in vain."""
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(200)) for _ in range(60)]
+    terms = [(k, "".join(rng.choice("abcdefgh") for _ in range(rng.choice((3, 4))))) for k in range(80)]
+    lowered = posts(spark, texts).select("id", F.explode(m._stretches(F.lower("content"), [3, 4])).alias("needle"))
+    pairs = lowered.join(spark.createDataFrame(terms, "org_id int, needle string").select("needle").distinct(), "needle").count()
+    assert pairs == sum(n in t for t in texts for n in {n for _, n in terms})

@@ -10,7 +10,7 @@ def con(sf_dir):
     return oracle.connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_sql(spark, sf_dir, con, name):
     got = oracle.spark_rows(entry.queries()[name](spark, sf_dir))
     assert got == oracle.sql_rows(con, entry.oracle_sql()[name])
