@@ -1,4 +1,4 @@
-"""Table schemas. Column names, order and types are fixed values of the data contract."""
+"""Table schemas. Column names and types are fixed values of the data contract; columns are read by name."""
 
 from __future__ import annotations
 
@@ -6,75 +6,83 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Spark's own DDL reader needs a running session; schemas are also needed before there is one.
 _TYPES = {
-    "L": T.LongType(),
-    "I": T.IntegerType(),
-    "S": T.StringType(),
-    "B": T.BooleanType(),
-    "D": T.DoubleType(),
-    "TS": T.TimestampType(),
-    "SS": T.ArrayType(T.StringType()),
+    "BIGINT": T.LongType(),
+    "INT": T.IntegerType(),
+    "STRING": T.StringType(),
+    "BOOLEAN": T.BooleanType(),
+    "DOUBLE": T.DoubleType(),
+    "TIMESTAMP": T.TimestampType(),
+    "ARRAY<STRING>": T.ArrayType(T.StringType()),
 }
 
 
-def table(spec: str) -> T.StructType:
-    """``"a L, b S"`` -> StructType; every column is nullable."""
-    fields = (item.split() for item in spec.split(","))
-    return T.StructType([T.StructField(name, _TYPES[code], True) for name, code in fields])
+def table(ddl: str) -> T.StructType:
+    """``"a BIGINT, b STRING"`` -> StructType; every column is nullable."""
+    fields = (item.split() for item in ddl.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind], True) for name, kind in fields])
 
 
 # Crawled posts before classification.
 POST_RAW = table(
-    "doc_type L, source_type L, crawl_source L, crawl_source_code S, pub_time L, crawl_time L, sentiment L, "
-    "title S, description S, content S, url S, media_urls S, subject_id S, web_tags S, web_keywords S, "
-    "reactions L, comments L, shares L, favors L, views L, auth_id S, auth_url S, auth_name S, auth_type L, "
-    "source_id S, source_url S, source_name S, reply_to S, level L, id S, mg_sync B"
+    "doc_type BIGINT, source_type BIGINT, crawl_source BIGINT, crawl_source_code STRING, pub_time BIGINT, "
+    "crawl_time BIGINT, sentiment BIGINT, title STRING, description STRING, content STRING, url STRING, "
+    "media_urls STRING, subject_id STRING, web_tags STRING, web_keywords STRING, reactions BIGINT, comments "
+    "BIGINT, shares BIGINT, favors BIGINT, views BIGINT, auth_id STRING, auth_url STRING, auth_name STRING, "
+    "auth_type BIGINT, source_id STRING, source_url STRING, source_name STRING, reply_to STRING, level BIGINT, id "
+    "STRING, mg_sync BOOLEAN"
 )
 
 # Crawled posts that already carry an organisation; level arrives as text here.
 POST_RAW_CLASSIFIED = T.StructType(
     [T.StructField(f.name, T.StringType() if f.name == "level" else f.dataType, True) for f in POST_RAW]
-    + list(table("org_id L, mg_sync_at TS"))
+    + list(table("org_id BIGINT, mg_sync_at TIMESTAMP"))
 )
 
 # One row per organisation.
-ORG_DICT = table("code S, keywords SS, org_id I, spamwords SS")
-ORG_CODES = table("code S, org_id I")
+ORG_DICT = table("code STRING, keywords ARRAY<STRING>, org_id INT, spamwords ARRAY<STRING>")
+ORG_CODES = table("code STRING, org_id INT")
 
 # Stored posts, one row per (url, organisation).
 POST_STORED = table(
-    "post_id S, doc_type I, source_type I, crawl_source I, crawl_source_code S, pub_time L, crawl_time L, "
-    "subject_id S, title S, description S, content S, url S, media_urls S, comments I, shares I, reactions I, "
-    "favors I, views I, web_tags S, web_keywords S, auth_id S, auth_name S, auth_type I, auth_url S, "
-    "source_id S, source_name S, source_url S, reply_to S, level I, org_id I, sentiment I, pg_sync B, "
-    "createdAt TS, updatedAt TS"
+    "post_id STRING, doc_type INT, source_type INT, crawl_source INT, crawl_source_code STRING, pub_time BIGINT, "
+    "crawl_time BIGINT, subject_id STRING, title STRING, description STRING, content STRING, url STRING, "
+    "media_urls STRING, comments INT, shares INT, reactions INT, favors INT, views INT, web_tags STRING, "
+    "web_keywords STRING, auth_id STRING, auth_name STRING, auth_type INT, auth_url STRING, source_id STRING, "
+    "source_name STRING, source_url STRING, reply_to STRING, level INT, org_id INT, sentiment INT, pg_sync "
+    "BOOLEAN, createdAt TIMESTAMP, updatedAt TIMESTAMP"
 )
 
 # Rows of the relational publish table.
 POST_PUBLISH = table(
-    "id S, org_id I, doc_type I, source_type I, crawl_source I, crawl_source_code S, pub_time L, crawl_time L, "
-    "subject_id S, title S, description S, content S, url S, media_urls S, comments I, shares I, reactions I, "
-    "favors I, views I, web_tags S, web_keywords S, auth_id S, auth_name S, auth_type I, source_id S, "
-    "source_name S, reply_to S, level I, sentiment I, is_sent I, spam I, completed I, source_url S, auth_url S, "
-    "bot_id S"
+    "id STRING, org_id INT, doc_type INT, source_type INT, crawl_source INT, crawl_source_code STRING, pub_time "
+    "BIGINT, crawl_time BIGINT, subject_id STRING, title STRING, description STRING, content STRING, url STRING, "
+    "media_urls STRING, comments INT, shares INT, reactions INT, favors INT, views INT, web_tags STRING, "
+    "web_keywords STRING, auth_id STRING, auth_name STRING, auth_type INT, source_id STRING, source_name STRING, "
+    "reply_to STRING, level INT, sentiment INT, is_sent INT, spam INT, completed INT, source_url STRING, auth_url "
+    "STRING, bot_id STRING"
 )
 
 # Posts arriving as JSON messages.
 POST_STREAM = table(
-    "auth_id S, auth_name S, auth_type I, auth_url S, comments I, content S, crawl_source I, "
-    "crawl_source_code S, crawl_time L, description S, doc_type I, favors I, level S, media_urls S, pg_sync B, "
-    "post_id S, pub_time L, reactions I, reply_to S, sentiment I, shares I, source_id S, source_name S, "
-    "source_type I, source_url S, subject_id S, title S, url S, views I, web_keywords S, web_tags S"
+    "auth_id STRING, auth_name STRING, auth_type INT, auth_url STRING, comments INT, content STRING, crawl_source "
+    "INT, crawl_source_code STRING, crawl_time BIGINT, description STRING, doc_type INT, favors INT, level "
+    "STRING, media_urls STRING, pg_sync BOOLEAN, post_id STRING, pub_time BIGINT, reactions INT, reply_to STRING, "
+    "sentiment INT, shares INT, source_id STRING, source_name STRING, source_type INT, source_url STRING, "
+    "subject_id STRING, title STRING, url STRING, views INT, web_keywords STRING, web_tags STRING"
 )
 
 # Product property messages and the rows made from them.
 PROPERTY_EVENT = table(
-    "product_id L, property_name S, property_stock I, property_sold I, property_promotion_id L, "
-    "property_price I, property_price_before_discount I, property_id L, shop_id L, crawl_time TS, rating_star D"
+    "product_id BIGINT, property_name STRING, property_stock INT, property_sold INT, property_promotion_id "
+    "BIGINT, property_price INT, property_price_before_discount INT, property_id BIGINT, shop_id BIGINT, "
+    "crawl_time TIMESTAMP, rating_star DOUBLE"
 )
 PROPERTY_OUT = table(
-    "property_id L, product_id L, name S, value S, property_price I, property_price_before_discount I, "
-    "property_stock I, property_sold I, property_promotion_id L, rating_star D, crawl_time TS"
+    "property_id BIGINT, product_id BIGINT, name STRING, value STRING, property_price INT, "
+    "property_price_before_discount INT, property_stock INT, property_sold INT, property_promotion_id BIGINT, "
+    "rating_star DOUBLE, crawl_time TIMESTAMP"
 )
 
 

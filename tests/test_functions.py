@@ -95,7 +95,7 @@ def test_variation_pair(spark):
 
 def test_lenient_casts(spark):
     df = spark.createDataFrame([("12", 5), ("x", 2**40), (None, None), ("", -1)], "level string, views long")
-    assert [tuple(r) for r in conform(df, table("views I, level I")).collect()] == [(5, 12), (None, None), (None, None), (-1, None)]
+    assert [tuple(r) for r in conform(df, table("views INT, level INT")).collect()] == [(5, 12), (None, None), (None, None), (-1, None)]
 
 
 def test_schema_sizes():

@@ -191,9 +191,9 @@ def test_properties(spark):
 def test_parse_json(spark):
     texts = ['{"a":1,"b":"x"}', "broken", '{"b":"y"}', '{"a":"text"}', '{"a":99999999999}', None]
     df = spark.createDataFrame([(t,) for t in texts], "value string").select(F.col("value").cast("binary").alias("value"))
-    got = [tuple(r) for r in parse.parse_json(df, table("a I, b S")).collect()]
+    got = [tuple(r) for r in parse.parse_json(df, table("a INT, b STRING")).collect()]
     assert got == [(1, "x"), (None, None), (None, "y"), (None, None), (None, None), (None, None)]
-    kept = parse.parse_json(df, table("a I, b S"), keep_bad=True)
+    kept = parse.parse_json(df, table("a INT, b STRING"), keep_bad=True)
     assert values(parse.bad_messages(kept)) == [("broken",), ('{"a":"text"}',), ('{"a":99999999999}',)]
     assert parse.good_messages(kept).count() == 3
 
@@ -215,7 +215,7 @@ def test_classify_stream_equals_batch_and_each_batch(spark, posts, orgs, tmp_pat
 
 def test_replayed_stream(spark, tmp_path):
     spark.range(5).coalesce(1).write.parquet(str(tmp_path / "in"))
-    stream = read_stream(spark, specs.files("parquet", str(tmp_path / "in"), table("id L")))
+    stream = read_stream(spark, specs.files("parquet", str(tmp_path / "in"), table("id BIGINT")))
     once, each = specs.SinkSpec("parquet", path=str(tmp_path / "once")), specs.SinkSpec("parquet", path=str(tmp_path / "each"))
     for run in "ab":
         drain(stream, tmp_path, run, jobs.append_missing_each_batch(once, ["id"]))

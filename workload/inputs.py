@@ -76,6 +76,16 @@ def derived_orgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Keywords longer than this stand for a spam list.
+RARE_LENGTH = 14
+
+
+def rare_spam(dictionary: DataFrame) -> DataFrame:
+    """The derived dictionary with its longest words alone as spam entries, encoded as JSON."""
+    words = F.filter("keywords", lambda w: F.char_length(w) > RARE_LENGTH)
+    return dictionary.withColumn("spamwords", F.transform(words, lambda w: F.to_json(F.struct(F.struct(w.alias("content")).alias("match_phrase")))))
+
+
 DERIVED_SQL = rf"""
     words AS (SELECT DISTINCT CAST(item_id AS INTEGER) AS org_id, unnest(regexp_extract_all(text, '{DICT_LETTERS}')) AS keyword
               FROM benchmark)"""
@@ -83,7 +93,7 @@ DERIVED_SQL = rf"""
 
 # --- posts -----------------------------------------------------------------------------------------
 
-# column -> (expression valid in both dialects)
+# Contract columns, with an expression valid in both dialects
 POST_COLUMNS = {
     "doc_type": "length(lang)",
     "source_type": "length(source)",
@@ -149,6 +159,7 @@ def post_messages(documents: DataFrame) -> DataFrame:
 
 # --- product property events -------------------------------------------------------------------------
 
+# Contract columns.
 PROPERTY_COLUMNS = {
     "product_id": "user_id",
     "property_name": "concat(event_type, ', ', props)",
@@ -180,6 +191,17 @@ PROPERTIES_SQL = """
         value AS rating_star, ts AS crawl_time FROM events)"""
 
 
+def planted_events(properties: DataFrame) -> DataFrame:
+    """Some events lose their time, some their property: malformed messages arrive so."""
+    sold = F.col("property_sold")
+    return properties.withColumns({"crawl_time": F.when(sold % 11 != 0, F.col("crawl_time")), "property_id": F.when(sold % 13 != 0, F.col("property_id"))})
+
+
+PLANTED_SQL = """
+    planted AS (SELECT * REPLACE (CASE WHEN property_sold % 11 <> 0 THEN crawl_time END AS crawl_time,
+                                  CASE WHEN property_sold % 13 <> 0 THEN property_id END AS property_id) FROM properties)"""
+
+
 def naive_stamps(df: DataFrame) -> DataFrame:
     """Zoned timestamps as plain ones, which is how the SQL side reads them."""
     return df.withColumns(

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from postflow.functions import calendar, ids, phrases, variations
 from postflow.operators import dedupe, incremental, matching, quality, sales
-from postflow.plans import classify, property_sales as sales_plan, publish
+from postflow.plans import classify, daily, property_sales as sales_plan, publish
 from postflow.schemas import POST_PUBLISH, POST_STORED, POST_STREAM, PROPERTY_EVENT, conform, table as schema
 from postflow.session import run_folder
 from postflow.sources.readers import read_source
 from postflow.sources.specs import SinkSpec, StreamSinkSpec, files
-from postflow.sources.writers import write, write_json, write_stream
+from postflow.sources.writers import write, write_if_any, write_json, write_stream
 from postflow.streaming import jobs, parse
 from workload.inputs import (
     AS_OF,
@@ -33,7 +33,11 @@ from workload.inputs import (
     naive_stamps,
     orgs,
     plain_orgs,
+    RARE_LENGTH,
+    planted_events,
+    PLANTED_SQL,
     post_messages,
+    rare_spam,
     stream,
     table,
 )
@@ -41,6 +45,8 @@ from workload.inputs import (
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 HOUR = "1 hour"
+#: Limits that send any dictionary the shuffled way.
+ANY_SIZE = matching.MatchLimits(literal_terms=0, automaton_terms=0)
 
 
 def query(sql: str | None = None):
@@ -97,18 +103,60 @@ def classify_posts(spark: SparkSession, d: str) -> DataFrame:
     return naive_stamps(classify.classify_posts(_posts(spark, d), orgs(spark), AS_OF))
 
 
-@query(f"""WITH {DERIVED_SQL}, {POSTS_SQL},
+_LARGE_SQL = f"""{DERIVED_SQL}, {POSTS_SQL},
+    late AS (SELECT DISTINCT keyword AS term FROM words WHERE length(keyword) > {RARE_LENGTH}),
     matched AS (SELECT DISTINCT p.*, w.org_id FROM posts p JOIN words w ON contains(lower(p.content), lower(w.keyword))
-                WHERE {_IN_WINDOW} AND content <> '')
-    SELECT url, org_id, crawl_time, id FROM matched
-    QUALIFY row_number() OVER (PARTITION BY url, org_id ORDER BY crawl_time DESC, id DESC) = 1""")
+                WHERE {_IN_WINDOW} AND content <> '' AND NOT EXISTS (SELECT 1 FROM late WHERE contains(lower(p.content), lower(term))))"""
+
+
+@query(f"""WITH {_LARGE_SQL} {_stored_sql('matched')}""")
 def classify_large_dictionary(spark, d):
-    """Hundreds of organisations and keywords derived from the data, no spam list."""
-    dictionary = derived_orgs(spark, d).withColumn("spamwords", F.array().cast("array<string>"))
-    posts = _posts(spark, d).filter(calendar.in_publish_window(F.col("pub_time"), AS_OF))
-    matched = matching.match_orgs(matching.has_text(posts), phrases.org_keywords(dictionary))
-    narrow = matched.select("url", "org_id", "crawl_time", "id")
-    return dedupe.latest_crawl(narrow, ["url", "org_id"])
+    """Hundreds of organisations, keywords and spam phrases derived from the data."""
+    return naive_stamps(classify.classify_posts(_posts(spark, d), rare_spam(derived_orgs(spark, d)), AS_OF))
+
+
+@query(ORACLES["classify_large_dictionary"])
+def classify_shuffled(spark, d):
+    """The same by the way for dictionaries of any size."""
+    return naive_stamps(classify.classify_posts(_posts(spark, d), rare_spam(derived_orgs(spark, d)), AS_OF, limits=ANY_SIZE))
+
+
+_WORDS_SQL = f"""WITH {DERIVED_SQL}
+    SELECT doc_id, EXISTS (SELECT 1 FROM words WHERE contains(lower(t.text), lower(keyword))) AS has_spamwords FROM documents t"""
+
+
+@query(_WORDS_SQL)
+def spam_flag_large(spark, d):
+    """Hundreds of terms, in one pass over each text."""
+    terms = phrases.org_keywords(derived_orgs(spark, d)).select(F.col("keyword").alias("term"))
+    return matching.is_spam(table(spark, d, "documents"), terms, content="text").select("doc_id", "has_spamwords")
+
+
+@query(_WORDS_SQL)
+def spam_flag_shuffled(spark, d):
+    terms = phrases.org_keywords(derived_orgs(spark, d)).select(F.col("keyword").alias("term"))
+    return matching.is_spam(table(spark, d, "documents"), terms, content="text", limits=ANY_SIZE).select("doc_id", "has_spamwords")
+
+
+_ARRAY_SQL = f"""WITH {DERIVED_SQL}, once AS (SELECT DISTINCT keyword FROM words)
+    SELECT doc_id, coalesce((SELECT string_agg(keyword, '|' ORDER BY keyword) FROM once
+                             WHERE contains(lower(t.text), lower(keyword))), '') AS matched_keywords FROM documents t"""
+
+
+@query(_ARRAY_SQL)
+def matched_keywords_large(spark, d):
+    found = matching.matched_keywords(table(spark, d, "documents"), phrases.org_keywords(derived_orgs(spark, d)), content="text")
+    return found.select("doc_id", F.array_join("matched_keywords", "|").alias("matched_keywords"))
+
+
+@query(f"""WITH short AS (SELECT DISTINCT lower(substr(keyword, 1, 4)) AS keyword FROM (SELECT unnest(regexp_extract_all(text, '{DICT_LETTERS}')) AS keyword FROM benchmark))
+    SELECT doc_id, coalesce((SELECT string_agg(keyword, '|' ORDER BY keyword) FROM short
+                             WHERE contains(lower(t.text), keyword)), '') AS matched_keywords FROM documents t""")
+def matched_short_terms_shuffled(spark, d):
+    """Terms of four letters by the way for dictionaries of any size: they meet texts by their own length."""
+    terms = phrases.org_keywords(derived_orgs(spark, d)).select(F.lower(F.substring("keyword", 1, 4)).alias("keyword"))
+    found = matching.matched_keywords(table(spark, d, "documents"), terms, content="text", limits=ANY_SIZE)
+    return found.select("doc_id", F.array_join("matched_keywords", "|").alias("matched_keywords"))
 
 
 @query(f"""WITH {_CLEAN}
@@ -231,7 +279,7 @@ def cast_projection(spark, d):
         (F.col("o_orderkey") * 1000000).alias("views"),
         F.col("o_custkey").alias("auth_id"),
     )
-    return conform(raw, schema("o_orderkey L, level I, doc_type I, views I, auth_id S"))
+    return conform(raw, schema("o_orderkey BIGINT, level INT, doc_type INT, views INT, auth_id STRING"))
 
 
 @query("""SELECT o_orderkey AS order_id, o_orderstatus, 0 AS is_sent, 0 AS spam, 0 AS completed, 'bot_cron' AS bot_id FROM orders""")
@@ -324,9 +372,11 @@ def dedupe_latest(spark, d):
     return dedupe.keep_latest(events, ["user_id", "event_type"], [F.col("ts").desc(), F.col("event_id").desc()])
 
 
-@query("SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+@query("SELECT DISTINCT * FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1)")
 def compact_dedup(spark, d):
-    return dedupe.compact_dedup(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"))
+    """Whole rows; those of first lines come twice."""
+    lines = table(spark, d, "lineitem")
+    return dedupe.compact_dedup(lines.unionByName(lines.filter("l_linenumber = 1")))
 
 
 _LOADED = "DATE '1998-01-01'"
@@ -401,10 +451,79 @@ def append_missing_table(spark, d):
     return spark.read.parquet(sink.path)
 
 
+@query("SELECT o_totalprice, o_orderkey, o_orderstatus FROM orders")
+def append_missing_key_not_first(spark, d):
+    """A target whose format goes by position, and a key that is not the first column."""
+    sink = SinkSpec("csv", path=run_folder(spark, "orders-csv"), options={"header": "true"})
+    orders = table(spark, d, "orders").select("o_totalprice", "o_orderkey", "o_orderstatus")
+    write(orders.filter("o_orderstatus = 'F'").limit(0).select("o_totalprice", F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderstatus"), sink)
+    for part in (orders.filter("o_orderstatus = 'F'"), orders):
+        incremental.append_missing(part, sink, ["o_orderkey"], count_target=False)
+    return read_source(spark, files("csv", sink.path, schema("o_totalprice DOUBLE, o_orderkey BIGINT, o_orderstatus STRING"), header="true"))
+
+
+@query("SELECT DISTINCT p_brand, p_type, p_size FROM part")
+def append_missing_whole_rows(spark, d):
+    """Whole rows through the sink; the target has a key column of its own."""
+    sink = SinkSpec("parquet", path=run_folder(spark, "parts"))
+    parts = table(spark, d, "part").select("p_brand", "p_type", "p_size")
+    write(parts.filter("p_size < 20").distinct().withColumn("row_id", F.xxhash64("p_brand", "p_type", "p_size")), sink)
+    report = incremental.append_missing(parts, sink, surrogate="row_id")
+    assert report.n_missing == parts.filter("p_size >= 20").distinct().count()
+    return spark.read.parquet(sink.path).select("p_brand", "p_type", "p_size")
+
+
+@query("SELECT count(*) AS n, false AS wrote_nothing FROM supplier WHERE s_acctbal > 0")
+def write_guarded(spark, d):
+    """An empty result is not written, another one is."""
+    sink, empty = (SinkSpec("parquet", path=run_folder(spark, label)) for label in ("suppliers", "none"))
+    suppliers = table(spark, d, "supplier")
+    wrote = write_if_any(suppliers.filter("s_acctbal > 0"), sink)
+    nothing = write_if_any(suppliers.filter("s_acctbal > 1e12"), empty)
+    return spark.read.parquet(sink.path).agg(F.count(F.lit(1)).alias("n")).withColumn("wrote_nothing", F.lit(nothing or not wrote))
+
+
+@query("SELECT c_custkey, c_name FROM customer")
+def json_array_import(spark, d):
+    """Files that hold one array of objects, or one object."""
+    folder = run_folder(spark, "json-arrays")
+    rows = table(spark, d, "customer").select(F.to_json(F.struct("c_custkey", "c_name")).alias("o"), F.col("c_custkey").alias("k"))
+    arrays = rows.filter("k % 7 <> 0").groupBy(F.expr("k % 5")).agg(F.concat(F.lit("["), F.array_join(F.collect_list("o"), ",\n"), F.lit("]")).alias("value"))
+    arrays.select("value").repartition(5).write.option("maxRecordsPerFile", 1).text(f"{folder}/a")
+    rows.filter("k % 7 = 0").select(F.col("o").alias("value")).write.option("maxRecordsPerFile", 1).text(f"{folder}/b")
+    kinds = schema("c_custkey BIGINT, c_name STRING")
+    parts = [read_source(spark, files("json", f"{folder}/{x}", kinds, multiLine="true")) for x in "ab"]
+    return parts[0].unionByName(parts[1])
+
+
+@query(f"""WITH {_CLEAN},
+    matched AS (SELECT DISTINCT c.*, k.org_id FROM clean c JOIN keywords k ON contains(lower(c.content), lower(k.keyword)) WHERE {_IN_WINDOW}),
+    raw AS ({_stored_sql('matched')}),
+    labelled AS (SELECT *, org_of_lang AS org_id FROM posts WHERE {_IN_WINDOW}),
+    given AS ({_stored_sql('labelled')}),
+    store AS (SELECT * FROM raw UNION ALL SELECT * FROM given WHERE post_id NOT IN (SELECT post_id FROM raw))
+    SELECT url, org_id, code, crawl_time FROM store JOIN codes USING (org_id)""")
+def daily_run(spark, d):
+    """Classify, normalise and publish over file stores; what is published."""
+    folder = run_folder(spark, "daily")
+    docs = table(spark, d, "documents")
+    kinds = {"raw": as_posts(docs), "labelled": as_classified_posts(docs), "orgs": orgs(spark)}
+    for name, df in kinds.items():
+        df.write.parquet(f"{folder}/{name}")
+    spec = {name: files("parquet", f"{folder}/{name}", df.schema) for name, df in kinds.items()}
+    config = daily.DailyConfig(
+        spec["raw"], spec["labelled"], spec["orgs"], files("parquet", f"{folder}/store"),
+        SinkSpec("parquet", path=f"{folder}/store"), SinkSpec("parquet", path=f"{folder}/publish"),
+    )
+    daily.daily_run(spark, config, AS_OF)
+    rows = spark.read.parquet(f"{folder}/publish")
+    return rows.select("url", "org_id", F.split("id", "-")[0].alias("code"), "crawl_time")
+
+
 @query("SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
 def json_roundtrip(spark, d):
     folder = run_folder(spark, "customers")
-    names = schema("c_custkey L, c_name S, c_acctbal D, c_mktsegment S")
+    names = schema("c_custkey BIGINT, c_name STRING, c_acctbal DOUBLE, c_mktsegment STRING")
     write_json(table(spark, d, "customer").select(*names.names), folder)
     return read_source(spark, files("json", folder, names))
 
@@ -418,13 +537,13 @@ def parse_json_events(spark, d):
     broken = F.concat(F.lit("broken "), "props")
     good = F.concat(F.lit('{"event_id": '), "event_id", F.lit(", "), F.expr("substring(props, 2)"))
     value = F.when(F.col("event_type") == "error", broken).otherwise(good)
-    return parse.parse_json(table(spark, d, "events").select(value.alias("value")), schema("event_id L, k I"))
+    return parse.parse_json(table(spark, d, "events").select(value.alias("value")), schema("event_id BIGINT, k INT"))
 
 
 @query("""SELECT concat('broken ', props) AS bad FROM events WHERE event_type = 'error'""")
 def bad_json_events(spark, d):
     value = F.when(F.col("event_type") == "error", F.concat(F.lit("broken "), "props")).otherwise(F.col("props"))
-    parsed = parse.parse_json(table(spark, d, "events").select(value.alias("value")), schema("k I"), keep_bad=True)
+    parsed = parse.parse_json(table(spark, d, "events").select(value.alias("value")), schema("k INT"), keep_bad=True)
     return parse.bad_messages(parsed).select(F.col(parse.CORRUPT).alias("bad"))
 
 
@@ -454,12 +573,14 @@ _LAST_SQL = f"""{PROPERTIES_SQL},
     win AS (SELECT product_id, property_id, CAST(floor(epoch(crawl_time) / 3600) AS BIGINT) * 3600 AS window_start,
                    arg_max(property_sold, crawl_time) AS total_sales, arg_max(property_price, crawl_time) AS price
             FROM properties GROUP BY 1, 2, 3)"""
-_GMV_SQL = f"""{_LAST_SQL},
-    gmv AS (SELECT w.*, p.total_sales AS prev_total_sales,
+_GMV_OF = """gmv AS (SELECT w.*, p.total_sales AS prev_total_sales,
                    CASE WHEN p.total_sales IS NULL THEN 0 ELSE w.total_sales - p.total_sales END AS quantity,
                    CASE WHEN p.total_sales IS NULL THEN 0 ELSE w.total_sales - p.total_sales END * w.price AS gmv
             FROM win w LEFT JOIN win p ON w.product_id = p.product_id AND w.property_id = p.property_id
                  AND w.window_start = p.window_start + 3600)"""
+_GMV_SQL = f"""{_LAST_SQL}, {_GMV_OF}"""
+_PLANTED_GMV_SQL = f"""{_LAST_SQL.replace("FROM properties", "FROM planted").replace(PROPERTIES_SQL, PROPERTIES_SQL + ", " + PLANTED_SQL)}
+    , {_GMV_OF}"""
 _CLOSED = "window_start + 3600 <= (SELECT epoch(max(ts)) FROM events) - 600"
 
 
@@ -478,12 +599,13 @@ def window_prev_delta(spark, d):
     return gmv.withColumn("window_start", F.unix_timestamp("window_start"))
 
 
-@query(f"""WITH {_GMV_SQL} SELECT e.property_promotion_id AS event_id, e.product_id, e.property_id, g.quantity, g.gmv,
+@query(f"""WITH {_PLANTED_GMV_SQL} SELECT e.property_promotion_id AS event_id, e.product_id, e.property_id, coalesce(g.quantity, 0) AS quantity, coalesce(g.gmv, 0) AS gmv,
     split_part(e.property_name, ',', 1) AS property_name_1
-    FROM properties e JOIN gmv g ON e.product_id = g.product_id AND e.property_id = g.property_id
+    FROM planted e LEFT JOIN gmv g ON e.product_id = g.product_id AND e.property_id = g.property_id
       AND g.window_start = CAST(floor(epoch(e.crawl_time) / 3600) AS BIGINT) * 3600""")
 def gmv_attach(spark, d):
-    events = _properties(spark, d)
+    """Some events have no time, some no key: they stay, with 0."""
+    events = planted_events(_properties(spark, d))
     rows = sales.attach_gmv(events, sales.property_gmv(events, width=HOUR), width=HOUR)
     models = rows.withColumn("m", variations.split_variation_pair(F.col("property_name")))
     return models.select(
@@ -492,16 +614,21 @@ def gmv_attach(spark, d):
     )
 
 
-_SALES_SQL = f"""WITH {_GMV_SQL} SELECT e.property_id, e.product_id, split_part(e.property_name, ',', 1) AS property_name_1,
+def _sales_sql(gmv: str, events: str, join: str) -> str:
+    return f"""WITH {gmv} SELECT e.property_id, e.product_id, split_part(e.property_name, ',', 1) AS property_name_1,
     ' ' || split_part(e.property_name, ', ', 2) AS property_name_2, e.property_price, e.property_price_before_discount,
-    e.property_stock, e.property_sold, e.property_promotion_id, g.quantity, g.gmv, e.rating_star, e.crawl_time
-    FROM properties e JOIN gmv g ON e.product_id = g.product_id AND e.property_id = g.property_id
+    e.property_stock, e.property_sold, e.property_promotion_id, coalesce(g.quantity, 0) AS quantity, coalesce(g.gmv, 0) AS gmv,
+    e.rating_star, e.crawl_time
+    FROM {events} e {join} gmv g ON e.product_id = g.product_id AND e.property_id = g.property_id
       AND g.window_start = CAST(floor(epoch(e.crawl_time) / 3600) AS BIGINT) * 3600"""
 
 
-@query(_SALES_SQL)
+_SALES_SQL = _sales_sql(_GMV_SQL, "properties", "JOIN")
+
+
+@query(_sales_sql(_PLANTED_GMV_SQL, "planted", "LEFT JOIN"))
 def property_sales(spark, d):
-    return naive_stamps(sales_plan.property_sales(_properties(spark, d), width=HOUR))
+    return naive_stamps(sales_plan.property_sales(planted_events(_properties(spark, d)), width=HOUR))
 
 
 # --- quality ---------------------------------------------------------------------------------------
@@ -547,6 +674,31 @@ def dq_invalid_rows(spark, d):
     return invalid.select("post_id", F.array_join("violations", "|").alias("violations"))
 
 
+@query(f"""WITH {_CLEAN},
+    matched AS (SELECT DISTINCT c.*, k.org_id FROM clean c JOIN keywords k ON contains(lower(c.content), lower(k.keyword)) WHERE {_IN_WINDOW}),
+    stored AS ({_stored_sql('matched')})
+    SELECT 'not_null' AS rule, 'post_id' AS "column", count(*) FILTER (lang_known IS NULL) AS n_bad
+        FROM (SELECT CASE WHEN crawl_source_code <> 'FR' THEN 1 END AS lang_known FROM stored) UNION ALL
+    SELECT 'not_null', 'org_id', count(*) FILTER (org_id IS NULL) FROM stored UNION ALL
+    SELECT 'type', 'sentiment', count(*) FROM stored""")
+def dq_store_contract(spark, d):
+    """Contract of the document store on classified posts, with planted faults: ids taken away, a column of another type."""
+    stored = classify.classify_posts(_posts(spark, d), orgs(spark), AS_OF)
+    faulty = stored.withColumns({"post_id": F.when(F.col("crawl_source_code") != "FR", F.col("post_id")), "sentiment": F.col("sentiment").cast("bigint")})
+    return quality.check(faulty, quality.STORE_CONTRACT)
+
+
+@query(f"""WITH p AS ({ORACLES["publish_posts"]})
+    SELECT 'not_null' AS rule, c AS "column", 0 AS n_bad FROM (VALUES ('id'), ('url'), ('org_id')) v(c) UNION ALL
+    SELECT 'max_length', c, 0 FROM (VALUES {", ".join(f"('{c}')" for c in quality.PUBLISHED_CONTRACT.max_length if c in POST_PUBLISH.names)}) v(c) UNION ALL
+    SELECT 'smallint', c, 0 FROM (VALUES ('source_type'), ('auth_type'), ('is_sent'), ('spam'), ('completed'), ('doc_type')) v(c) UNION ALL
+    SELECT 'smallint', 'crawl_source', count(*) FILTER (crawl_source > 32767) FROM p UNION ALL
+    SELECT 'primary_key', 'id', count(*) FROM (SELECT id FROM p GROUP BY 1 HAVING count(*) > 1)""")
+def dq_published(spark, d):
+    """Contract of the publish table on what the publish job gives."""
+    return quality.check(publish_posts(spark, d), quality.PUBLISHED_CONTRACT)
+
+
 @query(f"""WITH {_DQ_SQL} SELECT post_id, coalesce(sentiment, 0) AS sentiment, 0 AS is_sent, 0 AS spam FROM p""")
 def dq_defaults(spark, d):
     filled = quality.apply_defaults(_dq(spark, d), quality.PUBLISH_CONTRACT)
