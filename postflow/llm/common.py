@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postflow.session import run_folder
@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once below ``spark.checkpoint.dir`` and go on from the written table.
 
-    Cuts lineage, survives lost executors, and freezes values (row numbers, folds) that must not change
+    Cuts lineage, survives lost executors, and freezes values (such as row numbers) that must not change
     between the jobs that read them.
     """
     spark = df.sparkSession
@@ -35,10 +35,26 @@ def free_name(taken: Iterable[str], wanted: str) -> str:
     return wanted
 
 
-def numbered(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """Stage ``df`` with a number per row, so that repeated rows and NULL ids stay distinguishable."""
-    row = free_name(df.columns, "row_no")
-    return stage(df.withColumn(row, F.monotonically_increasing_id()), label), row
+def text_mark(text: Column) -> Column:
+    """Hash of a text (NULL is empty); with the row's id it tells rows apart that are not copies of each other."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def keep_marked(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id and text are in ``kept`` (id, mark), all columns; of repeated rows one.
+
+    ``docs`` is read anew instead of being copied, so nothing depends on row numbers that another job would
+    count differently. Join and choice among repeated rows share one shuffle, on a key that no two texts share.
+    """
+    none, number, mark, rank = (free_name(docs.columns, n) for n in ("no_id", "an_id", "text_mark", "copy_no"))
+
+    def key(an_id: Column, a_mark: Column) -> list[Column]:
+        return [an_id.isNull().alias(none), F.coalesce(an_id.cast("long"), F.lit(0)).alias(number), a_mark.alias(mark)]
+
+    marked = docs.select("*", *key(F.col(id_col), text_mark(F.col(text_col))))
+    found = marked.join(kept.select(*key(F.col("id"), F.col("mark"))), [none, number, mark], "left_semi")
+    first = F.row_number().over(Window.partitionBy(none, number, mark).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])))
+    return found.withColumn(rank, first).where(F.col(rank) == 1).select(*docs.columns)
 
 
 def partitions_for(spark: SparkSession, n_rows: int, rows_each: int) -> int:

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postflow.llm.common import free_name, numbered, stage
+from postflow.llm.common import free_name, keep_marked, stage, text_mark
 
 #: Characters that do not count when texts are compared: space and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\f\r"
@@ -199,11 +199,11 @@ def normalised(text) -> F.Column:
 
 
 def digests(docs: DataFrame, id_col: str, text_col: str, row_col: str, buckets: int) -> DataFrame:
-    """(bucket, digest, n_chars, id, row) of every row; the bucket comes from the digest."""
+    """(bucket, digest, n_chars, id, row, mark) of every row; the bucket comes from the digest."""
     text = F.col(text_col).cast("string")
     return docs.select(
         F.unhex(F.sha2(normalised(text).cast("binary"), 256)).alias("digest"), F.length(F.coalesce(text, F.lit(""))).cast("long").alias("n_chars"),
-        F.col(id_col).cast("long").alias("id"), F.col(row_col).cast("long").alias("row"),
+        F.col(id_col).cast("long").alias("id"), F.col(row_col).cast("long").alias("row"), text_mark(text).alias("mark"),
     ).select(F.pmod(F.xxhash64("digest"), F.lit(buckets)).cast("int").alias("bucket"), "*")
 
 
@@ -228,7 +228,7 @@ class CuckooIndex:
 
     def insert(self, rows: DataFrame) -> CuckooIndex:
         """Add rows from ``digests``."""
-        thin = rows.mapInPandas(_thin, "bucket int, digest binary, n_chars long, id long, row long, size long")
+        thin = rows.select("bucket", "digest", "n_chars", "id", "row").mapInPandas(_thin, "bucket int, digest binary, n_chars long, id long, row long, size long")
         return self._changed(thin, _insert)
 
     def lookup(self, rows: DataFrame) -> DataFrame:
@@ -266,11 +266,11 @@ class CuckooIndex:
         return CuckooIndex(stage(changed, "cuckoo"), self.buckets)
 
 
-def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, bucket_rows: int = 100_000, least_buckets: int = 64, row_col: str | None = None) -> DataFrame:
+def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, bucket_rows: int = 100_000, least_buckets: int = 64) -> DataFrame:
     """Which rows have the same text, blanks aside, and which one of them stays.
 
-    Returns (row, id, keep_id, group_size, kept, text_sha256) for every row of ``docs``; ``row`` numbers the
-    rows (or is ``row_col``). Equal texts: identical after deleting space and U+0009 to U+000D; NULL counts
+    Returns (row, id, mark, keep_id, group_size, kept, text_sha256) for every row of ``docs``; ``row`` numbers the
+    rows, ``mark`` is a hash of the text. Equal texts: identical after deleting space and U+0009 to U+000D; NULL counts
     as empty, so all NULL, empty and blank texts are one group. The row with the most code points stays, then
     the smallest id (NULL last), then the first row, so of repeated rows exactly one stays. A group whose rows
     all have a NULL id has a NULL keep_id. Other columns are not read. An empty table gives no rows.
@@ -278,20 +278,18 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Rows are inserted in a ``CuckooIndex``: copies collapse within each batch before the shuffle, and what
     reaches a bucket is at most one entry per text and batch, whatever the size of a group.
     """
-    row = row_col or free_name(docs.columns, "row_no")
-    source = docs if row_col else docs.withColumn(row, F.monotonically_increasing_id())
-    buckets = max(least_buckets, -(-source.count() // bucket_rows))
-    rows = stage(digests(source, id_col, text_col, row, buckets), "digests")
+    row = free_name(docs.columns, "row_no")
+    buckets = max(least_buckets, -(-docs.count() // bucket_rows))
+    rows = stage(digests(docs.withColumn(row, F.monotonically_increasing_id()), id_col, text_col, row, buckets), "digests")
     entries = CuckooIndex.empty(docs.sparkSession, buckets).insert(rows).entries()
     keep = entries.select("digest", F.col("id").alias("keep_id"), F.col("row").alias("keep_row"), "size")
     return rows.join(keep, "digest").select(
-        "row", "id", "keep_id", F.col("size").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept"),
+        "row", "id", "mark", "keep_id", F.col("size").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that stay (see ``exact_duplicates``), with all their columns."""
-    kept, row = numbered(docs, "exact-input")
-    stay = exact_duplicates(kept, id_col, text_col, row_col=row, **options).where("kept").select(F.col("row").alias(row))
-    return kept.join(stay, row, "left_semi").select(*docs.columns)
+    stay = exact_duplicates(docs, id_col, text_col, **options).where("kept")
+    return keep_marked(docs, stay.select("id", "mark"), id_col, text_col)

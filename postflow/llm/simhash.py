@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postflow.llm.common import free_name, numbered, partitions_for, stage
+from postflow.llm.common import keep_marked, partitions_for, stage, text_mark
 from postflow.llm.components import components
 
 #: Shingles hashed before their bits are added up; bounds the memory a long text takes.
@@ -47,7 +47,7 @@ def _fingerprints(words_each: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t.as_py(), words_each) for t in batch.column(2)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints.view(np.int64))], ["row", "id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(prints.view(np.int64))], ["row", "id", "mark", "fp"])
 
     return run
 
@@ -235,11 +235,11 @@ def fingerprint_links(
     return placed.repartition(tasks, "leaf", "p", "q").groupBy("leaf", "p", "q").applyInPandas(_links(max_bits), "u long, v long")
 
 
-def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words_each: int = 5, max_bits: int = 4, row_col: str | None = None, **search) -> DataFrame:
+def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words_each: int = 5, max_bits: int = 4, **search) -> DataFrame:
     """Fingerprint and near-duplicate class of every row.
 
-    Returns (row, id, fingerprint, component_id, leader): ``row`` numbers the rows of ``docs`` (or is
-    ``row_col``), ``component_id`` is the smallest id reachable over links of at most ``max_bits`` bits, itself
+    Returns (row, id, mark, fingerprint, component_id, leader): ``row`` numbers the rows of ``docs``, ``mark`` is a hash
+    of the text, ``component_id`` is the smallest id reachable over links of at most ``max_bits`` bits, itself
     included, and ``leader`` is true for one row of each class: that with the smallest (id, row), NULL ids
     last. NULL texts count as empty; texts without words have fingerprint zero and link like any other. Rows
     with a NULL id are kept; a class of such rows only has a NULL component_id. Repeated rows are one class.
@@ -247,10 +247,8 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Equal fingerprints are collapsed before the search, so copies cost one row each; see ``fingerprint_links``.
     """
-    row = row_col or free_name(docs.columns, "row_no")
-    source = docs if row_col else docs.withColumn(row, F.monotonically_increasing_id())
-    narrow = source.select(F.col(row).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = stage(narrow.mapInArrow(_fingerprints(words_each), "row long, id long, fp long"), "fingerprints")
+    narrow = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), text_mark(F.col(text_col)).alias("mark"))
+    rows = stage(narrow.mapInArrow(_fingerprints(words_each), "row long, id long, mark long, fp long"), "fingerprints")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")
     prints = stage(rows.groupBy("fp").agg(first), "prints")
     roots = components(fingerprint_links(prints, max_bits, **search))
@@ -258,13 +256,12 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     best = rooted.groupBy("root").agg(F.min("first").alias("best"))
     by_print = rooted.join(best, "root").select("fp", "best")
     return rows.join(by_print, "fp").select(
-        "row", "id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        "row", "id", "mark", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("best.id").alias("component_id"), (F.col("row") == F.col("best.row")).alias("leader"),
     )
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that lead their class (see ``simhash_classes``), with all their columns."""
-    kept, row = numbered(docs, "near-input")
-    leaders = simhash_classes(kept, id_col, text_col, row_col=row, **options).where("leader").select(F.col("row").alias(row))
-    return kept.join(leaders, row, "left_semi").select(*docs.columns)
+    leaders = simhash_classes(docs, id_col, text_col, **options).where("leader")
+    return keep_marked(docs, leaders.select("id", "mark"), id_col, text_col)

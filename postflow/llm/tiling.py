@@ -8,11 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postflow.llm.common import numbered, stage
-
 _WORD = re.compile(r"\w+")
 #: Base of the rolling hash; arithmetic is modulo 2**64. Equal hashes are always verified word by word.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -179,7 +178,7 @@ def _slices(items: DataFrame, item_col: str, text_col: str, words: int) -> Itera
 
 def contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-    *, min_match: int = 5, threshold: float = 0.8, slice_words: int = 1_000_000, row_col: str | None = None,
+    *, min_match: int = 5, threshold: float = 0.8, slice_words: int = 1_000_000,
 ) -> DataFrame:
     """Pairs of a row of ``docs`` and a benchmark item of which it covers at least ``threshold``.
 
@@ -193,10 +192,7 @@ def contaminated(
     matched; texts that are NULL or empty match nothing. Repeated rows and repeated items are reported each
     (equal items with one id once). A NULL id stays NULL. Other columns are not read.
     """
-    source = docs
-    if row_col is None:
-        source = docs.select(F.col(id_col), F.col(text_col)).withColumn("row", F.monotonically_increasing_id())
-    narrow = source.select(F.col(row_col or "row").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    narrow = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     found = None
     for rows in _slices(items, item_col, item_text_col, slice_words):
         part = narrow.mapInPandas(_search(Slice.of([tuple(r) for r in rows], min_match), threshold), HITS)
@@ -204,8 +200,24 @@ def contaminated(
     return found
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that cover no benchmark item (see ``contaminated``), with all their columns."""
-    kept, row = numbered(docs, "tiling-input")
-    bad = stage(contaminated(kept, items, id_col, text_col, row_col=row, **options).select(F.col("row").alias(row)).distinct(), "contaminated")
-    return kept.join(bad, row, "left_anti").select(*docs.columns)
+def _clean(part: Slice, threshold: float, text_at: int):
+    """Rows that cover no item of a slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [next(part.hits(t.as_py(), threshold), None) is None for t in batch.column(text_at)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def drop_contaminated(
+    docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+    *, min_match: int = 5, threshold: float = 0.8, slice_words: int = 1_000_000,
+) -> DataFrame:
+    """The rows of ``docs`` that cover no benchmark item (see ``contaminated``), with all their columns; each slice of
+    the benchmark is one filter on the way, and nothing is shuffled."""
+    at = docs.columns.index(text_col)
+    for rows in _slices(items, item_col, item_text_col, slice_words):
+        docs = docs.mapInArrow(_clean(Slice.of([tuple(r) for r in rows], min_match), threshold, at), docs.schema)
+    return docs

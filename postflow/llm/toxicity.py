@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postflow.llm.chunks import pieces
-from postflow.llm.common import free_name, numbered
+from postflow.llm.common import free_name
 
 #: Marks that may stand around a word.
 _MARKS = string.punctuation + "\u00a1\u00bf\u00ab\u00bb\u2013\u2014\u2018\u2019\u201c\u201d\u201e\u2026"
@@ -378,9 +378,21 @@ def toxicity(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: st
     return scored.select("row", "id", held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def _harmless(net: Network, threshold: float, text_at: int):
+    holder: list[Scorer] = []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not holder:
+            holder.append(Scorer(net))
+        for batch in batches:
+            texts = [t or "" for t in batch.column(text_at).to_pylist()]
+            score = np.concatenate([holder[0].scores(texts[a:b]) for a, b in pieces(texts)] or [np.zeros(0)])
+            yield batch.filter(pa.array(score < threshold))
+
+    return run
+
+
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = 0.3, **options) -> DataFrame:
-    """The rows of ``docs`` that score below the threshold, with all their columns."""
+    """The rows of ``docs`` that score below the threshold, with all their columns; nothing is shuffled."""
     net = fit(docs, labels, id_col, text_col, **options)
-    kept, row = numbered(docs, "toxicity-input")
-    good = toxicity(kept, net, id_col, text_col, threshold=threshold, row_col=row).where("predicted = 0").select(F.col("row").alias(row))
-    return kept.join(good, row, "left_semi").select(*docs.columns)
+    return docs.mapInArrow(_harmless(net, threshold, docs.columns.index(text_col)), docs.schema)
