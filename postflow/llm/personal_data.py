@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postflow.llm.common import free_name, stage
+from postflow.llm.common import free_name, stage, text_mark
 
 #: Kinds in the order in which spans are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -106,7 +106,7 @@ def contexts(before: list[str], behind: list[str]) -> list[tuple[str, str, str]]
 
 _SEED = pa.struct([("kind", pa.string()), ("value", pa.string()), ("side", pa.string()), ("one", pa.string()), ("two", pa.string())])
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-_BASE = "row long, id long, spans array<struct<kind:string,start:long,end:long>>, seeds array<struct<kind:string,value:string,side:string,one:string,two:string>>"
+_BASE = "row long, id long, mark long, spans array<struct<kind:string,start:long,end:long>>, seeds array<struct<kind:string,value:string,side:string,one:string,two:string>>"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +132,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         seeds.append({"kind": kind, "value": text[a:b].lower(), "side": side, "one": one, "two": two})
             all_spans.append(spans)
             all_seeds.append(seeds)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(all_spans, pa.list_(_SPAN)), pa.array(all_seeds, pa.list_(_SEED))], ["row", "id", "spans", "seeds"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(all_spans, pa.list_(_SPAN)), pa.array(all_seeds, pa.list_(_SEED))], ["row", "id", "mark", "spans", "seeds"])
 
 
 class Patterns:
@@ -192,7 +192,7 @@ def _collect(patterns: Patterns):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(2)):
+            for key, text in zip(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()), batch.column(2)):
                 text = text.as_py() or ""
                 words = text.lower().split()
                 places = None
@@ -205,10 +205,10 @@ def _collect(patterns: Patterns):
                         word = text[a:b]
                         a += len(word) - len(word.lstrip(_EDGES))
                         b -= len(word) - len(word.rstrip(_EDGES))
-                        out.append((row, which, text[a:b].lower(), a, b))
-            columns = list(zip(*out)) if out else [[], [], [], [], []]
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["row", "pattern", "value", "start", "end"])
+                        out.append((*key, which, text[a:b].lower(), a, b))
+            columns = list(zip(*out)) if out else [[], [], [], [], [], []]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["id", "mark", "pattern", "value", "start", "end"])
 
     return run
 
@@ -244,7 +244,7 @@ def learn_patterns(narrow: DataFrame, seeds: DataFrame, *, least_seeds: int, thr
     open_ = stage(candidates.join(totals, "pattern").where(F.col("n_shaped") >= threshold * F.col("n")), "open-patterns")
     places = None
     for part in _parts(open_, most_at_once):
-        own = narrow.mapInArrow(_collect(part), "row long, pattern long, value string, start long, end long")
+        own = narrow.mapInArrow(_collect(part), "id long, mark long, pattern long, value string, start long, end long")
         places = own if places is None else places.unionByName(own)
     if places is None:
         return None
@@ -279,17 +279,18 @@ def personal_data(
     """
     row = row_col or free_name(docs.columns, "row_no")
     source = docs if row_col else docs.withColumn(row, F.monotonically_increasing_id())
-    narrow = source.select(F.col(row).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    narrow = source.select(F.col(row).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), text_mark(F.col(text_col)).alias("mark"))
     base = stage(narrow.mapInArrow(_scan, _BASE), "base-spans")
     seeds = base.select(F.explode("seeds").alias("s")).select("s.*")
     learned = learn_patterns(narrow, seeds, least_seeds=least_seeds, threshold=threshold, rounds=rounds, most_at_once=most_at_once)
-    found = base.select("row", "id", F.col("spans").alias("base"))
+    found = base.select("row", "id", "mark", F.col("spans").alias("base"))
     if learned is None:
-        return found.withColumn("spans", F.col("base"))
+        return found.select("row", "id", "base", F.col("base").alias("spans"))
     patterns, places = learned
     sure = patterns.where(F.col("confidence") >= threshold).select("pattern", "kind")
-    extra = places.join(sure, "pattern").groupBy("row").agg(F.collect_set(F.struct("kind", "start", "end")).alias("extra"))
-    joined = found.join(extra, "row", "left").withColumn("extra", F.coalesce("extra", F.array().cast("array<struct<kind:string,start:long,end:long>>")))
+    # the texts were read once more; id and text together say which rows the places belong to
+    extra = places.join(sure, "pattern").groupBy(F.col("id").alias("own_id"), F.col("mark").alias("own_mark")).agg(F.collect_set(F.struct("kind", "start", "end")).alias("extra"))
+    joined = found.join(extra, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("mark") == F.col("own_mark")), "left").withColumn("extra", F.coalesce("extra", F.array().cast("array<struct<kind:string,start:long,end:long>>")))
     free = F.filter("extra", lambda e: ~F.exists("base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])))
     return joined.select("row", "id", "base", F.concat("base", free).alias("spans"))
 
