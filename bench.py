@@ -26,6 +26,8 @@ HEADLINE = (
     "publish_posts",
     "spam_filter",
     "matched_keywords",
+    "spam_flag_large",
+    "matched_short_terms_shuffled",
     "dedupe_latest",
     "compact_dedup",
     "insert_missing_single_key",

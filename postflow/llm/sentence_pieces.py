@@ -149,7 +149,7 @@ class PieceLattice:
         new = np.flatnonzero(known == 2)
         if len(new):
             known[new] = self.fits(unique[new] // len(self.names), unique[new] % len(self.names))
-            if len(self._known) > 1_000_000:
+            if len(self._known) > 200_000:
                 self._known.clear()
             self._known.update(zip(unique[new].tolist(), known[new].tolist()))
         return known[back].astype(bool)
@@ -223,7 +223,7 @@ class Pieces:
         # marks with what follows them, other known characters, and characters of no piece one by one
         self._stretch = re.compile(f"{MARK}+[{known}]*|[{known}]+|.", re.DOTALL)
         self._alphabet = set(self.lattice.alphabet)
-        self._memory = ChunkMemory(self._encode, 1)
+        self._memory = ChunkMemory(self._encode, 1, most_chunks=300_000)
         spell = {i: bytes([b]) for b, i in enumerate(self.byte_id.tolist())}
         own = set(plain)
         self._bytes = [spell[i] if i in spell else (n.replace(MARK, " ").encode("utf-8") if i in own else b"") for i, n in enumerate(self.names)]

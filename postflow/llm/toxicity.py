@@ -257,7 +257,7 @@ def train(examples: list[tuple[int, str, int]], shape: Shape = Shape(), *, passe
 class Scorer:
     """A trained network with the input vectors of the words a worker has met; bounded, and forgotten when full."""
 
-    def __init__(self, net: Network, most_words: int = 600_000):
+    def __init__(self, net: Network, most_words: int = 200_000):
         self.net, self.most_words = net, most_words
         self._forget()
 
@@ -356,7 +356,7 @@ def _scored(net: Network):
             holder.append(Scorer(net))
         for batch in batches:
             texts = [t or "" for t in batch.column(2).to_pylist()]
-            found = [holder[0].scores(texts[a:b]) for a, b in pieces(texts)]
+            found = [holder[0].scores(texts[a:b]) for a, b in pieces(texts, 1 << 19)]
             score = np.concatenate(found) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score)], ["row", "id", "score"])
 
@@ -386,7 +386,7 @@ def _harmless(net: Network, threshold: float, text_at: int):
             holder.append(Scorer(net))
         for batch in batches:
             texts = [t or "" for t in batch.column(text_at).to_pylist()]
-            score = np.concatenate([holder[0].scores(texts[a:b]) for a, b in pieces(texts)] or [np.zeros(0)])
+            score = np.concatenate([holder[0].scores(texts[a:b]) for a, b in pieces(texts, 1 << 19)] or [np.zeros(0)])
             yield batch.filter(pa.array(score < threshold))
 
     return run
