@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -18,7 +18,7 @@ import numpy as np
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Stretches that the byte-level pattern never crosses: letters before a punctuation mark, other words (with the
 #: space before them), white space up to there.
-_STRETCH = re.compile(f" ?[^\\W\\d_]+(?=[!-/:-@[-`{{-~])| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_STRETCH = re.compile(f" ?[^\\W\\d_]++(?=[!-/:-@[-`{{-~])| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
 class ChunkMemory:
@@ -68,16 +68,21 @@ class ChunkMemory:
         return count, [flat[at] for flat in self._flat]
 
 
-def pieces(texts: list[str], most_chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with about ``most_chars`` characters each, so that a batch of long texts is taken in parts."""
-    first, held = 0, 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held >= most_chars:
+def parts(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of items with a total size of about ``most`` each."""
+    first, held, i = 0, 0, -1
+    for i, size in enumerate(sizes):
+        held += size
+        if held >= most:
             yield first, i + 1
             first, held = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+    if first <= i:
+        yield first, i + 1
+
+
+def pieces(texts: list[str], most_chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about ``most_chars`` characters each, so that a batch of long texts is taken in parts."""
+    return parts(map(len, texts), most_chars)
 
 
 class ByteBpe:
