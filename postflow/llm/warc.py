@@ -10,9 +10,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+from pyspark.sql import Window
 
-from postflow.llm.common import free_name, stage
+from postflow.llm.common import stage
 from postflow.session import run_folder
 
 # fixed values of the format
@@ -29,10 +29,9 @@ _HEADER_MOST = 1 << 16
 FIELDS = "warc_type string, record_id string, refers_to_id string, uri string, page_id long, payload_bytes long, payload_digest string, payload_at int"
 
 
-def sha1_base32(text: Column) -> Column:
-    """Bare upper-case base32 SHA-1 of a string's UTF-8 bytes: eight times 20 bits, four letters each."""
-    digest = F.sha1(text.cast("binary"))
-    groups = [F.conv(F.substring(digest, 5 * g + 1, 5), 16, 10).cast("int") for g in range(8)]
+def sha1_base32(sha: Column) -> Column:
+    """Bare upper-case base32 of a SHA-1 in hex: eight times 20 bits, four letters each."""
+    groups = [F.conv(F.substring(sha, 5 * g + 1, 5), 16, 10).cast("int") for g in range(8)]
     letters = [
         F.substring(F.lit(BASE32), F.shiftright(group, shift).bitwiseAND(31) + 1, F.lit(1)) for group in groups for shift in (15, 10, 5, 0)
     ]
@@ -47,22 +46,31 @@ def _record_id(*key: Column) -> Column:
 
 
 def plan_records(pages: DataFrame, id_col: str, url_col: str, html_col: str, min_bytes: int) -> DataFrame:
-    """(page_id, row, uri, html, n_bytes, digest, first): ``first`` is the page that holds the payload.
+    """(page_id, uri, html, n_bytes, sha, copy_no, first_id, revisit): which pages revisit which.
 
-    First is the smallest (page id, row) with an equal payload, NULL ids last. Payloads below ``min_bytes`` have
-    no first. A payload that a third of all pages share is reduced before the shuffle, and joined back
-    by a join that adaptive execution can split.
+    The first page with a payload is that with the smallest id, NULL last; of rows with one id and payload the one
+    with ``copy_no`` 1. Ids and digests alone are grouped (a payload that a third of all pages share is reduced before the
+    shuffle); payloads stay where they are unless the revisits are too many to be sent to them. Only rows with
+    one id and payload are brought together, to number them. All follows from the rows themselves, so
+    that a retried task decides alike.
     """
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    row = free_name(pages.columns, "row_no")
-    source = pages.withColumn(row, F.monotonically_increasing_id()).select(
-        F.col(id_col).cast("long").alias("page_id"), F.col(row).alias("row"), F.regexp_replace(F.col(url_col).cast("string"), r"[\x00-\x20\x7f]", "%20").alias("uri"),
-        html.alias("html"), F.octet_length(html).cast("long").alias("n_bytes"), sha1_base32(html).alias("digest"),
+    source = pages.select(
+        F.col(id_col).cast("long").alias("page_id"), F.regexp_replace(F.col(url_col).cast("string"), r"[\x00-\x20\x7f]", "%20").alias("uri"),
+        html.alias("html"), F.octet_length(html).cast("long").alias("n_bytes"), F.sha1(html.cast("binary")).alias("sha"),
+        F.col(id_col).isNull().alias("none"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("number"),
     )
-    key = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row")
-    first = source.groupBy("digest").agg(F.min(key).alias("first"))
-    joined = source.join(first, "digest")
-    return joined.withColumn("first", F.when(F.col("n_bytes") >= min_bytes, F.col("first")))
+    key = ["none", "number", "sha"]
+    pairs = stage(source.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")), "payloads")
+    first = pairs.groupBy("sha").agg(F.min(F.struct("none", "number")).alias("first"))
+    odd = pairs.join(first, "sha").where((F.col("rows") > 1) | (F.struct("none", "number") != F.col("first")))
+    odd = stage(odd.select(*key, "rows", (F.struct("none", "number") != F.col("first")).alias("later"), F.when(~F.col("first.none"), F.col("first.number")).alias("first_id")), "odd")
+    joined = source.join(odd, key, "left")
+    single = joined.where("rows is null or rows = 1").withColumn("copy_no", F.lit(1))
+    order = Window.partitionBy(*key).orderBy(F.xxhash64("uri"))
+    several = source.join(odd.where("rows > 1"), key).withColumn("copy_no", F.row_number().over(order))
+    known = single.unionByName(several).withColumn("revisit", (F.coalesce("later", F.lit(False)) | (F.col("copy_no") > 1)) & (F.col("n_bytes") >= min_bytes))
+    return known.withColumn("first_id", F.when(F.col("rows").isNull(), F.col("page_id")).otherwise(F.col("first_id"))).drop("none", "number", "rows", "later")
 
 
 def _line(name: str, value: Column) -> Column:
@@ -72,12 +80,12 @@ def _line(name: str, value: Column) -> Column:
 
 def record_text(date: str) -> Column:
     """A whole record but for its end mark, from the columns of ``plan_records``."""
-    revisit = F.col("first").isNotNull() & (F.col("first.row") != F.col("row"))
+    revisit, digest = F.col("revisit"), sha1_base32(F.col("sha"))
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("n_bytes").cast("string"), F.lit("\r\n\r\n"),
         F.when(revisit, F.lit("")).otherwise(F.col("html")),
     )
-    own, other = _record_id(F.col("page_id"), F.col("row")), _record_id(F.col("first.page_id"), F.col("first.row"))
+    own, other = _record_id(F.col("page_id"), F.col("sha"), F.col("copy_no")), _record_id(F.col("first_id"), F.col("sha"), F.lit(1))
     return F.concat(
         F.lit(MAGIC),
         F.when(revisit, F.lit("WARC-Type: revisit\r\n")).otherwise(F.lit("WARC-Type: response\r\n")),
@@ -86,7 +94,7 @@ def record_text(date: str) -> Column:
         _line("WARC-Target-URI", F.col("uri")),
         F.when(revisit, F.concat(_line("WARC-Refers-To", other), F.lit(f"WARC-Profile: {REVISIT_PROFILE}\r\n"))).otherwise(F.lit("")),
         _line("X-Page-ID", F.col("page_id").cast("string")),
-        _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
+        _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), digest)),
         F.lit("Content-Type: application/http; msgtype=response\r\n"),
         _line("Content-Length", F.octet_length(http).cast("string")),
         F.lit("\r\n"),
@@ -100,7 +108,7 @@ def write_warc(
 ) -> None:
     """Write one record per row of ``pages`` as WARC files below ``folder``.
 
-    A row whose payload (the html in UTF-8; NULL is empty) equals that of an earlier page, by (id, row), becomes a
+    A row whose payload (the html in UTF-8; NULL is empty) equals that of an earlier page, by id, becomes a
     revisit of it if it has at least ``min_bytes``; all else are responses. Spark's own text writer puts the
     records down, with the record end mark as line end, so failed tasks leave no half files. A NULL url
     leaves its header line out, as does a NULL id; white space and control characters in urls are
@@ -182,7 +190,7 @@ def candidates(spark: SparkSession, folder: str) -> DataFrame:
     source = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("value"))
     found = stage(source.mapInPandas(_candidates, f"path string, start long, at long, size long, span long, whole boolean, raw binary, {FIELDS}"), "stretches")
     size = found.groupBy("path", "start").agg(F.sum(F.col("size") + len(MAGIC)).alias("bytes"))
-    before = F.sum("bytes").over(W.partitionBy("path").orderBy("start").rowsBetween(W.unboundedPreceding, -1))
+    before = F.sum("bytes").over(Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
     base = stage(size.select("path", "start", F.coalesce(before, F.lit(0)).alias("base")), "splits")
     return found.join(base, ["path", "start"]).withColumn("offset", F.col("base") + F.col("at") - len(MAGIC)).drop("base", "at", "start")
 
