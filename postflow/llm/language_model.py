@@ -8,16 +8,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postflow.llm.chunks import pieces
+from postflow.llm.chunks import parts
 from postflow.llm.common import free_name, partitions_for, stage
 
 _BEGIN = np.uint64(0x5851F42D4C957F2D)
+#: Compression of the packed arrays; they are written and shuffled.
+_LEVEL = 6
 _END_WORD = b"\n"  # white space, so no word is equal to it
 #: Context-frequency buckets: 0 for an unseen context, then one per power of two.
 N_BUCKETS = 48
@@ -28,7 +31,7 @@ def squeeze(values: np.ndarray) -> bytes:
     values = np.asarray(values, np.uint64)
     width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
     planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
-    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    return bytes([width]) + zstandard.ZstdCompressor(level=_LEVEL).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def expand(data: bytes) -> np.ndarray:
@@ -68,12 +71,12 @@ def _blocks(block_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = 0
         for batch in batches:
-            rows, ids, texts = (batch.column(i).to_pylist() for i in range(3))
-            texts = [t or "" for t in texts]
-            for a, b in pieces(texts, block_chars):
+            rows, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            sizes = pc.fill_null(pc.utf8_length(batch.column(2)), 0).to_pylist()
+            for a, b in parts(sizes, block_chars):
                 words, count = [], []
-                for text in texts[a:b]:
-                    own = tokens_of(text)
+                for text in batch.column(2).slice(a, b - a):
+                    own = tokens_of(text.as_py())
                     words += own
                     count.append(len(own))
                 first = {w: i for i, w in enumerate(dict.fromkeys(words))}
@@ -82,7 +85,8 @@ def _blocks(block_chars: int):
                 rank = np.empty(len(order), np.int64)
                 rank[order] = np.arange(len(order))
                 distinct = list(first)
-                spelled = zstandard.ZstdCompressor(level=1).compress(b" ".join(distinct[i] for i in order))
+                del words, first
+                spelled = zstandard.ZstdCompressor(level=_LEVEL).compress(b" ".join(distinct[i] for i in order))
                 crc = np.array([fold(i) for i in ids[a:b]], np.int64)
                 count = np.array(count, np.int64)
                 block = TaskContext.get().partitionId() << 32 | number
@@ -155,7 +159,7 @@ def _spread(order: int, bits: int):
     return run
 
 
-def _total(key, frame: pd.DataFrame) -> pd.DataFrame:
+def _total(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     """Counts of one share of the key space over all blocks, sent back to each block for its own keys."""
     keys = [np.cumsum(expand(bytes(k)), dtype=np.uint64) for k in frame["keys"]]
     distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
@@ -163,8 +167,9 @@ def _total(key, frame: pd.DataFrame) -> pd.DataFrame:
     single = (distinct & np.uint64(3)) == 1
     ends = np.cumsum([len(k) for k in keys])
     rows = [
-        (block, key[0], squeeze((kept + deleted)[own]), squeeze(kept[own]), int((single & (kept + deleted > 0)).sum()), int((single & (kept > 0)).sum()))
-        for block, own in zip(frame["block"], np.split(place, ends[:-1]))
+        # counts without the deleted documents are of use only for what these hold
+        (block, key[0], squeeze((kept + deleted)[own]), squeeze(kept[own[expand(bytes(gone)) > 0]]), int((single & (kept + deleted > 0)).sum()), int((single & (kept > 0)).sum()))
+        for block, gone, own in zip(frame["block"], frame["deleted"], np.split(place, ends[:-1]))
     ]
     return pd.DataFrame(rows, columns=["block", "share", "total", "kept", "words", "kept_words"])
 
@@ -175,12 +180,14 @@ _COUNTED = "block long, rows array<long>, ids array<long>, ends array<long>, cou
 def _attach(order: int):
     """Every token's n-gram counts: over all training text, and for deleted documents over the kept part."""
 
-    def run(key, blocks: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, blocks: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
         block = blocks.iloc[0]
-        _, place, crc = _unique(block, order)
+        distinct, place, crc = _unique(block, order)
         totals = totals.sort_values("share")
-        total, kept = (np.concatenate([expand(bytes(x)) for x in totals[name]]) for name in ("total", "kept"))
+        total, known = (np.concatenate([expand(bytes(x)) for x in totals[name]]) for name in ("total", "kept"))
         deleted = is_deleted(crc)
+        kept = np.zeros(len(distinct), np.uint64)
+        kept[np.unique(place[:, deleted])] = known
         shares = [{"share": int(s), "words": int(w), "kept_words": int(k)} for s, w, k in zip(totals["share"], totals["words"], totals["kept_words"])]
         return pd.DataFrame({
             "block": [key[0]], "rows": [block["rows"]], "ids": [block["ids"]], "ends": [block["ends"]], "counts": [[squeeze(total[p]) for p in place]],
@@ -297,8 +304,8 @@ def score_texts(
     context; the weights are learned by expectation-maximisation on the counts of the deleted fifth of the
     training documents, against estimates from the rest, and applied to estimates from all of them. NULL
     texts are empty (only the end is scored). A NULL id counts as empty text for the folds; rows with one id share a
-    fold, repeated rows are counted and scored each. Without training text all estimates but the uniform one
-    are zero. Other columns are not read.
+    fold, repeated rows are counted and scored each. Without training text the model is the uniform one over
+    the one unknown word. Other columns are not read.
 
     Texts are cut into blocks of whole documents of about ``block_chars`` characters. A block sends each of its distinct
     n-grams once, with its counts, to the share of the key space it belongs to, in packed arrays, and gets the
@@ -317,7 +324,7 @@ def score_texts(
     n_tokens, n_kept, n_all, n_blocks = (int(x or 0) for x in found)
     bits = max(6, int(order * n_all // share_keys).bit_length())
     tasks = partitions_for(spark, n_blocks, 2)
-    spread = blocks.repartition(tasks, "block").mapInPandas(_spread(order, bits), "share int, block long, keys binary, kept binary, deleted binary")
+    spread = blocks.mapInPandas(_spread(order, bits), "share int, block long, keys binary, kept binary, deleted binary")
     totals = spread.repartition(1 << bits, "share").groupBy("share").applyInPandas(_total, "block long, share int, total binary, kept binary, words long, kept_words long")
     counted = stage(blocks.repartition(tasks, "block").groupBy("block").cogroup(totals.repartition(tasks, "block").groupBy("block")).applyInPandas(_attach(order), _COUNTED), "lm-counted")
     n_docs, kept_docs = _documents(counted)
@@ -328,6 +335,9 @@ def score_texts(
     cells = cells.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("n", *sums)]).toPandas()
     estimate = np.stack([np.full(len(cells), 1 / (kept_words + 1)), *[cells[s] / cells["n"] for s in sums]])
     weights = learn_weights(cells["cell"].to_numpy() // 512**order, cells["n"].to_numpy(), estimate)
+    if not n_tokens:
+        weights = np.zeros_like(weights)
+        weights[:, 0] = 1
     scored = counted.select("rows", "ids", "ends", "counts").mapInPandas(
         _scores((n_docs, n_tokens, n_words), weights), "row long, id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
