@@ -22,8 +22,6 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-dig
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 _HEADER = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
-#: A record header longer than this is not a header.
-_HEADER_MOST = 1 << 16
 
 #: What a record's header and block say; ``payload_at`` is where the payload starts behind the magic (NULL in revisits).
 FIELDS = "warc_type string, record_id string, refers_to_id string, uri string, page_id long, payload_bytes long, payload_digest string, payload_at int"
@@ -138,17 +136,21 @@ def parse_record(head: dict[bytes, bytes], data: bytes, skip: int, length: int)
 
 
 def split_header(data: bytes) -> tuple[dict[bytes, bytes], int, int] | None:
-    """(header lines, header bytes, content length) of what follows a magic, or None if it is no header."""
-    end = data.find(b"\r\n\r\n", 0, _HEADER_MOST)
+    """(header lines, header bytes, content length) of what follows a magic, or None if it is no header.
+
+    A header may be of any length (it holds the whole url); it is looked at line by line, in linear time.
+    """
+    end = data.find(b"\r\n\r\n")
     if end < 0:
         return None
-    lines = data[: end + 2]
-    pairs = _HEADER.findall(lines)
-    head = {k.strip().lower(): v.strip() for k, v in pairs}
+    head = {}
+    for line in data[:end].split(b"\r\n"):
+        colon = line.find(b":")
+        if colon < 1 or b"\r" in line or b"\n" in line:
+            return None
+        head[line[:colon].strip().lower()] = line[colon + 1 :].strip()
     length = head.get(b"content-length", b"")
-    if not length.isdigit() or sum(len(x) for x in _HEADER.split(lines)[::3]):
-        return None
-    return head, end + 4, int(length)
+    return (head, end + 4, int(length)) if length.isdigit() else None
 
 
 _NONE = (None,) * 8

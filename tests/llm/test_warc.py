@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import time
 
 import pytest
 from helpers import clashing, ordered
@@ -72,6 +73,21 @@ def test_broken_ends_and_foreign_bytes(spark):
     assert read_warc(spark, other).count() == 0  # the chain starts at the start of the file
 
 
+def test_urls_of_any_length(spark):
+    long = "data:text/html," + "a" * 100_000
+    rows = [(1, "u", "one", "l"), (2, long, "two", "l"), (3, "v", "three", "l"), (4, long + ":b", FAKE, "l"), (5, "w", "two", "l"), (6, long, "three", "l")]
+    got = archive_round_trip(spark.createDataFrame(rows, PAGES).coalesce(1)).collect()
+    assert ordered((r.page_id, r.payload_bytes, r.payload_digest, r.warc_type, r.refers_to) for r in got) == ordered(plain(rows, 0))
+    assert {r.page_id: r.uri for r in got} == {r[0]: r[1] for r in rows}
+
+
+def test_long_stretches_take_linear_time():
+    start = time.perf_counter()
+    for text in (b"x" * 3_000_000, b"a:" + b"x" * 3_000_000, b"x\r" * 1_000_000, b"a:b\r\n" * 500_000):
+        split_header(text + b"\r\n\r\n")
+    assert time.perf_counter() - start < 10
+
+
 def test_no_pages(spark):
     assert archive_round_trip(spark.createDataFrame([], PAGES)).count() == 0
 
