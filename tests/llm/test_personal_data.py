@@ -71,6 +71,22 @@ def test_contexts_find_unseen_identifiers(spark, taught):
             assert extra == ([f"QX-{i - 100}77-A"] if 100 <= i < 200 else ["plate99x"] if i == 300 else [])
 
 
+def test_contexts_of_spaced_and_letter_only_seeds(spark):
+    names = "ann bob cleo dora egon fay gus hal".split()
+    rows = [(k, f"call her mobile line +1 (743) 555-38{k:02} after nine today") for k in range(8)]
+    rows += [(10, "call her mobile line (743) 555-3899 after nine today"), (11, "call her mobile line 743 555 3898 after nine today")]
+    rows += [(20 + k, f"send it to mailbox {name}.doe@mail.com before noon please") for k, name in enumerate(names)]
+    rows += [(30, "send it to mailbox jane.doe[at]mail.com before noon please"), (31, "nothing 555 3898 here")]
+    got = {r.doc_id: r.spans for r in span_report(personal_data(frame(spark, rows))).collect()}
+    want = {10: ("phone", "(743) 555-3899"), 11: ("phone", "743 555 3898"), 30: ("email", "jane.doe[at]mail.com")}
+    for i, text in rows:
+        own = [f"{k}:{a}:{b}" for k in KINDS for a, b in plain(text)[k]]
+        if i in want:
+            kind, value = want[i]
+            own.append(f"{kind}:{text.index(value)}:{text.index(value) + len(value)}")
+        assert got[i] == ",".join(own)
+
+
 def test_awkward_rows(spark):
     docs, rows = awkward(spark, ["mail a@b.c now", "nothing"])
     got = span_report(personal_data(docs)).collect()
