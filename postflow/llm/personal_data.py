@@ -115,10 +115,12 @@ class Slots:
         self.text, self.words = text, text.lower().split()
         self.places = [m.span() for m in _WORD.finditer(text)]
         starts = [a for a, _ in self.places]
+        self.spans: list[tuple[str, int, int, int, int]] = []  # kind, start, end, first and last word
         self.first, self.last, self.exact, self.taken = {}, {}, {}, set()
         for kind, spans in base_spans(text).items():
             for a, b in spans:
                 i, j = bisect_right(starts, a) - 1, bisect_left(starts, b) - 1  # a span may be a part of its words
+                self.spans.append((kind, a, b, i, j))
                 self.first.setdefault((kind, i), (a, b))
                 self.last[kind, j] = (a, b)
                 self.exact.setdefault((kind, i, j), (a, b))
@@ -174,22 +176,14 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         all_spans, all_seeds = [], []
         for text in batch.column(2):
-            text = text.as_py() or ""
-            found = base_spans(text)
-            spans = [{"kind": k, "start": a, "end": b} for k in KINDS for a, b in found[k]]
+            slots = Slots(text.as_py() or "")
+            spans = [{"kind": k, "start": a, "end": b} for k, a, b, _, _ in slots.spans]
             seeds = []
-            for kind in KINDS:
-                for a, b in found[kind]:
-                    # a few words on either side are all a pattern needs
-                    before, behind = text[max(0, a - 400) : a].lower(), text[b : b + 400].lower()
-                    left, right = before.split(), behind.split()
-                    if left and not before[-1].isspace():
-                        left.pop()  # it is glued to the value
-                    if right and not behind[0].isspace():
-                        right.pop(0)
-                    left, right = left[-2:], right[:2]
-                    for side, one, two in contexts(left, right):
-                        seeds.append({"kind": kind, "value": text[a:b].lower(), "width": len(text[a:b].split()), "side": side, "one": one, "two": two})
+            for kind, a, b, i, j in slots.spans:
+                value = slots.text[a:b]
+                # whole words, however long; those the value is glued to are none of them
+                for side, one, two in contexts(slots.words[max(i - 2, 0) : i], slots.words[j + 1 : j + 3]):
+                    seeds.append({"kind": kind, "value": value.lower(), "width": len(value.split()), "side": side, "one": one, "two": two})
             all_spans.append(spans)
             all_seeds.append(seeds)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(all_spans, pa.list_(_SPAN)), pa.array(all_seeds, pa.list_(_SEED))], ["row", "id", "mark", "spans", "seeds"])

@@ -87,6 +87,13 @@ def test_contexts_of_spaced_and_letter_only_seeds(spark):
         assert got[i] == ",".join(own)
 
 
+def test_contexts_of_long_words(spark):
+    wide = "w" * 500
+    rows = [(k, f"{wide} mark user{k}@ex{k}.org{' ' * 500}{wide} end") for k in range(8)] + [(9, f"{wide} mark QX-77-A {wide} end")]
+    got = {r.doc_id: r.spans for r in span_report(personal_data(frame(spark, rows))).collect()}
+    assert got[9] == "email:506:513" and all(got[k] == listed([("email", *plain(rows[k][1])["email"][0])]) for k in range(8))
+
+
 def test_awkward_rows(spark):
     docs, rows = awkward(spark, ["mail a@b.c now", "nothing"])
     got = span_report(personal_data(docs)).collect()
