@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from postflow.llm import byte_language
+from postflow.llm.bit_planes import cluster_vectors, with_inertia
 from postflow.llm.common import table
 from postflow.llm.cuckoo import exact_duplicates
 from postflow.llm.language_model import score_texts
 from postflow.llm.personal_data import personal_data, span_report
+from postflow.llm.role_repair import damage_report
 from postflow.llm.sentence_pieces import encode_pieces
 from postflow.llm.simhash import simhash_classes
 from postflow.llm.token_counts import section_tokens
@@ -107,3 +112,55 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the archives written from ``pages`` hold when they are read back."""
     found = archive_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
     return found.select("page_id", "payload_bytes", "payload_digest", found.warc_type.alias("record_type"), "refers_to")
+
+
+@_query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, least repair and hash of the repaired rows of every conversation, after the agreed damage."""
+    found = damage_report(table(spark, sf_dir, "conversations"))
+    return found.select(found.id.alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+@_query
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, by a network trained on documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = byte_language.predict_languages(docs, byte_language.fit(docs))
+    return found.select(found.id.alias("doc_id"), "held_out", "lang_pred", "score")
+
+
+@_query
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every usable vector after ten rounds."""
+    assigned, centres = cluster_vectors(table(spark, sf_dir, "embeddings"), k=8, rounds=10, scale=1024, seed=3)
+    hashes = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centres.tolist()]
+    digest = F.element_at(F.array(*map(F.lit, hashes)) if hashes else F.array().cast("array<string>"), F.col("cluster") + 1)
+    found = with_inertia(assigned).withColumn("centroid_sha256", digest)
+    return found.select(found.id.alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _rounds_sql(rounds: int) -> str:
+    """Centres c0, c1, ... of the rounds, each from the assignment to the one before."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""a{n} AS MATERIALIZED (SELECT rid, arg_min(k, far * 100 + k) AS k, min(far) AS far FROM (
+            SELECT v.rid, c.k, list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::HUGEINT AS far
+            FROM v CROSS JOIN c{n} c) GROUP BY rid)""")
+        if n < rounds:
+            steps.append(f"""m{n} AS (SELECT a.k, i, CAST(sum(v.x[i]) AS HUGEINT) AS total, count(*) AS n
+                FROM a{n} a JOIN v USING (rid), range(1, 65) r(i) GROUP BY ALL),
+            c{n + 1} AS MATERIALIZED (SELECT k, CASE WHEN new IS NULL THEN x ELSE new END AS x FROM c{n} LEFT JOIN (
+                SELECT k, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY i) AS new FROM m{n} GROUP BY k) USING (k))""")
+    return ", ".join(steps)
+
+
+ORACLES["op13_centroid_clustering"] = f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS x
+           FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+     c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS k, x FROM (SELECT sha256('3:' || vec_id) AS h, x FROM v ORDER BY h LIMIT 8)),
+     {_rounds_sql(10)},
+     done AS (SELECT v.vec_id, CAST(a.k AS INTEGER) AS cluster, CAST(a.far AS BIGINT) AS distance FROM a10 a JOIN v USING (rid))
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM done JOIN c10 c ON c.k = done.cluster
+"""

@@ -10,6 +10,9 @@ FIRST = {
     "op5_lm_scoring": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
     "op6_personal_data": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
     "op8_toxicity": ["doc_id", "held_out", "score", "predicted"],
+    "op11_conversation_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+    "op12_language_id": ["doc_id", "held_out", "lang_pred", "score"],
+    "op13_centroid_clustering": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
     "op10_warc": ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
 }
 
@@ -18,8 +21,9 @@ FIRST = {
 def test_whole_table_in_the_agreed_columns(spark, sf_dir, name):
     found = QUERIES[name](spark, sf_dir)
     assert found.columns[: len(FIRST[name])] == FIRST[name]
-    read = "pages" if name == "op10_warc" else "documents"
-    assert found.count() == spark.read.parquet(f"{sf_dir}/{read}.parquet").count()
+    read, key = {"op10_warc": ("pages", "page_id"), "op11_conversation_repair": ("conversations", "conv_id"), "op13_centroid_clustering": ("embeddings", "vec_id")}.get(name, ("documents", "doc_id"))
+    rows = spark.read.parquet(f"{sf_dir}/{read}.parquet")
+    assert found.count() == (rows.select(key).distinct().count() if key == "conv_id" else rows.count())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
