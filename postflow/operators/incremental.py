@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postflow.operators.row_keys import KeyFilter, common_schema, row_digest
 from postflow.session import Staged
 from postflow.sources.specs import SinkSpec
 from postflow.sources.writers import read_target, write
@@ -52,20 +53,15 @@ def insert_missing(incoming: DataFrame, target: DataFrame, keys: Sequence[str],
 def insert_missing_rows(incoming: DataFrame, target: DataFrame, surrogate: str | None = None) -> DataFrame:
     """Distinct incoming rows that the target does not hold as a whole row (NULLs compare equal).
 
-    Columns are matched by name. ``surrogate`` names a key column only the target has. Rows are compared by a
-    256-bit digest of their values, so of the target only digests are shuffled.
+    Columns are matched by name. ``surrogate`` names a key column only the target has. The rows are those of ``EXCEPT`` (see
+    :func:`row_digest`, by which they are compared in the types common to both sides), so of the target only digests
+    are shuffled.
     """
     names = [c for c in target.columns if c != surrogate]
-    types = dict(incoming.select(*names).dtypes)
-    rows = incoming.select(*names).withColumn("_digest", row_digest(names))
-    # values compare as the incoming types, so that 1 and 1L are one value
-    held = target.select(*[F.col(c).cast(types[c]).alias(c) for c in names]).select(row_digest(names).alias("_digest"))
-    return rows.join(held, "_digest", "left_anti").dropDuplicates(["_digest"]).select(*names)
-
-
-def row_digest(columns: Sequence[str]) -> Column:
-    """SHA-256 over a row's values as JSON, with names in order; a NULL differs from every value."""
-    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"}), 256)
+    rows, held = incoming.select(*names), target.select(*names)
+    common = common_schema(rows, held)
+    digest = row_digest(common).alias("_digest")
+    return rows.select("*", digest).join(held.select(digest), "_digest", "left_anti").dropDuplicates(["_digest"]).select(*names)
 
 
 def reconcile(incoming: DataFrame, target: DataFrame, missing: DataFrame) -> DataFrame:
@@ -98,8 +94,9 @@ def append_missing(
 
     The incoming rows are staged once, so preview, check and write see the same rows, and are counted by that
     write. If their keys are small (up to ``key_rows`` and ``key_bytes``, as measured), the target scan is first reduced
-    to the keys they share with a broadcast semi join: one pass over the target, no shuffle of its keys. The
-    difference is staged, because the append changes the table it was computed from. Both staged tables
+    to the keys they share with a broadcast semi join: one pass over the target, no shuffle of its keys. Beyond that size a
+    Bloom filter of the incoming keys is sent out instead, so that of the target little more than the keys both sides share
+    is shuffled. The difference is staged, because the append changes the table it was computed from. Both staged tables
     are deleted in the end.
 
     ``target_filter`` limits the scan of the target to rows that can hold the incoming keys (a day, a partition).
@@ -122,11 +119,16 @@ def append_missing(
                 held = held.select(*keys)
                 if null_keys == "skip" and n_incoming <= key_rows and staged[0].n_bytes <= key_bytes:
                     held = held.join(F.broadcast(incoming.select(*keys)), list(keys), "left_semi")
+                else:
+                    mine = incoming.select(*keys)
+                    keyed = KeyFilter.of(mine, n_incoming, common_schema(mine, held))
+                    staged.append(keyed.blocks)
+                    held = keyed.passing(held)
                 difference = insert_missing(incoming, held, keys, null_keys)
             else:
                 difference = insert_missing_rows(incoming, held, surrogate)
             staged.append(Staged.of(difference))
-            missing, n_missing = staged[1].table, staged[1].n_rows
+            missing, n_missing = staged[-1].table, staged[-1].n_rows
             order = [c for c in target.columns if c in missing.columns]
             missing = missing.select(*order, *[c for c in missing.columns if c not in order])
         if preview:

@@ -2,13 +2,15 @@
 
 A term matches when it occurs anywhere in the text, ignoring case and word boundaries. NULL and blank terms
 match nothing: they are dropped from the dictionary before anything else. The cleaned dictionary is written
-once as a snapshot, and its size decides between three ways that give the same rows.
+once as a snapshot, and its size decides between four ways that give the same rows.
 
 ``literal``    a handful of terms: the tests are written into the projection itself. One codegen stage,
                no join and no shuffle.
 ``automaton``  up to some 50,000 terms: one pass over each text with a multi-pattern automaton, in Arrow
                batches. Spark has no built-in that searches many terms in one pass; testing them one by one
                costs (text length x terms), the automaton only (text length). Posts are not shuffled.
+``store``      up to 64 such automata: the dictionary is cut into bounded shards, and the texts are searched
+               with one after another (see ``term_store``). Texts are not shuffled, only (text key, entry) is.
 ``shuffled``   any size: texts and terms meet in an equi-join. Terms of up to ten characters meet the
                distinct stretches of just their length of every text, so what meets is a match. A longer
                term meets the consecutive blocks of the texts; such candidates return to their text by key
@@ -32,16 +34,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postflow.operators import term_store
 from postflow.session import Staged, stage
 
 BLOCK = 6
 #: Terms shorter than this need not hold a whole block at every alignment.
 LONG = 2 * BLOCK - 1
 
-_LOWER = "_text_lower"
-_KEY = "_text_key"
+_LOWER = term_store.LOWER
+_KEY = term_store.KEY
 _BLOCK = "_block"
-_NEEDLE = "_needle"
+_NEEDLE = term_store.NEEDLE
 _PHASE = "_phase"
 
 
@@ -52,6 +55,10 @@ class MatchLimits:
     literal_terms: int = 64
     automaton_terms: int = 50_000
     automaton_bytes: int = 4 * 1024 * 1024
+    #: Size of one shard of the store, and up to how many shards (passes over the texts) it is taken.
+    shard_terms: int = 50_000
+    shard_bytes: int = 4 * 1024 * 1024
+    store_shards: int = 64
 
 
 DEFAULT_LIMITS = MatchLimits()
@@ -80,8 +87,8 @@ def _any_term(terms: list[str]) -> Column:
     return tests[0]
 
 
-def _dictionary(terms: DataFrame, limits: MatchLimits) -> tuple[str, list, DataFrame | None]:
-    """Which way to take; the dictionary's rows, or for the shuffled way its snapshot.
+def _dictionary(terms: DataFrame, limits: MatchLimits) -> tuple[str, list, Staged | None]:
+    """Which way to take; the dictionary's rows, or for the ways beyond one automaton its snapshot.
 
     ``terms`` holds the lower-cased term in column ``_needle``. What is measured, fetched and joined is one
     snapshot, so a dictionary that changes meanwhile is neither cut nor mixed: two jobs, the write that measures
@@ -90,7 +97,7 @@ def _dictionary(terms: DataFrame, limits: MatchLimits) -> tuple[str, list, DataF
     clean = terms.filter(F.col(_NEEDLE).isNotNull() & (F.trim(_NEEDLE) != ""))
     held = Staged.of(clean, sized=terms.columns)
     if held.n_bytes > limits.automaton_bytes or held.n_rows > max(limits.literal_terms, limits.automaton_terms):
-        return "shuffled", [], held.table
+        return "any", [], held
     rows = held.table.collect()
     held.delete()
     return "literal" if len(rows) <= limits.literal_terms else "automaton", rows, None
@@ -156,12 +163,13 @@ def _text_blocks(text: Column) -> Column:
 
 
 def _stretches(text: Column, lengths: list[int]) -> Column:
-    """Distinct stretches of the given lengths, from every place of the text."""
+    """Distinct stretches of the given lengths, from every place of the text.
+
+    Each match moves on by one character and looks ahead for the stretch, so the time is in proportion to the text.
+    """
 
     def of(n: int) -> Column:
-        places = F.sequence(F.lit(1), F.char_length(text) - (n - 1))
-        found = F.array_distinct(F.transform(places, lambda at: F.substring(text, at, F.lit(n))))
-        return F.when(F.char_length(text) >= n, found).otherwise(F.array().cast("array<string>"))
+        return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1)))
 
     return F.concat(*[of(n) for n in lengths])
 
@@ -193,14 +201,25 @@ def text_key(content: str) -> Column:
     return F.sha2(F.col(content), 256)
 
 
-def _key_matches(posts: DataFrame, entries: DataFrame, content: str) -> DataFrame:
-    """Shuffled way: (text key, columns of the dictionary entry) of every distinct text, each pair once.
+def _key_matches(posts: DataFrame, entries: Staged, content: str, limits: MatchLimits) -> DataFrame:
+    """Beyond one automaton: (text key, columns of the dictionary entry) of every distinct text, each pair once.
 
-    ``entries`` is a cleaned snapshot with ``_needle``. Distinct texts are written once and read by both joins.
+    ``entries`` is a cleaned snapshot with ``_needle``; its distinct rows count.
     """
-    texts = posts.filter(F.col(content).isNotNull()).select(text_key(content).alias(_KEY), F.col(content).alias("_text"))
+    rows = entries.table.distinct()
+    columns = [c for c in rows.columns if c != _NEEDLE]
+    present = posts.filter(F.col(content).isNotNull())
+    if term_store.shards_needed(entries.n_rows, entries.n_bytes, limits.shard_terms, limits.shard_bytes) <= limits.store_shards:
+        texts = present.select(text_key(content).alias(_KEY), F.lower(content).alias(_LOWER))
+        store = term_store.TermStore.of(rows, entries.n_rows, entries.n_bytes, limits.shard_terms, limits.shard_bytes)
+        return store.hits(texts, columns)
+    return _joined_matches(present, rows, content, columns)
+
+
+def _joined_matches(posts: DataFrame, entries: DataFrame, content: str, columns: list[str]) -> DataFrame:
+    """Shuffled way. Distinct texts are written once and read by both joins."""
+    texts = posts.select(text_key(content).alias(_KEY), F.col(content).alias("_text"))
     texts = stage(texts.dropDuplicates([_KEY]).select(_KEY, F.lower("_text").alias(_LOWER)))
-    columns = [c for c in entries.columns if c != _NEEDLE]
     short, long_ = (entries.filter(F.char_length(_NEEDLE) < LONG), entries.filter(F.char_length(_NEEDLE) >= LONG))
     lengths = sorted(r["n"] for r in short.select(F.char_length(_NEEDLE).alias("n")).distinct().collect())  # at most LONG rows
     found = texts.select(_KEY, F.explode(_text_blocks(F.col(_LOWER))).alias(_BLOCK)).join(_filed(long_), _BLOCK).drop(_BLOCK)
@@ -211,9 +230,27 @@ def _key_matches(posts: DataFrame, entries: DataFrame, content: str) -> DataFram
     return found
 
 
+def hot_keys(keyed: DataFrame, key: str, most: int = 64) -> list[str]:
+    """Keys with more rows than half a shuffle partition's share, found by a sketch; at most ``most``."""
+    n_parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n, top = keyed.agg(F.count(F.lit(1)), F.expr(f"approx_top_k({key}, {most}, 10000)")).first()
+    return [r["item"] for r in top or [] if r["count"] > 1 and r["count"] * 2 * n_parts >= n]
+
+
 def _with_hits(posts: DataFrame, hits: DataFrame, content: str, how: str) -> DataFrame:
-    """Posts joined with ``hits`` by the key of their text; posts without text stay out of the shuffle."""
-    found = posts.filter(F.col(content).isNotNull()).withColumn(_KEY, text_key(content)).join(hits, _KEY, how)
+    """Posts joined with ``hits`` by the key of their text; posts without text stay out of the shuffle.
+
+    Posts of a text that very many share do not move either: the hits of these few texts are measured and broadcast. The rest
+    is joined by key.
+    """
+    keyed = posts.filter(F.col(content).isNotNull()).withColumn(_KEY, text_key(content))
+    hot = hot_keys(keyed.select(_KEY), _KEY)
+    few = hits.filter(F.col(_KEY).isin(hot)) if hot else None
+    if few is not None and fits_broadcast(few, 1_000_000, 64 * 1024 * 1024):
+        is_hot = F.col(_KEY).isin(hot)
+        found = keyed.filter(~is_hot).join(hits.filter(~is_hot), _KEY, how).unionByName(keyed.filter(is_hot).join(F.broadcast(few), _KEY, how))
+    else:
+        found = keyed.join(hits, _KEY, how)
     if how == "inner":
         return found
     return found.unionByName(posts.filter(F.col(content).isNull()), allowMissingColumns=True)
@@ -276,8 +313,8 @@ def match_terms(
         # the listed rows are the ones just measured and fetched, so their size is bounded
         return out.join(F.broadcast(listed), "_label", how).select(*posts.columns, *terms.columns)
     # repeated entries are counted before the keys are made distinct, and spread out again afterwards
-    counted = snapshot.groupBy(*snapshot.columns).agg(F.count(F.lit(1)).cast("int").alias("_times"))
-    hits = _key_matches(posts, counted, content)
+    counted = snapshot.table.groupBy(*snapshot.table.columns).agg(F.count(F.lit(1)).cast("int").alias("_times"))
+    hits = _key_matches(posts, snapshot.of_same_size(counted), content, limits)
     copies = F.array_repeat(F.lit(0), F.coalesce("_times", F.lit(1)))
     keyed = _with_hits(posts, hits, content, how)
     return keyed.select("*", F.explode(copies).alias("_copy")).select(*posts.columns, *terms.columns)
@@ -297,8 +334,8 @@ def match_orgs(
         .distinct()
     )
     way, rows, snapshot = _dictionary(entries, limits)
-    if way == "shuffled":
-        hits = _key_matches(posts, snapshot, content).distinct()
+    if way == "any":
+        hits = _key_matches(posts, snapshot, content, limits).distinct()
         return _with_hits(posts, hits, content, "inner").select(*posts.columns, "org_id")
     base = with_lower(posts, content)
     if way == "automaton":
@@ -327,8 +364,8 @@ def matched_keywords(
     terms = keywords.select("keyword").distinct().withColumn(_NEEDLE, F.lower("keyword"))
     way, rows, snapshot = _dictionary(terms, limits)
     present = F.col(content).isNotNull()
-    if way == "shuffled":
-        hits = _key_matches(posts, snapshot, content).groupBy(_KEY).agg(F.array_sort(F.collect_set("keyword")).alias("matched_keywords"))
+    if way == "any":
+        hits = _key_matches(posts, snapshot, content, limits).groupBy(_KEY).agg(F.array_sort(F.collect_set("keyword")).alias("matched_keywords"))
         keyed = _with_hits(posts, hits, content, "left")
         found = F.coalesce("matched_keywords", F.array().cast("array<string>"))
         return keyed.select(*posts.columns, F.when(present, found).alias("matched_keywords"))
@@ -364,8 +401,8 @@ def is_spam(
     needles = spam.select(F.lower(term).alias(_NEEDLE)).distinct()
     way, rows, snapshot = _dictionary(needles, limits)
     present = F.col(content).isNotNull() & (F.col(content) != "")
-    if way == "shuffled":
-        hits = _key_matches(posts, snapshot, content).select(_KEY, F.lit(True).alias("_spam")).distinct()
+    if way == "any":
+        hits = _key_matches(posts, snapshot, content, limits).select(_KEY, F.lit(True).alias("_spam")).distinct()
         keyed = _with_hits(posts, hits, content, "left")
         return keyed.select(*posts.columns, F.when(present, F.coalesce("_spam", F.lit(False))).alias("has_spamwords"))
     if way == "automaton":

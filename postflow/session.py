@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import threading
 import uuid
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -78,6 +80,57 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    files, path = _path(spark, folder)
+    files.delete(path, True)
+
+
+def move_folder(spark: SparkSession, folder: str, to: str) -> bool:
+    """Rename within one file system, in one step; False if it could not be done, such as when ``to`` is there already."""
+    files, path = _path(spark, folder)
+    return files.rename(path, _path(spark, to)[1])
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    files, path = _path(spark, folder)
+    return files.exists(path)
+
+
+_scopes = threading.local()  # a stream's batches run in threads of their own
+
+
+@contextmanager
+def staging_scope() -> Iterator[None]:
+    """Everything staged inside is deleted on leaving, so results must have been written by then.
+
+    For work that repeats in one session, such as a stream's batches. What is staged outside any scope is deleted
+    when the session's process ends.
+    """
+    outer, _scopes.folders = getattr(_scopes, "folders", None), []
+    try:
+        yield
+    finally:
+        inner, _scopes.folders = _scopes.folders, outer
+        for spark, folder in inner:
+            delete_folder(spark, folder)
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new path below the shared folder that is deleted with the scope it is made in, or with the process."""
+    folder = run_folder(spark, label)
+    if getattr(_scopes, "folders", None) is not None:
+        _scopes.folders.append((spark, folder))
+    else:
+        files, path = _path(spark, folder)
+        files.deleteOnExit(path)
+    return folder
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and continue from there (see :class:`Staged`)."""
     return Staged.of(df).table
@@ -100,17 +153,19 @@ class Staged:
     @classmethod
     def of(cls, df: DataFrame, sized: Sequence[str] = ()) -> Staged:
         """``n_bytes`` counts the values of the columns in ``sized``, as text."""
-        spark, folder, seen = df.sparkSession, run_folder(df.sparkSession, "staged"), Observation()
+        spark, folder, seen = df.sparkSession, scratch_folder(df.sparkSession, "staged"), Observation()
         length = F.lit(0).cast("bigint")
         for name in sized:
             length = length + F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")).cast("bigint"), F.lit(0))
         df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(length).alias("bytes")).write.parquet(folder)
         return cls(spark.read.schema(df.schema).parquet(folder), folder, seen.get["n"], seen.get["bytes"] or 0)
 
+    def of_same_size(self, table: DataFrame) -> Staged:
+        """Another view of the same rows; the size stays as measured."""
+        return replace(self, table=table)
+
     def delete(self) -> None:
-        spark = self.table.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(self.table.sparkSession, self.folder)
 
 
 def cache_static(df: DataFrame) -> DataFrame:

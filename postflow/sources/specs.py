@@ -45,8 +45,10 @@ class SourceSpec(Validated):
     path: str | None = None
     schema: T.StructType | None = None
     columns: tuple[str, ...] | None = None
+    #: Conditions that exclude each other and cover the table; each is read by a task of its own.
+    predicates: tuple[str, ...] | None = None
 
-    optional = ("path", "schema", "columns")
+    optional = ("path", "schema", "columns", "predicates")
 
 
 @dataclass(frozen=True, repr=False)
@@ -120,9 +122,15 @@ def _jdbc(url, table, user, password, driver) -> dict[str, str]:
 
 
 def jdbc_table(
-    url, table, user, password, driver, *, columns=None, partition_column=None, lower=None, upper=None, partitions=None
+    url, table, user, password, driver, *, columns=None, partition_column=None, lower=None, upper=None, partitions=None, predicates=None
 ) -> SourceSpec:
-    """A table, read in parallel ranges of ``partition_column`` when one is given."""
+    """A table, read in parallel ranges of ``partition_column`` when one is given.
+
+    Equal steps from ``lower`` to ``upper`` must be guessed and overfill a range where the column is skewed; ``predicates`` from
+    :func:`postflow.sources.ranges.equal_depth_ranges` hold about equally many rows each.
+    """
+    if predicates and partition_column:
+        raise ValueError("give either predicates or a partition column")
     options = _jdbc(url, table, user, password, driver)
     if partition_column:
         options |= {
@@ -131,7 +139,7 @@ def jdbc_table(
             "upperBound": None if upper is None else str(upper),
             "numPartitions": None if partitions is None else str(partitions),
         }
-    return SourceSpec("jdbc", options, columns=columns).validate()
+    return SourceSpec("jdbc", options, columns=columns, predicates=None if predicates is None else tuple(predicates)).validate()
 
 
 def jdbc_sink(url, schema, table, user, password, driver, *, read_options=None) -> SinkSpec:

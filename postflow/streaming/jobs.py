@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from postflow.functions.variations import split_variations, variation_names, variation_values
 from postflow.operators.incremental import append_missing
 from postflow.operators.matching import DEFAULT_LIMITS, MatchLimits
-from postflow.operators.sales import KEYS, all_set, delta, event_order, window_last
+from postflow.operators.sales import KEYS, all_set, delta, window_last
 from postflow.plans.classify import classify_all
 from postflow.plans.property_sales import sales_columns
 from postflow.schemas import PROPERTY_OUT
+from postflow.session import staging_scope
 from postflow.sources.specs import SinkSpec
 from postflow.sources.writers import write
+from postflow.streaming.ledger import EpochLedger
 
 
 def properties(events: DataFrame) -> DataFrame:
@@ -42,41 +44,47 @@ def classify_each_batch(
     keys: Sequence[str] | None = None,
     encoded_spam: bool = False,
     limits: MatchLimits = DEFAULT_LIMITS,
+    ledger: EpochLedger | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` writer that classifies every micro-batch against the dictionary of the moment.
 
-    With ``keys`` only rows absent from the sink are appended, so a replayed batch adds nothing.
+    With ``keys`` only rows absent from the sink are appended, so a replayed batch adds nothing; with a ``ledger`` a
+    batch that was committed is not even classified again. What a batch stages is deleted with it.
     """
 
-    def run(batch: DataFrame, epoch_id: int) -> None:
-        rows = classify_all(batch, read_orgs(), how="inner", encoded_spam=encoded_spam, limits=limits)
-        if keys:
-            append_missing(rows, sink, keys, count_target=False)
-        else:
+    def run(batch: DataFrame, epoch_id: int) -> int | None:
+        with staging_scope():
+            rows = classify_all(batch, read_orgs(), how="inner", encoded_spam=encoded_spam, limits=limits)
+            if keys:
+                return append_missing(rows, sink, keys, count_target=False).n_missing
             write(rows, sink)
 
-    return run
+    return ledger.guarded(run) if ledger else run
 
 
-def append_each_batch(sink: SinkSpec) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer that appends the batch as it is; a replayed batch is written again."""
+def append_each_batch(sink: SinkSpec, *, ledger: EpochLedger | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` writer that appends the batch as it is; without a ``ledger`` a replayed batch is written again."""
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         write(batch, sink)
 
-    return run
+    return ledger.guarded(run) if ledger else run
 
 
-def append_missing_each_batch(sink: SinkSpec, keys: Sequence[str], **options) -> Callable[[DataFrame, int], None]:
+def append_missing_each_batch(
+    sink: SinkSpec, keys: Sequence[str], *, ledger: EpochLedger | None = None, **options
+) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` writer that appends only absent keys, so a replayed batch adds nothing.
 
-    The target is not counted; ``options`` go to :func:`append_missing`, such as a ``target_filter``.
+    The target is scanned once per batch, and not at all for a batch that the ``ledger`` holds. It is not counted; ``options`` go
+    to :func:`append_missing`, such as a ``target_filter``.
     """
 
-    def run(batch: DataFrame, epoch_id: int) -> None:
-        append_missing(batch, sink, keys, **{"count_target": False, **options})
+    def run(batch: DataFrame, epoch_id: int) -> int:
+        with staging_scope():
+            return append_missing(batch, sink, keys, **{"count_target": False, **options}).n_missing
 
-    return run
+    return ledger.guarded(run) if ledger else run
 
 
 def windowed_last(events: DataFrame, *, time: str = "crawl_time", late: str = "10 minutes", **options) -> DataFrame:
@@ -93,51 +101,43 @@ def windowed_delta(
     late: str = "10 minutes",
     **options,
 ) -> DataFrame:
-    """Sales delta to the preceding window on a stream, as one stateful aggregation.
+    """Sales delta to the preceding window on a stream: two stateful aggregations, one after the other.
 
-    Every event counts twice: in its own window as the current value, and one window later as the previous
-    value. A window therefore holds both values when it closes, and neither a stream-stream join nor its
-    state is needed. The moved events run one window ahead, so the watermark waits that much longer and
-    still trails the newest event by ``late``.
+    The first gives every window's last values once the watermark has passed its end. The second brings each emitted
+    window together with the one before it, in windows of twice the width that slide by one. A row that comes after its own
+    window was emitted counts nowhere, so "previous" is always the value that was emitted.
     """
-    total, price = options.pop("total", "property_sold"), options.pop("price", "property_price")
-    order = event_order(time, options.pop("tiebreak", ()))
-    if options:
-        raise TypeError(f"unknown options {sorted(options)}")
-    own = F.col("_ahead") == 0
-    twice = events.withColumn("_ahead", F.explode(F.array(F.lit(0), F.lit(1))))
-    at = F.when(own, F.col(time)).otherwise(F.col(time) + F.expr(f"interval {width}"))
-    windows = (
-        twice.withColumn("_at", at)
-        .withWatermark("_at", f"{late} {width}")
-        .groupBy(F.window("_at", width).alias("time_window"), *keys)
-        .agg(
-            F.max_by(total, F.when(own, order)).alias("total_sales"),
-            F.max_by(price, F.when(own, order)).alias("price"),
-            F.max_by(total, F.when(~own & all_set(keys), order)).alias("prev_total_sales"),
-            F.count_if(own).alias("_events"),
-        )
+    emitted = windowed_last(events, keys=keys, time=time, width=width, late=late, **options)
+    paired = emitted.withColumn("_pair", F.window(F.window_time("time_window"), f"{width} {width}", width))
+    own = F.col("time_window.end") == F.col("_pair.end")
+    windows = paired.groupBy("_pair", *keys).agg(
+        F.max(F.when(own, F.col("time_window"))).alias("time_window"),
+        F.max(F.when(own, F.col("total_sales"))).alias("total_sales"),
+        F.max(F.when(own, F.col("price"))).alias("price"),
+        F.max(F.when(~own & all_set(keys), F.col("total_sales"))).alias("prev_total_sales"),
     )
     quantity = delta(F.col("total_sales"), F.col("prev_total_sales"))
     return (
-        windows.filter(F.col("_events") > 0)
-        .drop("_events")
-        .withColumn("quantity", quantity)
+        windows.filter(F.col("time_window").isNotNull())
+        .select("time_window", *keys, "total_sales", "price", "prev_total_sales", quantity.alias("quantity"))
         .withColumn("gmv", F.col("quantity") * F.col("price"))
     )
 
 
-def property_sales_stream(events: DataFrame, *, width: str = "1 minute", late: str = "10 minutes") -> DataFrame:
+def property_sales_stream(events: DataFrame, *, width: str = "1 minute", late: str = "10 minutes", salts: int = 16) -> DataFrame:
     """Every event with quantity and gmv of its window, emitted once that window is closed.
 
     Events wait in the state of a join on (window, key) until :func:`windowed_delta` emits the window; the
-    watermark clears both sides.
+    watermark clears both sides. Events of one key are dealt over ``salts`` parts by their content, and the one row a window
+    and key have on the other side is repeated for each, so a key with most of the events fills all state partitions alike.
     """
     deltas = windowed_delta(events, width=width, late=late).select("time_window", *KEYS, "quantity", "gmv")
+    deltas = deltas.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     keyed = events.withWatermark("crawl_time", late).withColumn("time_window", F.window("crawl_time", width))
     # a stream may carry one event-time column: the window keeps the watermark, the raw time gives its mark up
     keyed = keyed.withColumn("crawl_time", F.col("crawl_time").alias("crawl_time", metadata={}))
-    joined = keyed.join(deltas, ["time_window", *KEYS], "left")
+    keyed = keyed.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in events.columns]), F.lit(salts)).cast("int"))
+    joined = keyed.join(deltas, ["time_window", *KEYS, "_salt"], "left").drop("_salt")
     # events without a time belong to no window; they pass at once, with 0
     timeless = events.filter(F.col("crawl_time").isNull())
     return sales_columns(joined.unionByName(timeless, allowMissingColumns=True).fillna({"quantity": 0, "gmv": 0}))

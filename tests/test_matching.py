@@ -19,7 +19,8 @@ TERMS = [
 WAYS = {
     "literal": m.MatchLimits(),
     "automaton": m.MatchLimits(literal_terms=0),
-    "shuffled": m.MatchLimits(literal_terms=0, automaton_terms=0),
+    "store": m.MatchLimits(literal_terms=0, automaton_terms=0, shard_terms=9),
+    "shuffled": m.MatchLimits(literal_terms=0, automaton_terms=0, store_shards=0),
 }
 
 
@@ -97,7 +98,7 @@ def test_empty_dictionary(spark):
     assert {tuple(r.matched_keywords) for r in m.matched_keywords(posts(spark, ["a"]), none).collect()} == {()}
 
 
-@pytest.mark.parametrize("way", ["automaton", "shuffled"])
+@pytest.mark.parametrize("way", ["automaton", "store", "shuffled"])
 def test_random_texts(spark, way):
     rnd = random.Random(7)
     texts = ["".join(rnd.choice("abcé ") for _ in range(rnd.randint(0, 60))) for _ in range(200)]
@@ -127,7 +128,7 @@ def test_no_row_python_and_no_pair_join(spark):
         assert "BatchEvalPython" not in plan
         assert "NestedLoop" not in plan and "Cartesian" not in plan
         assert ("ArrowEvalPython" in plan) == (name == "automaton")
-        if name != "shuffled":
+        if name in ("literal", "automaton"):
             assert "Exchange" not in plan
 
 
@@ -178,3 +179,51 @@ def test_short_terms_meet_matches_only(spark):
     lowered = posts(spark, texts).select("id", F.explode(m._stretches(F.lower("content"), [3, 4])).alias("needle"))
     pairs = lowered.join(spark.createDataFrame(terms, "org_id int, needle string").select("needle").distinct(), "needle").count()
     assert pairs == sum(n in t for t in texts for n in {n for _, n in terms})
+
+
+def test_shards_are_searched_one_by_one(spark):
+    """Any number of shards gives the rows of one, and a needle with very many entries is not sent out."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcdef ") for _ in range(80)) for _ in range(50)] * 2
+    terms = [(k, "".join(rng.choice("abcdef") for _ in range(3))) for k in range(60)] + [(k, "abc") for k in range(20)]
+    want = sorted(expected(texts, terms), key=key)
+    for shard_terms in (1000, 30):
+        limits = m.MatchLimits(literal_terms=0, automaton_terms=0, shard_terms=shard_terms)
+        got = m.match_terms(posts(spark, texts), dictionary(spark, terms), limits=limits).select("id", "org_id", "keyword")
+        assert values(got) == want
+
+
+def test_beyond_the_store_texts_and_terms_are_joined(spark):
+    few = m.MatchLimits(literal_terms=0, automaton_terms=0, shard_terms=2, store_shards=3)
+    got = m.match_terms(posts(spark), dictionary(spark), limits=few)
+    assert "_block" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert values(got.select("id", "org_id", "keyword")) == sorted(expected(TEXTS, TERMS), key=key)
+
+
+def test_stretches_of_long_texts_take_linear_time(spark):
+    import time
+
+    def seconds(n):
+        text = spark.createDataFrame([("ab cd😀efg " * (n // 10),)], "t string")
+        start = time.perf_counter()
+        text.select(F.size(m._stretches(F.col("t"), [4, 7]))).collect()
+        return time.perf_counter() - start
+
+    seconds(20_000)
+    assert seconds(400_000) < 20 * max(seconds(20_000), 0.2)
+
+
+def test_a_text_that_many_posts_share_stays_in_place(spark):
+    """A third of the posts have one text: without adaptive plans no partition of the join gets much more than the others."""
+    texts = ["license and needle"] * 3000 + [f"needle {k}" for k in range(6000)]
+    base = posts(spark, texts).repartition(8)
+    way = m.MatchLimits(literal_terms=0, automaton_terms=0)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = m.match_terms(base, dictionary(spark), limits=way).groupBy(F.spark_partition_id().alias("p"), F.length("content").alias("n")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    hot = [r["count"] for r in found if r["n"] == len(texts[0])]
+    assert sum(hot) == 3000 * 4 and len(hot) == 8 and max(hot) <= 2 * sorted(hot)[4]

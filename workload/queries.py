@@ -8,14 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postflow.functions import calendar, ids, phrases, variations
-from postflow.operators import dedupe, incremental, matching, quality, sales
+from postflow.operators import compaction, dedupe, incremental, matching, quality, sales
 from postflow.plans import classify, daily, property_sales as sales_plan, publish
 from postflow.schemas import POST_PUBLISH, POST_STORED, POST_STREAM, PROPERTY_EVENT, conform, table as schema
 from postflow.session import run_folder
+from postflow.sources.ranges import equal_depth_ranges
 from postflow.sources.readers import read_source
-from postflow.sources.specs import SinkSpec, StreamSinkSpec, files
+from postflow.sources.specs import SinkSpec, SourceSpec, StreamSinkSpec, files
 from postflow.sources.writers import write, write_if_any, write_json, write_stream
 from postflow.streaming import jobs, parse
+from postflow.streaming.ledger import EpochLedger
 from workload.inputs import (
     AS_OF,
     DERIVED_SQL,
@@ -45,8 +47,9 @@ from workload.inputs import (
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 HOUR = "1 hour"
-#: Limits that send any dictionary the shuffled way.
-ANY_SIZE = matching.MatchLimits(literal_terms=0, automaton_terms=0)
+#: Limits that send any dictionary to the store of automata (here in shards of 500 terms), or to the join by stretches.
+ANY_SIZE = matching.MatchLimits(literal_terms=0, automaton_terms=0, shard_terms=500)
+JOINED = matching.MatchLimits(literal_terms=0, automaton_terms=0, store_shards=0)
 
 
 def query(sql: str | None = None):
@@ -134,6 +137,13 @@ def spam_flag_large(spark, d):
 
 @query(_WORDS_SQL)
 def spam_flag_shuffled(spark, d):
+    terms = phrases.org_keywords(derived_orgs(spark, d)).select(F.col("keyword").alias("term"))
+    return matching.is_spam(table(spark, d, "documents"), terms, content="text", limits=JOINED).select("doc_id", "has_spamwords")
+
+
+@query(_WORDS_SQL)
+def spam_flag_store(spark, d):
+    """The same by shards of the dictionary, one pass over the texts for each."""
     terms = phrases.org_keywords(derived_orgs(spark, d)).select(F.col("keyword").alias("term"))
     return matching.is_spam(table(spark, d, "documents"), terms, content="text", limits=ANY_SIZE).select("doc_id", "has_spamwords")
 
@@ -153,7 +163,7 @@ def matched_keywords_large(spark, d):
     SELECT doc_id, coalesce((SELECT string_agg(keyword, '|' ORDER BY keyword) FROM short
                              WHERE contains(lower(t.text), keyword)), '') AS matched_keywords FROM documents t""")
 def matched_short_terms_shuffled(spark, d):
-    """Terms of four letters by the way for dictionaries of any size: they meet texts by their own length."""
+    """Terms of four letters by the ways for dictionaries beyond one automaton."""
     terms = phrases.org_keywords(derived_orgs(spark, d)).select(F.lower(F.substring("keyword", 1, 4)).alias("keyword"))
     found = matching.matched_keywords(table(spark, d, "documents"), terms, content="text", limits=ANY_SIZE)
     return found.select("doc_id", F.array_join("matched_keywords", "|").alias("matched_keywords"))
@@ -236,10 +246,21 @@ def keyword_entries(spark, d):
 
 @query(ORACLES["keyword_entries"])
 def keyword_entries_shuffled(spark, d):
-    """The same rows by the way that is taken for dictionaries of any size."""
-    any_size = matching.MatchLimits(literal_terms=0, automaton_terms=0)
+    """The same rows by the join that is taken for dictionaries of any size."""
     terms = phrases.org_keywords(orgs(spark))
-    found = matching.match_terms(table(spark, d, "conversations"), terms, content="text", limits=any_size)
+    found = matching.match_terms(table(spark, d, "conversations"), terms, content="text", limits=JOINED)
+    return found.select("conv_id", "turn", "org_id", "keyword")
+
+
+_HOT_TEXT = "CASE WHEN conv_id % 3 = 0 THEN 'the ering of a license and étion' ELSE text END"
+
+
+@query(f"""WITH {DICT_SQL}, c AS (SELECT conv_id, turn, {_HOT_TEXT} AS text FROM conversations)
+    SELECT conv_id, turn, org_id, keyword FROM c JOIN keywords k ON contains(lower(c.text), lower(k.keyword))""")
+def keyword_entries_hot_text(spark, d):
+    """A third of the posts share one text."""
+    posts = table(spark, d, "conversations").select("conv_id", "turn", F.expr(_HOT_TEXT).alias("text"))
+    found = matching.match_terms(posts, phrases.org_keywords(orgs(spark)), content="text", limits=ANY_SIZE)
     return found.select("conv_id", "turn", "org_id", "keyword")
 
 
@@ -379,6 +400,28 @@ def compact_dedup(spark, d):
     return dedupe.compact_dedup(lines.unionByName(lines.filter("l_linenumber = 1")))
 
 
+@query("SELECT DISTINCT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem")
+def compact_bucketed(spark, d):
+    """Three runs into one table: most lines, lines of which most are there already, and the same again, which writes nothing."""
+    store = compaction.BucketedTable(spark, run_folder(spark, "compacted"), n_buckets=16)
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    store.add(lines.filter("l_orderkey % 100 <> 0"))
+    store.add(lines)
+    assert store.add(lines).rewritten == ()
+    return store.read()
+
+
+@query("SELECT o_orderkey, nullif(o_custkey, 7) AS o_custkey FROM orders")
+def read_in_ranges(spark, d):
+    """A table cut into ranges of about equally many rows; rows without the key have a range of their own."""
+    folder = run_folder(spark, "orders-ranges")
+    orders = table(spark, d, "orders").selectExpr("o_orderkey", "nullif(o_custkey, 7) AS o_custkey")
+    orders.write.parquet(folder)
+    ranges = equal_depth_ranges(orders, "o_custkey", 6)
+    spec = SourceSpec("parquet", path=folder, schema=orders.schema, predicates=tuple(ranges))
+    return read_source(spark, spec)
+
+
 _LOADED = "DATE '1998-01-01'"
 
 
@@ -431,6 +474,21 @@ def insert_missing_ignore_surrogate(spark, d):
     return incremental.insert_missing_rows(supplier, held, surrogate="detail_id")
 
 
+@query("""WITH a AS (SELECT event_id, ts + INTERVAL (event_id % 3) MICROSECOND AS stamp, CASE WHEN event_id % 2 = 0 THEN 0.0 WHEN event_id % 7 = 0 THEN 'nan'::DOUBLE ELSE value END AS v,
+        CASE WHEN event_id % 5 <> 0 THEN event_type END AS kind FROM events),
+      b AS (SELECT event_id, ts + INTERVAL (CASE WHEN event_id % 4 = 0 THEN 0 ELSE event_id % 3 END) MICROSECOND AS stamp,
+        CASE WHEN event_id % 2 = 0 THEN 0.0 WHEN event_id % 7 = 0 THEN 'nan'::DOUBLE ELSE value END AS v, CASE WHEN event_id % 25 <> 0 AND event_id % 5 <> 0 THEN event_type END AS kind FROM events)
+    SELECT event_id, stamp FROM (SELECT * FROM a EXCEPT SELECT * FROM b)""")
+def insert_missing_planted_values(spark, d):
+    """Whole rows that differ by a microsecond only, signed zeros, NaN and NULL."""
+    events = table(spark, d, "events")
+    at = "timestamp_micros(unix_micros(cast(ts as timestamp)) + {})"
+    v = "CASE WHEN event_id % 2 = 0 THEN {} WHEN event_id % 7 = 0 THEN double('NaN') ELSE value END AS v"
+    new = events.selectExpr("event_id", at.format("event_id % 3") + " AS stamp", v.format("double('-0.0')"), "CASE WHEN event_id % 5 <> 0 THEN event_type END AS kind")
+    held = events.selectExpr("event_id", at.format("CASE WHEN event_id % 4 = 0 THEN 0 ELSE event_id % 3 END") + " AS stamp", v.format("double('0.0')"), "CASE WHEN event_id % 25 <> 0 AND event_id % 5 <> 0 THEN event_type END AS kind")
+    return naive_stamps(incremental.insert_missing_rows(new, held).select("event_id", "stamp"))
+
+
 @query(f"""SELECT count(*) FILTER (o_orderdate < {_LOADED}) AS n_target, count(*) AS n_incoming,
     count(*) FILTER (o_orderdate >= {_LOADED}) AS n_missing, count(*) FILTER (o_orderdate < {_LOADED}) = count(*) AS counts_equal
     FROM orders""")
@@ -451,6 +509,16 @@ def append_missing_table(spark, d):
     return spark.read.parquet(sink.path)
 
 
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def append_missing_many_keys(spark, d):
+    """Keys that count as too many to send out: a Bloom filter of them thins the target first."""
+    sink = SinkSpec("parquet", path=run_folder(spark, "orders-many"))
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    for part in (orders.filter("o_orderstatus = 'F'"), orders, orders):
+        incremental.append_missing(part, sink, ["o_orderkey"], key_rows=0)
+    return spark.read.parquet(sink.path)
+
+
 @query("SELECT o_totalprice, o_orderkey, o_orderstatus FROM orders")
 def append_missing_key_not_first(spark, d):
     """A target whose format goes by position, and a key that is not the first column."""
@@ -488,8 +556,9 @@ def json_array_import(spark, d):
     """Files that hold one array of objects, or one object."""
     folder = run_folder(spark, "json-arrays")
     rows = table(spark, d, "customer").select(F.to_json(F.struct("c_custkey", "c_name")).alias("o"), F.col("c_custkey").alias("k"))
-    arrays = rows.filter("k % 7 <> 0").groupBy(F.expr("k % 5")).agg(F.concat(F.lit("["), F.array_join(F.collect_list("o"), ",\n"), F.lit("]")).alias("value"))
-    arrays.select("value").repartition(5).write.option("maxRecordsPerFile", 1).text(f"{folder}/a")
+    # an array has up to a thousand objects, so their number grows with the table and not their size
+    arrays = rows.filter("k % 7 <> 0").groupBy(F.expr("floor(k / 1000)")).agg(F.concat(F.lit("["), F.array_join(F.collect_list("o"), ",\n"), F.lit("]")).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(f"{folder}/a")
     rows.filter("k % 7 = 0").select(F.col("o").alias("value")).write.option("maxRecordsPerFile", 1).text(f"{folder}/b")
     kinds = schema("c_custkey BIGINT, c_name STRING")
     parts = [read_source(spark, files("json", f"{folder}/{x}", kinds, multiLine="true")) for x in "ab"]
@@ -737,17 +806,19 @@ def stream_classify(spark, d):
     return _drain(spark, rows, "classified")
 
 
-@query(f"""WITH {DERIVED_SQL}
-    SELECT concat(conv_id, '-', turn) AS post_id, org_id FROM conversations c JOIN words w ON contains(lower(c.text), lower(w.keyword))""")
+@query(f"""WITH {DERIVED_SQL}, late AS (SELECT DISTINCT keyword AS term FROM words WHERE length(keyword) > {RARE_LENGTH})
+    SELECT concat(conv_id, '-', turn) AS post_id, org_id FROM conversations c JOIN words w ON contains(lower(c.text), lower(w.keyword))
+    WHERE c.text <> '' AND NOT EXISTS (SELECT 1 FROM late WHERE contains(lower(c.text), lower(term)))""")
 def stream_classify_each_batch(spark, d):
-    """Every micro-batch meets the dictionary as it is at that moment."""
+    """Every micro-batch meets keywords and spam list as they are at that moment; the stream is delivered again, and its epochs are known."""
     posts = stream(spark, d, "conversations").select(
         F.concat("conv_id", F.lit("-"), "turn").alias("post_id"), F.col("text").alias("content")
     )
     sink = SinkSpec("parquet", path=run_folder(spark, "each-batch-rows"))
-    empty = F.array().cast("array<string>")
-    each = jobs.classify_each_batch(lambda: derived_orgs(spark, d).withColumn("spamwords", empty), sink)
-    _drain_batches(spark, posts, "each-batch", each)
+    ledger = EpochLedger(run_folder(spark, "each-batch-ledger"), "conversations")
+    each = jobs.classify_each_batch(lambda: rare_spam(derived_orgs(spark, d)), sink, encoded_spam=True, ledger=ledger)
+    for _ in range(2):
+        _drain_batches(spark, posts, "each-batch", each)
     return spark.read.parquet(sink.path).select("post_id", "org_id")
 
 
@@ -763,12 +834,42 @@ def stream_prev_delta(spark, d):
     return _drain(spark, _window_epoch(rows), "prev-delta")
 
 
+_LATE = "event_id % 50 = 0 AND ts < (SELECT max(ts) FROM events) - INTERVAL 2 HOUR"
+_ON_TIME_SQL = _GMV_SQL.replace("value AS rating_star, ts AS crawl_time FROM events)", f"value AS rating_star, ts AS crawl_time FROM events WHERE NOT ({_LATE}))")
+
+
+@query(f"WITH {_ON_TIME_SQL} SELECT * FROM gmv WHERE {_CLOSED}")
+def stream_prev_delta_late(spark, d):
+    """Some events come hours late, after the others: their windows are out, so they change neither these nor the ones after."""
+    folder = run_folder(spark, "late-events")
+    events = table(spark, d, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    last = events.agg(F.max(at)).first()[0]
+    marked = events.withColumn("late", (F.col("event_id") % 50 == 0) & (at < last - 7_200_000_000))
+    # rows are late against the watermark of the batch before, so the newest ones come in between
+    for part in (~F.col("late") & (at < last), at == last, F.col("late")):
+        as_properties(marked.filter(part)).coalesce(1).write.mode("append").parquet(folder)
+    source = spark.readStream.schema(PROPERTY_EVENT).option("maxFilesPerTrigger", 1).parquet(folder)
+    return _drain(spark, _window_epoch(jobs.windowed_delta(source, width=HOUR)), "late-delta")
+
+
 @query(f"{_SALES_SQL} AND {_CLOSED}")
 def stream_property_sales(spark, d):
     rows = jobs.property_sales_stream(as_properties(stream(spark, d, "events")), width=HOUR)
     return naive_stamps(_drain(spark, rows, "property-sales"))
 
 
+@query("SELECT event_id, user_id, event_type, value FROM events")
+def stream_replayed(spark, d):
+    """A writer that does not look at its target, delivered twice: the ledger knows the epochs."""
+    events = stream(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    sink = SinkSpec("parquet", path=run_folder(spark, "stream-replayed"))
+    each = jobs.append_each_batch(sink, ledger=EpochLedger(run_folder(spark, "ledger"), "events"))
+    for _ in range(2):
+        _drain_batches(spark, events, "stream-replayed", each)
+    return spark.read.parquet(sink.path)
+
+
 @query("SELECT event_id, user_id, event_type, value FROM events")
 def stream_insert_missing(spark, d):
     """The stream is delivered twice; the second delivery adds nothing."""
