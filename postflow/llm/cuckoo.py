@@ -113,8 +113,10 @@ class CuckooFilter:
         return made
 
 
-#: Bucket content: live digest, its keeper (code points, id, row) and number of live rows; or the bucket's filter.
-CONTENT = "bucket int, digest binary, n_chars long, id long, row long, size long, filter binary"
+#: Bucket content: live digest, its keeper (code points, id, row) and number of live rows; or the bucket's filter. No number
+#: is NULL, because pandas would round the other ids of its column to 53 bits; a row without an id is marked instead.
+CONTENT = "bucket int, digest binary, n_chars long, no_id boolean, id long, row long, size long, filter binary"
+_ENTRY = "bucket int, digest binary, n_chars long, no_id boolean, id long, row long, size long"
 
 
 def _better(a: tuple, b: tuple) -> bool:
@@ -123,18 +125,19 @@ def _better(a: tuple, b: tuple) -> bool:
     return key(a) < key(b)
 
 
-def _int(value):
-    return None if value is None or value != value else int(value)
-
-
 def _thin(frames):
     """Copies within one batch become one entry, before the shuffle."""
     for frame in frames:
-        frame["none"] = frame["id"].isna()
-        frame = frame.sort_values(["digest", "n_chars", "none", "id", "row"], ascending=[True, False, True, True, True], kind="stable")
+        frame = frame.sort_values(["digest", "n_chars", "no_id", "id", "row"], ascending=[True, False, True, True, True], kind="stable")
         size = frame.groupby("digest", sort=True)["row"].transform("size")
         first = ~frame["digest"].duplicated()
-        yield frame[first].assign(size=size[first], id=frame["id"][first].astype("Int64"))[["bucket", "digest", "n_chars", "id", "row", "size"]]
+        yield frame[first].assign(size=size[first])[["bucket", "digest", "n_chars", "no_id", "id", "row", "size"]]
+
+
+def _members(rows: pd.DataFrame) -> list[list]:
+    """(n_chars, id, row) and size of each entry; the id of a marked row is None."""
+    columns = (rows[c].tolist() for c in ("n_chars", "no_id", "id", "row", "size"))
+    return [[(n, None if none else i, r), s] for n, none, i, r, s in zip(*columns)]
 
 
 def _insert(key, stored: pd.DataFrame, incoming: pd.DataFrame) -> pd.DataFrame:
@@ -145,23 +148,22 @@ def _insert(key, stored: pd.DataFrame, incoming: pd.DataFrame) -> pd.DataFrame:
     digests with twice the slots.
     """
     old = stored[stored["filter"].isna()]
-    held = {bytes(d): [(int(n), _int(i), int(r)), int(s)] for d, n, i, r, s in zip(old["digest"], old["n_chars"], old["id"], old["row"], old["size"])}
+    held = dict(zip(map(bytes, old["digest"]), _members(old)))
     kept = [f for f in stored["filter"] if f is not None and f == f]
     live = CuckooFilter.load(bytes(kept[0])) if kept else CuckooFilter.for_keys(len(held) + len(incoming) // 2)
-    rows = list(zip(map(bytes, incoming["digest"]), incoming["n_chars"], incoming["id"], incoming["row"], incoming["size"]))
+    rows = list(zip(map(bytes, incoming["digest"]), _members(incoming)))
     for at in range(0, len(rows), 4096):
         piece = rows[at : at + 4096]
         maybe = live.holds([r[0] for r in piece])
         added: set[bytes] = set()  # inserted since the filter was asked
-        for hit, (digest, n, i, r, s) in zip(maybe, piece):
-            member = (int(n), _int(i), int(r))
+        for hit, (digest, (member, s)) in zip(maybe, piece):
             entry = held.get(digest) if hit or digest in added else None
             if entry is not None:
-                entry[1] += int(s)
+                entry[1] += s
                 if _better(member, entry[0]):
                     entry[0] = member
                 continue
-            held[digest] = [member, int(s)]
+            held[digest] = [member, s]
             added.add(digest)
             if not live.insert(*(p[0] for p in live.places([digest]))):
                 live = CuckooFilter.rebuilt(held, live.slots * 2)
@@ -170,12 +172,11 @@ def _insert(key, stored: pd.DataFrame, incoming: pd.DataFrame) -> pd.DataFrame:
 
 def _frame(key, held: dict, live: CuckooFilter) -> pd.DataFrame:
     n = len(held)
-    members = [e[0] for e in held.values()]
+    columns = list(zip(*[(m[0], m[1] is None, m[1] or 0, m[2], size) for m, size in held.values()])) or [()] * 5
+    kinds = {"n_chars": "int64", "no_id": "bool", "id": "int64", "row": "int64", "size": "int64"}
     out = pd.DataFrame({"bucket": [key[0]] * (n + 1), "digest": [*held, None]})
-    out["n_chars"] = pd.array([m[0] for m in members] + [None], "Int64")
-    out["id"] = pd.array([m[1] for m in members] + [None], "Int64")
-    out["row"] = pd.array([m[2] for m in members] + [None], "Int64")
-    out["size"] = pd.array([e[1] for e in held.values()] + [None], "Int64")
+    for (name, kind), values in zip(kinds.items(), columns):
+        out[name] = np.array([*values, 0], kind)
     out["filter"] = [None] * n + [live.dump()]
     return out
 
@@ -183,7 +184,7 @@ def _frame(key, held: dict, live: CuckooFilter) -> pd.DataFrame:
 def _remove(key, stored: pd.DataFrame, gone: pd.DataFrame) -> pd.DataFrame:
     """Take digests that have no live row left out of the filter and the content of one bucket."""
     old = stored[stored["filter"].isna()]
-    held = {bytes(d): [(int(n), _int(i), int(r)), int(s)] for d, n, i, r, s in zip(old["digest"], old["n_chars"], old["id"], old["row"], old["size"])}
+    held = dict(zip(map(bytes, old["digest"]), _members(old)))
     kept = [f for f in stored["filter"] if f is not None and f == f]
     live = CuckooFilter.load(bytes(kept[0])) if kept else CuckooFilter.for_keys(len(held))
     for digest in map(bytes, gone["digest"]):
@@ -224,11 +225,12 @@ class CuckooIndex:
 
     def entries(self) -> DataFrame:
         """(digest, n_chars, id, row, size): the row that stays and the number of live rows of each text."""
-        return self.content.where("digest is not null").select("digest", "n_chars", "id", "row", "size")
+        return self.content.where("digest is not null").select("digest", "n_chars", F.when(~F.col("no_id"), F.col("id")).alias("id"), "row", "size")
 
     def insert(self, rows: DataFrame) -> CuckooIndex:
         """Add rows from ``digests``."""
-        thin = rows.select("bucket", "digest", "n_chars", "id", "row").mapInPandas(_thin, "bucket int, digest binary, n_chars long, id long, row long, size long")
+        marked = rows.select("bucket", "digest", "n_chars", F.col("id").isNull().alias("no_id"), F.coalesce("id", F.lit(0)).alias("id"), "row")
+        thin = marked.mapInPandas(_thin, _ENTRY)
         return self._changed(thin, _insert)
 
     def lookup(self, rows: DataFrame) -> DataFrame:

@@ -42,9 +42,9 @@ def expand(data: bytes) -> np.ndarray:
     return octets.view("<u8").ravel()
 
 
-def fold(doc_id: int | None) -> int:
-    """crc32 of the id as text; a NULL id counts as empty text."""
-    return zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+def fold(doc_id: str) -> int:
+    """crc32 of the id as text; a NULL id is empty text."""
+    return zlib.crc32(doc_id.encode())
 
 
 def is_held_out(crc: np.ndarray) -> np.ndarray:
@@ -62,7 +62,8 @@ def tokens_of(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8").lower().split(), _END_WORD]
 
 
-_BLOCK = "block long, rows array<long>, ids array<long>, ends array<long>, words binary, tokens binary, n_train long, n_kept long"
+#: Ids are kept as text, NULL as empty text: as numbers beside NULLs they would be rounded to 53 bits.
+_BLOCK = "block long, rows array<long>, ids array<string>, ends array<long>, words binary, tokens binary, n_train long, n_kept long"
 
 
 def _blocks(block_chars: int):
@@ -71,7 +72,7 @@ def _blocks(block_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = 0
         for batch in batches:
-            rows, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            rows, ids = batch.column(0).to_pylist(), ["" if i is None else str(i) for i in batch.column(1).to_pylist()]
             sizes = pc.fill_null(pc.utf8_length(batch.column(2)), 0).to_pylist()
             for a, b in parts(sizes, block_chars):
                 words, count = [], []
@@ -92,7 +93,7 @@ def _blocks(block_chars: int):
                 block = TaskContext.get().partitionId() << 32 | number
                 number += 1
                 made = [[block], [rows[a:b]], [ids[a:b]], [np.cumsum(count)], [spelled], [squeeze(rank[number_of])], [count[~is_held_out(crc)].sum()], [count[~is_held_out(crc) & ~is_deleted(crc)].sum()]]
-                kinds = [pa.int64(), *[pa.list_(pa.int64())] * 3, pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+                kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(made, kinds)], [c.split()[0] for c in _BLOCK.split(", ")])
 
     return run
@@ -129,7 +130,7 @@ def _unique(block, order: int):
     keys = gram_keys(block, order)
     distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
     ends = np.asarray(block["ends"], np.int64)
-    crc = np.repeat([fold(None if i is None or i != i else int(i)) for i in block["ids"]], np.diff(np.concatenate([[0], ends])))
+    crc = np.repeat([fold(i) for i in block["ids"]], np.diff(np.concatenate([[0], ends])))
     return distinct, place.reshape(order, -1), crc
 
 
@@ -174,7 +175,7 @@ def _total(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["block", "share", "total", "kept", "words", "kept_words"])
 
 
-_COUNTED = "block long, rows array<long>, ids array<long>, ends array<long>, counts array<binary>, kept array<binary>, shares array<struct<share:int,words:long,kept_words:long>>"
+_COUNTED = "block long, rows array<long>, ids array<string>, ends array<long>, counts array<binary>, kept array<binary>, shares array<struct<share:int,words:long,kept_words:long>>"
 
 
 def _attach(order: int):
@@ -226,7 +227,7 @@ def _held_cells(sizes: tuple[int, int, int]):
             for _, block in frame.iterrows():
                 ends = np.asarray(block["ends"], np.int64)
                 width = np.diff(np.concatenate([[0], ends]))
-                deleted = is_deleted(np.array([fold(None if i is None or i != i else int(i)) for i in block["ids"]], np.int64))
+                deleted = is_deleted(np.array([fold(i) for i in block["ids"]], np.int64))
                 width = width[deleted]
                 counts = [expand(bytes(c)).astype(np.float64) for c in block["kept"]]
                 if not width.sum():
@@ -287,7 +288,7 @@ def _scores(sizes: tuple[int, int, int], weights: np.ndarray):
                 known = (counts[0] > 0).astype(np.int64)
                 add = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every document has its end
                 yield pd.DataFrame({
-                    "row": block["rows"], "id": pd.array([None if i is None or i != i else int(i) for i in block["ids"]], "Int64"), "n_tokens": ends - starts,
+                    "row": block["rows"], "id": block["ids"], "n_tokens": ends - starts,
                     "n_known": add(known), "train_tokens": n_tokens, "base_score": add(base), "score": add(np.log10(mixed)),
                 })
 
@@ -339,15 +340,15 @@ def score_texts(
         weights = np.zeros_like(weights)
         weights[:, 0] = 1
     scored = counted.select("rows", "ids", "ends", "counts").mapInPandas(
-        _scores((n_docs, n_tokens, n_words), weights), "row long, id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+        _scores((n_docs, n_tokens, n_words), weights), "row long, id string, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
-    crc = F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary"))
-    return scored.select("row", "id", (crc % 5 == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    crc = F.crc32(F.col("id").cast("binary"))
+    return scored.select("row", F.when(F.col("id") != "", F.col("id").cast("long")).alias("id"), (crc % 5 == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def _documents(counted: DataFrame) -> tuple[int, int]:
     """Numbers of training documents, and of those not deleted."""
-    crc = F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary"))
+    crc = F.crc32(F.col("id").cast("binary"))
     ids = counted.select(F.explode("ids").alias("id")).select(crc.alias("crc")).where("crc % 5 <> 1")
     found = ids.agg(F.count(F.lit(1)), F.count_if(F.expr("floor(crc / 5) % 5 <> 0"))).first()
     return int(found[0]), int(found[1])

@@ -7,11 +7,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postflow.llm.common import stage
+
 _WORD = re.compile(r"\w+")
 #: Base of the rolling hash; arithmetic is modulo 2**64. Equal hashes are always verified word by word.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -104,7 +105,7 @@ class Slice:
     def of(cls, rows: list[tuple[int, str | None]], min_match: int) -> Slice:
         vocabulary: dict[str, int] = {}
         items, ids, seeds, item_of, at = [], [], [], [], []
-        for item_id, text in sorted(rows, key=lambda r: (r[0], r[1] or "")):
+        for item_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")):
             words = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(text)], np.int64)
             hashes = rolling(words, min_match)
             seeds.append(hashes)
@@ -116,10 +117,22 @@ class Slice:
         order = np.argsort(flat[0], kind="stable")
         return cls(min_match, vocabulary, items, ids, flat[0][order].astype(np.uint64), flat[1][order], flat[2][order])
 
+    @classmethod
+    def all_of(cls, rows: list[tuple[int, str | None]], min_match: int) -> list[Slice]:
+        """Slices by seed length: ``min_match`` words, or the whole of an item that has fewer."""
+        by_seed: dict[int, list] = {}
+        for row in rows:
+            by_seed.setdefault(min(len(words_of(row[1])), min_match), []).append(row)
+        return [cls.of(own, seed) for seed, own in sorted(by_seed.items()) if seed]
+
     def hits(self, text: str | None, threshold: float) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
         """(item number, words covered, tiles) of each item of which the text covers enough."""
+        return self.hits_of(words_of(text), threshold)
+
+    def hits_of(self, words: list[str], threshold: float) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
+        """The same for a text that is cut into words already."""
         get = self.vocabulary.get
-        doc = np.array([get(w, -1) for w in words_of(text)], np.int64)
+        doc = np.array([get(w, -1) for w in words], np.int64)
         k = self.min_match
         known = np.flatnonzero(_runs(doc >= 0) >= k) if len(doc) >= k else np.zeros(0, np.int64)
         if not len(known) or not len(self.seeds):
@@ -152,17 +165,24 @@ class Slice:
                 yield int(which), covered, [(i, int(wanted[j]), n) for i, j, n in found]
 
 
-def _search(part: Slice, threshold: float):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+_HITS = pa.schema([
+    ("row", pa.int64()), ("id", pa.int64()), ("item_id", pa.int64()), ("item_words", pa.int32()), ("covered", pa.int32()), ("coverage", pa.float64()),
+    ("tiles", pa.list_(pa.struct([("item_word", pa.int32()), ("doc_word", pa.int32()), ("words", pa.int32())]))),
+])
+
+
+def _search(parts: list[Slice], threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             rows = []
-            for row, doc_id, text in zip(frame["row"], frame["id"], frame["text"]):
-                for which, covered, found in part.hits(text, threshold):
-                    words = len(part.items[which])
-                    made = [{"item_word": i, "doc_word": j, "words": n} for i, j, n in found]
-                    rows.append((row, None if pd.isna(doc_id) else int(doc_id), part.item_ids[which], words, covered, covered / words, made))
-            out = pd.DataFrame(rows, columns=["row", "id", "item_id", "item_words", "covered", "coverage", "tiles"])
-            yield out.astype({"id": "Int64", "item_id": "Int64"})
+            for row, doc_id, text in zip(*(batch.column(i) for i in range(3))):
+                words = words_of(text.as_py())
+                for part in parts:
+                    for which, covered, found in part.hits_of(words, threshold):
+                        n = len(part.items[which])
+                        made = [{"item_word": i, "doc_word": j, "words": k} for i, j, k in found]
+                        rows.append((row.as_py(), doc_id.as_py(), part.item_ids[which], n, covered, covered / n, made))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_HITS)], schema=_HITS)
 
     return run
 
@@ -188,24 +208,28 @@ def contaminated(
 
     The benchmark is taken in slices of about ``slice_words`` words, each of which goes out with the tasks of
     one pass over the documents: what is sent is bounded, documents are never shuffled, and the rows do not
-    depend on the number of slices. Items with fewer words than ``min_match``, and NULL or empty ones, cannot be
-    matched; texts that are NULL or empty match nothing. Repeated rows and repeated items are reported each
+    depend on the number of slices. Each slice's hits are staged before the next one is fetched. An item with fewer words than
+    ``min_match`` is found where it stands as a whole; NULL and empty items cannot be matched; texts that are NULL or empty match nothing. Repeated rows and repeated items are reported each
     (equal items with one id once). A NULL id stays NULL. Other columns are not read.
     """
     narrow = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     found = None
     for rows in _slices(items, item_col, item_text_col, slice_words):
-        part = narrow.mapInPandas(_search(Slice.of([tuple(r) for r in rows], min_match), threshold), HITS)
-        found = part if found is None else found.unionByName(part)
+        part = narrow.mapInArrow(_search(Slice.all_of([tuple(r) for r in rows], min_match), threshold), HITS)
+        if found is None:
+            found, only = part, True
+        else:
+            found, only = (stage(found, "tiles") if only else found).unionByName(stage(part, "tiles")), False
     return found
 
 
-def _clean(part: Slice, threshold: float, text_at: int):
+def _clean(parts: list[Slice], threshold: float, text_at: int):
     """Rows that cover no item of a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [next(part.hits(t.as_py(), threshold), None) is None for t in batch.column(text_at)]
+            texts = (words_of(t.as_py()) for t in batch.column(text_at))
+            keep = [not any(next(part.hits_of(words, threshold), None) for part in parts) for words in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -215,9 +239,14 @@ def drop_contaminated(
     docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
     *, min_match: int = 5, threshold: float = 0.8, slice_words: int = 1_000_000,
 ) -> DataFrame:
-    """The rows of ``docs`` that cover no benchmark item (see ``contaminated``), with all their columns; each slice of
-    the benchmark is one filter on the way, and nothing is shuffled."""
+    """The rows of ``docs`` that cover no benchmark item (see ``contaminated``), with all their columns and as often as they come.
+
+    NULL and empty texts stay. Each slice of the benchmark is one filter on the way, and nothing is shuffled; after four
+    slices what is left is staged, so that no more than four are held at once.
+    """
     at = docs.columns.index(text_col)
-    for rows in _slices(items, item_col, item_text_col, slice_words):
-        docs = docs.mapInArrow(_clean(Slice.of([tuple(r) for r in rows], min_match), threshold, at), docs.schema)
+    for number, rows in enumerate(_slices(items, item_col, item_text_col, slice_words)):
+        if number and number % 4 == 0:
+            docs = stage(docs, "uncovered")
+        docs = docs.mapInArrow(_clean(Slice.all_of([tuple(r) for r in rows], min_match), threshold, at), docs.schema)
     return docs

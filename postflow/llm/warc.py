@@ -154,6 +154,15 @@ def split_header(data: bytes) -> tuple[dict[bytes, bytes], int, int] | None:
 
 
 _NONE = (None,) * 8
+#: Whole numbers that may be missing; a plain pandas column would round them to 53 bits.
+_NULLABLE = {"span": "Int64", "page_id": "Int64", "payload_bytes": "Int64", "payload_at": "Int32"}
+
+
+def _framed(rows: list[tuple], names: list[str]) -> pd.DataFrame:
+    """Rows of the named columns and FIELDS."""
+    names = [*names, *[f.split()[0] for f in FIELDS.split(", ")]]
+    columns = zip(*rows) if rows else [()] * len(names)
+    return pd.DataFrame({n: pd.array(list(c), _NULLABLE[n]) if n in _NULLABLE else pd.Series(c, dtype=object) for n, c in zip(names, columns)})
 
 
 def _candidates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,9 +184,7 @@ def _candidates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     fields = parse_record(head, data, skip, length)
             out.append((path, start, at, len(data), span, whole, data, *fields))
             at += len(data) + len(MAGIC)
-        names = ["path", "start", "at", "size", "span", "whole", "raw", *[f.split()[0] for f in FIELDS.split(", ")]]
-        made = pd.DataFrame(out, columns=names)
-        yield made.astype({"span": "Int64", "page_id": "Int64", "payload_bytes": "Int64", "payload_at": "Int32"})
+        yield _framed(out, ["path", "start", "at", "size", "span", "whole", "raw"])
 
 
 def candidates(spark: SparkSession, folder: str) -> DataFrame:
@@ -231,8 +238,7 @@ def _assemble(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             complete = data[skip + length : skip + length + len(RECORD_END)] == RECORD_END.encode()
             fields = parse_record(head, data, skip, length) if complete else _NONE
             out.append((path, offset, span, data, *fields))
-        made = pd.DataFrame(out, columns=["path", "offset", "span", "raw", *[f.split()[0] for f in FIELDS.split(", ")]])
-        yield made.astype({"page_id": "Int64", "payload_bytes": "Int64", "payload_at": "Int32"})
+        yield _framed(out, ["path", "offset", "span", "raw"])
 
 
 def read_warc(spark: SparkSession, folder: str, *, bin_bytes: int = 1 << 20) -> DataFrame:
@@ -263,9 +269,17 @@ def read_warc(spark: SparkSession, folder: str, *, bin_bytes: int = 1 << 20) ->
 
 
 def with_responses(records: DataFrame) -> DataFrame:
-    """Each record with ``refers_to``, the page id of the response that a revisit points at (else NULL)."""
+    """Each record with ``refers_to``, the page id of the response that a revisit points at (else NULL).
+
+    Only records that point at one are joined; the others, all responses among them, do not move. Of a response that very many
+    point at there is one row, so its revisits are dealt over parts and the responses repeated for each.
+    """
+    parts = 8
     aims = records.where("warc_type = 'response'").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"))
-    return records.join(aims, "refers_to_id", "left")
+    aims = aims.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    pointing = records.where("refers_to_id is not null").withColumn("part", F.pmod(F.xxhash64("record_id"), F.lit(parts)).cast("int"))
+    joined = pointing.join(aims, ["refers_to_id", "part"], "left").drop("part")
+    return joined.unionByName(records.where("refers_to_id is null").withColumn("refers_to", F.lit(None).cast("long")))
 
 
 def archive_round_trip(pages: DataFrame, folder: str | None = None, **options) -> DataFrame:

@@ -109,3 +109,18 @@ def test_a_long_text_of_one_seed_is_cheap():
     part = Slice.of([(1, "a b c d e f g h i j")], 5)
     assert list(part.hits("a b c d e " * 20_000, 0.8)) == []
     assert [h[1] for h in part.hits("a b c d e " * 2000 + "f g h i j", 0.8)] == [10]
+
+
+def test_short_items_are_found_whole(spark):
+    docs = spark.createDataFrame([(1, "it says: The Answer, is FOUR."), (2, "answer is the four"), (3, None), (4, "four")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "the answer is four"), (2, "Four!"), (3, ""), (4, None), (None, "the answer")], "item_id long, text string")
+    found = {(r["id"], r["item_id"], r["coverage"]) for r in contaminated(docs, items).collect()}
+    assert found == {(1, 1, 1.0), (1, 2, 1.0), (2, 2, 1.0), (4, 2, 1.0), (1, None, 1.0)}
+    assert [r["doc_id"] for r in drop_contaminated(docs, items).collect()] == [3]
+
+
+def test_many_slices_are_taken_one_after_another(spark):
+    items = spark.createDataFrame([(k, " ".join(f"w{k}x{j}" for j in range(12))) for k in range(40)] + [(None, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, "before " + " ".join(f"w{k}x{j}" for j in range(12))) for k in range(0, 60, 2)], "doc_id long, text string")
+    assert {(r["id"], r["item_id"]) for r in contaminated(docs, items, slice_words=80).collect()} == {(k, k) for k in range(0, 40, 2)}
+    assert sorted(r["doc_id"] for r in drop_contaminated(docs, items, slice_words=80).collect()) == list(range(40, 60, 2))
