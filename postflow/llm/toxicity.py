@@ -6,7 +6,6 @@ import string
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -58,8 +57,8 @@ def word_inputs(words: list[str], vocabulary: dict[str, int], shape: Shape) -> t
 
 
 def tokens(text: str | None) -> list[str]:
-    """The words of a text; of a word repeated in a row one is kept, since a window of one word says no more than it."""
-    return [w for w, _ in groupby((text or "").split())]
+    """The words of a text, all of them."""
+    return (text or "").split()
 
 
 def windows(n: int, shape: Shape) -> list[int]:
@@ -320,7 +319,7 @@ def _cut(shape: Shape, most: int):
                 words = tokens(text)
                 starts = [*range(0, max(len(words), 1), shape.window)]
                 for k in np.unique(np.linspace(0, len(starts) - 1, min(most, len(starts))).astype(int)):
-                    out.append((number, " ".join(w[:64] for w in words[starts[k] : starts[k] + shape.window]), label))
+                    out.append((number, " ".join(words[starts[k] : starts[k] + shape.window]), label))
             yield pd.DataFrame(out, columns=["number", "text", "label"])
 
     return run
@@ -335,14 +334,15 @@ def fit(
     The sample: the ``most_toxic`` and ``most_clean`` labelled ids with the smallest hash, ``most_windows`` windows of
     each at most; that is all that reaches the driver, and it is the only thing in this operator that does not
     cover all rows. Ids without a label, NULL ids and NULL labels are not used; an id labelled twice counts
-    as toxic if one label says so. Without labels the network is untrained and scores are near one half.
+    as toxic if one label says so, and of several texts with one id the one with the smallest hash is taken. Without labels the network is untrained and scores are near one half.
     """
     known = labels.where(~held_out(F.col(id_col)) & F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     known = known.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
     order = F.xxhash64("id")
     sample = known.where("label = 1").orderBy(order, "id").limit(most_toxic).unionByName(known.where("label = 0").orderBy(order, "id").limit(most_clean))
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    chosen = source.join(F.broadcast(sample), "id").dropDuplicates(["id"]).select(F.col("id").alias("number"), "text", "label")
+    chosen = source.join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    chosen = chosen.select(F.col("id").alias("number"), "text", "label")
     rows = chosen.mapInPandas(_cut(shape, most_windows), "number long, text string, label int").toPandas()
     rows = rows.sort_values(["number", "text"], kind="stable")
     return train(list(zip(rows["number"], rows["text"], rows["label"])), shape, **training)
@@ -393,6 +393,9 @@ def _harmless(net: Network, threshold: float, text_at: int):
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = 0.3, **options) -> DataFrame:
-    """The rows of ``docs`` that score below the threshold, with all their columns; nothing is shuffled."""
+    """The rows of ``docs`` that score below the threshold, with all their columns and as often as they come; nothing is shuffled.
+
+    NULL and empty texts have the network's base score (see :func:`toxicity`), which decides about them too.
+    """
     net = fit(docs, labels, id_col, text_col, **options)
     return docs.mapInArrow(_harmless(net, threshold, docs.columns.index(text_col)), docs.schema)

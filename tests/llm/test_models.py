@@ -7,7 +7,7 @@ import pytest
 from helpers import awkward, clashing, frame, ordered
 
 from postflow.llm.language_model import N_BUCKETS, expand, learn_weights, score_texts, squeeze
-from postflow.llm.toxicity import Network, Scorer, Shape, drop_toxic, fit, held_out, tokens, toxicity, train, windows
+from postflow.llm.toxicity import Network, Scorer, Shape, bare, drop_toxic, fit, held_out, tokens, toxicity, train, windows, word_inputs
 
 # ---- language model
 
@@ -200,8 +200,58 @@ def test_toxic_documents_go(spark, scored):
     assert len(kept & clean) > 0.97 * len(clean) and len(kept - clean) < 0.05 * (len(rows) - len(clean))
 
 
-def test_repeats_in_a_row_count_once():
-    assert tokens("a a a b b a") == ["a", "b", "a"] and tokens(None) == []
+def test_repeated_words_count_each():
+    """Windows are cut from all words of a text, repeats in a row included."""
+    assert tokens("a a a b b a") == ["a", "a", "a", "b", "b", "a"] and tokens(None) == []
+
+
+def plain_probability(net, words):
+    """The network's probability of one window, word by word and gate by gate."""
+    w, h = {k: v.astype(float) for k, v in net.weights.items()}, net.shape.hidden
+    places = []
+    for word in words:
+        slot, triples, _ = word_inputs([bare(word)], net.vocabulary, net.shape)
+        places.append(np.concatenate([w["word"][slot[0]], w["char"][triples].mean(axis=0)]))
+
+    def sigmoid(x):
+        return 1 / (1 + math.exp(-x))
+
+    def walk(way, order):
+        state, out = [0.0] * h, {}
+        for at in order:
+            given = [sum(places[at][i] * w["input"][way, i, j] for i in range(len(places[at]))) + w["bias"][way, 0, j] for j in range(3 * h)]
+            back = [sum(state[i] * w["state"][way, i, j] for i in range(h)) for j in range(3 * h)]
+            new = []
+            for j in range(h):
+                z, r = sigmoid(given[j] + back[j]), sigmoid(given[h + j] + back[h + j])
+                new.append(z * state[j] + (1 - z) * math.tanh(given[2 * h + j] + r * back[2 * h + j]))
+            state = out[at] = new
+        return out
+
+    ahead, behind = walk(0, range(len(words))), walk(1, range(len(words) - 1, -1, -1))
+    joint = [ahead[t] + behind[t] for t in range(len(words))]
+    score = [sum(math.tanh(sum(x * w["look"][i, a] for i, x in enumerate(j))) * w["weigh"][a] for a in range(net.shape.attention)) for j in joint]
+    grown = [math.exp(s - max(score)) for s in score]
+    pooled = [sum(g * j[i] for g, j in zip(grown, joint)) / sum(grown) for i in range(2 * h)]
+    return sigmoid(sum(p * o for p, o in zip(pooled, w["out"])) + w["offset"][0])
+
+
+def test_scores_equal_brute_force():
+    shape = Shape(window=6, stride=3, word_slots=16, char_slots=64, hidden=3, attention=4, word_size=3, char_size=2)
+    net = Network.fresh(shape, {"bad": 1, "word": 2, "so": 3}, seed=2)
+    for text in ("bad", "So bad a word!", "kill kill kill x", "one two three four five six seven eight nine ten so bad", "x" * 300 + " word"):
+        words = text.split()
+        wanted = max(plain_probability(net, words[a : a + 6]) for a in windows(len(words), shape))
+        assert Scorer(net).scores([text])[0] == pytest.approx(wanted, abs=1e-5)
+
+
+def test_training_windows_hold_whole_words():
+    from postflow.llm.toxicity import _cut
+    import pandas as pd
+
+    text = "a " * 40 + "y" * 500
+    (made,) = _cut(Shape(), 4)([pd.DataFrame({"number": [1], "text": [text], "label": [1]})])
+    assert " ".join(made["text"]) == text
 
 
 def test_training_takes_no_examples():
