@@ -10,15 +10,14 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 
 #: Unicode White_Space, as the tokenizers' pattern counts it (Python's \s has four characters more).
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Stretches that the byte-level pattern never crosses: letters before a punctuation mark, other words (with the
-#: space before them), white space up to there.
-_STRETCH = re.compile(f" ?[^\\W\\d_]++(?=[!-/:-@[-`{{-~])| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
 class ChunkMemory:
@@ -47,8 +46,8 @@ class ChunkMemory:
         held[at : at + len(values)] = values
         return held
 
-    def rows(self, chunks: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
-        """(number of rows of each chunk, the columns of all rows in order)."""
+    def rows(self, chunks: list[str], at: np.ndarray | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
+        """(number of rows of each chunk, the columns of all rows in order); of ``chunks[at]`` where ``at`` is given."""
         new = set(chunks).difference(self._place)
         if new:
             if len(self._place) > self._most_chunks or self._chars > self._most_chars:
@@ -62,10 +61,12 @@ class ChunkMemory:
             self._rows += int(count.sum())
             self._chars += sum(map(len, order))
         which = np.fromiter(map(self._place.__getitem__, chunks), np.int64, len(chunks))
+        if at is not None:
+            which = which[at]
         count = self._ends[which + 1] - self._ends[which]
         total = int(count.sum())
-        at = np.repeat(self._ends[which] - (np.cumsum(count) - count), count) + np.arange(total)
-        return count, [flat[at] for flat in self._flat]
+        places = np.repeat(self._ends[which] - (np.cumsum(count) - count), count) + np.arange(total)
+        return count, [flat[places] for flat in self._flat]
 
 
 def parts(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
@@ -94,6 +95,7 @@ class ByteBpe:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.n_bytes = np.array([len(n) for n in names], np.int64)  # one letter of the byte alphabet per byte
@@ -102,16 +104,17 @@ class ByteBpe:
         self.spans = ChunkMemory(self._spans, 3)
 
     def _ids(self, chunks: list[str]) -> tuple[list[str], np.ndarray, list[np.ndarray]]:
-        """The library's ids of each chunk. Words with a space before them are encoded a thousand at a time, as
+        """The library's ids of each chunk. Words with a space before them are encoded five hundred at a time, as
         one text; the space tells where the next begins."""
         order = [c for c in chunks if c[0] == " " and len(c) > 1 and not c.isspace()]
         others = [c for c in chunks if not (c[0] == " " and len(c) > 1 and not c.isspace())]
         ids, count = [], []
-        for a in range(0, len(order), 1000):
-            own = np.array(self.tokenizer.encode("".join(order[a : a + 1000]), add_special_tokens=False).ids, np.int32)
+        lines = ["".join(order[a : a + 500]) for a in range(0, len(order), 500)]
+        for found in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False):
+            own = np.array(found.ids, np.int32)
             ids.append(own)
             count.append(np.diff(np.append(np.flatnonzero(self.opens[own]), len(own))))
-        for found in self.tokenizer.encode_batch(others, add_special_tokens=False):
+        for found in self.tokenizer.encode_batch_fast(others, add_special_tokens=False):
             ids.append(np.array(found.ids, np.int32))
             count.append([len(found.ids)])
         return order + others, np.concatenate(count), [np.concatenate(ids)]
@@ -130,29 +133,130 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each text, all ids)."""
-        parts, chunks = _chunked(texts)
-        count, (ids,) = self.ids.rows(chunks)
-        return _summed(count, parts), ids
+        cut = stretches(texts)
+        count, (ids,) = self.ids.rows(cut.distinct, cut.which)
+        return _summed(count, cut.parts), ids
+
+    def encode_with_special(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same, but what spells a special token becomes that token, as the library does by itself."""
+        count, ids = self.encode(texts)
+        spelt = [i for i, t in enumerate(texts) if any(name in t for name in self.special)]
+        if spelt:
+            parts = np.split(ids, np.cumsum(count)[:-1])
+            self.tokenizer.encode_special_tokens = False
+            try:
+                for i in spelt:
+                    parts[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.int32)
+            finally:
+                self.tokenizer.encode_special_tokens = True
+            count, ids = np.array([len(x) for x in parts], np.int64), np.concatenate(parts)
+        return count, ids
 
     def encode_spans(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(number of ids of each text, all ids, their first characters, their ends), in characters of the text."""
-        parts, chunks = _chunked(texts)
-        count, (ids, start, end) = self.spans.rows(chunks)
-        width = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        before = np.cumsum(width) - width
-        first = np.cumsum(parts) - parts
-        shift = before - np.repeat(before[np.minimum(first, max(len(before) - 1, 0))], parts) if len(chunks) else before
+        cut = stretches(texts)
+        count, (ids, start, end) = self.spans.rows(cut.distinct, cut.which)
+        before = np.cumsum(cut.width) - cut.width
+        first = np.cumsum(cut.parts) - cut.parts
+        shift = before - np.repeat(before[np.minimum(first, max(len(before) - 1, 0))], cut.parts) if len(before) else before
         shift = np.repeat(shift, count)
-        return _summed(count, parts), ids, start + shift, end + shift
+        return _summed(count, cut.parts), ids, start + shift, end + shift
+
+
+@dataclass(frozen=True)
+class Stretches:
+    """Texts cut where the byte-level pattern never joins: ``distinct[which]`` are the stretches in order."""
+
+    parts: np.ndarray  # stretches of each text
+    which: np.ndarray
+    width: np.ndarray  # characters of each stretch
+    distinct: list[str]
+
+
+_IS_SPACE, _IS_LETTER, _IS_MARK = 1, 2, 4
+#: Multiplier of the stretches' hashes, and its inverse modulo 2**64.
+_STEP = 0x9E3779B97F4A7C15
+_BACK = pow(_STEP, -1, 1 << 64)
+
+
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """White space, letter and ASCII punctuation bits of every character."""
+    kinds = np.zeros(0x110000, np.uint8)
+    every = "".join(map(chr, range(0xD800))) + "\0" * 0x800 + "".join(map(chr, range(0xE000, 0x110000)))
+    for bit, pattern in ((_IS_SPACE, f"[{_SPACE}]+"), (_IS_LETTER, r"[^\W\d_]+"), (_IS_MARK, r"[!-/:-@\[-`{-~]+")):
+        for found in re.finditer(pattern, every):
+            kinds[found.start() : found.end()] |= bit
+    return kinds
+
+
+@lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    found = []
+    for step in (_STEP, _BACK):
+        power = np.full(size + 1, step, np.uint64)
+        power[0] = 1
+        found.append(np.cumprod(power, dtype=np.uint64))
+    return tuple(found)
+
+
+def _borders(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """First characters of all stretches of texts that start at ``starts``, all at once.
+
+    A run of characters other than white space takes the one space before it along; of the white space before it the last
+    character stands apart from the rest. Letters at the beginning of such a run stand apart from a mark behind them.
+    """
+    kinds = _kinds()[codes]
+    space = (kinds & _IS_SPACE) > 0
+    turns = np.empty(len(codes), bool)
+    turns[0] = True
+    np.not_equal(space[1:], space[:-1], out=turns[1:])
+    turns[starts] = True
+    opens = np.zeros(len(codes), bool)
+    opens[starts] = True
+    border = turns.copy()
+    words = np.flatnonzero(turns & ~space)
+    led = words[~opens[words]]
+    border[led - 1] = True
+    border[led[codes[led - 1] == 32]] = False
+    # letters from the beginning of a run up to a mark
+    mark = np.flatnonzero((kinds[1:] & _IS_MARK > 0) & (kinds[:-1] & _IS_LETTER > 0)) + 1
+    mark = mark[~turns[mark]]
+    if len(mark):
+        run = words[np.searchsorted(words, mark, "right") - 1]
+        others = np.cumsum((kinds & _IS_LETTER) == 0)
+        border[mark[(kinds[run] & _IS_LETTER > 0) & (others[mark - 1] == others[run])]] = True
+    return np.flatnonzero(border)
 
 
-def _chunked(texts: list[str]) -> tuple[np.ndarray, list[str]]:
-    parts, chunks = [], []
-    for text in texts:
-        own = _STRETCH.findall(text)
-        parts.append(len(own))
-        chunks.extend(own)
-    return np.array(parts, np.int64), chunks
+def stretches(texts: list[str]) -> Stretches:
+    """All stretches of some texts. Borders are found on the characters' kinds, equal stretches by a hash of their characters that
+    is checked character by character; only distinct stretches become strings."""
+    joined = "".join(texts)
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    if not joined:
+        none = np.zeros(0, np.int64)
+        return Stretches(np.zeros(len(texts), np.int64), none, none, [])
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+    ends = np.cumsum(lengths)
+    starts = _borders(codes, (ends - lengths)[lengths > 0])
+    width = np.diff(np.append(starts, len(codes)))
+    forth, back = _powers(1 << (len(codes)).bit_length())
+    with np.errstate(over="ignore"):
+        summed = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes + np.uint64(1)) * forth[: len(codes)])])
+        mixed = (summed[starts + width] - summed[starts]) * back[starts]
+    which, values = pd.factorize(mixed)
+    first = np.empty(len(values), np.int64)
+    first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+    alike = codes[np.repeat(starts[first][which] - starts, width) + np.arange(len(codes))]
+    if (width[first][which] == width).all() and (alike == codes).all():
+        distinct = [joined[a:b] for a, b in zip(starts[first].tolist(), (starts + width)[first].tolist())]
+    else:  # two stretches share a hash
+        number: dict[str, int] = {}
+        which = np.array([number.setdefault(joined[a:b], len(number)) for a, b in zip(starts.tolist(), (starts + width).tolist())])
+        distinct = list(number)
+    parts = np.searchsorted(starts, ends) - np.searchsorted(starts, ends - lengths)
+    return Stretches(parts, which, width, distinct)
 
 
 def _summed(count: np.ndarray, parts: np.ndarray) -> np.ndarray:

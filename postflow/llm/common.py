@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postflow.session import run_folder
+from postflow.session import scratch_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +22,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     between the jobs that read them.
     """
     spark = df.sparkSession
-    folder = run_folder(spark, label)
+    folder = scratch_folder(spark, label)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 

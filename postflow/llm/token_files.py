@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from postflow.llm.chunks import byte_bpe, pieces
-from postflow.session import run_folder
+from postflow.session import scratch_folder
 
 # fixed values of the format: (values, bits of each) by selector. The selector is in the top four bits of a word, the
 # first value in the lowest bits. Selector 0 escapes: the word holds a place in the block's list of wide values.
@@ -107,7 +107,7 @@ def _blocks(path: str, end_id: int, block_chars: int):
             doc_ids, texts = batch.column(0), batch.column(1).to_pylist()
             texts = [t or "" for t in texts]
             for a, b in pieces(texts, block_chars):
-                count, ids = encoder.encode(texts[a:b])
+                count, ids = encoder.encode_with_special(texts[a:b])
                 ends = np.cumsum(count + 1)
                 full = np.full(int(ends[-1]), end_id, np.int64)
                 mask = np.ones(len(full), bool)
@@ -181,6 +181,6 @@ def read_token_files(spark: SparkSession, folder: str, *, with_ids: bool = False
 
 def token_file_round_trip(docs: DataFrame, vocabulary: str, folder: str | None = None, **options) -> DataFrame:
     """Write the ids of all documents and read the files back (see ``write_token_files``, ``read_token_files``)."""
-    folder = folder or run_folder(docs.sparkSession, "token-files")
+    folder = folder or scratch_folder(docs.sparkSession, "token-files")
     write_token_files(docs, folder, vocabulary, **options)
     return read_token_files(docs.sparkSession, folder)

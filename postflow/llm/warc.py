@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from postflow.llm.common import stage
-from postflow.session import run_folder
+from postflow.session import scratch_folder
 
 # fixed values of the format
 MAGIC = "WARC/1.0\r\n"
@@ -284,6 +284,6 @@ def with_responses(records: DataFrame) -> DataFrame:
 
 def archive_round_trip(pages: DataFrame, folder: str | None = None, **options) -> DataFrame:
     """Write ``pages`` as WARC and read the archives back; one row per page (see ``write_warc``, ``read_warc``)."""
-    folder = folder or run_folder(pages.sparkSession, "warc")
+    folder = folder or scratch_folder(pages.sparkSession, "warc")
     write_warc(pages, folder, **options)
     return with_responses(read_warc(pages.sparkSession, folder))

@@ -169,3 +169,32 @@ def test_fields_share_one_encoding(spark):
 def test_ties_go_to_the_first_section():
     owner, crossing = attribute(np.array([0, 2, 4]), np.array([2, 6, 9]), np.array([4, 5, 9]))
     assert owner.tolist() == [0, 0, 2] and crossing.tolist() == [False, True, True]
+
+
+def test_spelt_special_tokens_are_what_the_library_makes_of_them(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["text <|endoftext|> more", "<|endoftext|>", "plain", "<|endoftext", "a<|endoftext|><|endoftext|>b"]
+    found = {r["id"]: r["n_tokens"] for r in token_file_round_trip(frame(spark, list(enumerate(texts))), path).collect()}
+    library = Tokenizer.from_file(path)
+    assert found == {i: len(library.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+
+
+def test_stretches_are_those_of_the_pattern():
+    """Borders found on all characters at once are those a pattern finds text by text."""
+    import random
+    import re
+
+    from postflow.llm import chunks
+
+    space = chunks._SPACE
+    pattern = re.compile(f" ?[^\\W\\d_]++(?=[!-/:-@[-`{{-~])| ?[^{space}]+|[{space}]+(?![^{space}])|[{space}]+")
+    rng = random.Random(1)
+    letters = ["a", "b", "É", "²", "1", "_", " ", " ", "\n", "\t", ".", ",", "'", "\u3000", "\xa0", "😀", "\u200b", "-", "\x1c"]
+    for _ in range(200):
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(rng.randint(0, 12))]
+        cut = chunks.stretches(texts)
+        flat, ends = [cut.distinct[k] for k in cut.which], np.cumsum(cut.parts)
+        assert [flat[e - n : e] for e, n in zip(ends, cut.parts)] == [pattern.findall(t) for t in texts]
+        assert cut.width.tolist() == [len(x) for x in flat] and len(set(cut.distinct)) == len(cut.distinct)
