@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postflow.operators.row_keys import row_digest
+
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
     """One row per key: the first under ``order``; a hash of the whole row settles what is still equal.
@@ -35,7 +37,7 @@ def collapse_orgs(df: DataFrame, keys: Sequence[str] = ("post_id", "content")) -
     """
     rest = [c for c in df.columns if c != "org_id"]
     order = F.struct("crawl_time", F.xxhash64(*[F.col(c) for c in rest if c not in keys]))
-    digest = F.sha2(F.to_json(F.struct(*keys)), 256)
+    digest = row_digest(df.select(*keys).schema)
     return (
         df.groupBy(digest.alias("_key"))
         .agg(F.sort_array(F.collect_set("org_id")).alias("org_ids"), F.max_by(F.struct(*rest), order).alias("_rest"))

@@ -26,7 +26,7 @@ pair appear exactly once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -35,7 +35,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postflow.operators import term_store
-from postflow.session import Staged, stage
+from postflow.operators.row_keys import row_digest
+from postflow.session import Staged, outside_scopes, stage
 
 BLOCK = 6
 #: Terms shorter than this need not hold a whole block at every alignment.
@@ -64,6 +65,39 @@ class MatchLimits:
 DEFAULT_LIMITS = MatchLimits()
 
 
+class DictionaryCache:
+    """Dictionaries as they were prepared for one version, for work that repeats, such as a stream's batches.
+
+    Preparing means cleaning, measuring, and fetching it or writing its store. ``begin`` names the version of the moment; while it
+    does not change, nothing is prepared again, and when it does, what was staged for the old one is deleted.
+    """
+
+    def __init__(self):
+        self.version, self.prepared = None, 0
+        self._held: dict[tuple, tuple] = {}
+
+    def begin(self, version) -> None:
+        if version != self.version:
+            for _, _, held in self._held.values():
+                if held is not None:
+                    held.delete()
+            self._held.clear()
+            self.version = version
+
+    def get(self, key: tuple, prepare: Callable[[], tuple]) -> tuple:
+        if key not in self._held:
+            self.prepared += 1
+            with outside_scopes():
+                self._held[key] = prepare()
+        return self._held[key]
+
+
+def dictionary_version(orgs: DataFrame) -> tuple:
+    """Equal for equal dictionaries, whatever the order of their rows; one small job."""
+    digest = F.xxhash64(row_digest(orgs.schema))
+    return tuple(orgs.agg(F.count(F.lit(1)), F.sum(digest.cast("decimal(38,0)")), F.bit_xor(F.xxhash64(digest))).first())
+
+
 def with_lower(posts: DataFrame, content: str) -> DataFrame:
     """Add the lower-cased text, unless the posts already carry it.
 
@@ -87,13 +121,15 @@ def _any_term(terms: list[str]) -> Column:
     return tests[0]
 
 
-def _dictionary(terms: DataFrame, limits: MatchLimits) -> tuple[str, list, Staged | None]:
+def _dictionary(terms: DataFrame, limits: MatchLimits, cache: DictionaryCache | None = None) -> tuple[str, list, Staged | None]:
     """Which way to take; the dictionary's rows, or for the ways beyond one automaton its snapshot.
 
     ``terms`` holds the lower-cased term in column ``_needle``. What is measured, fetched and joined is one
     snapshot, so a dictionary that changes meanwhile is neither cut nor mixed: two jobs, the write that measures
-    it and, below the limits, the fetch.
+    it and, below the limits, the fetch. With a ``cache`` it is the snapshot of the version begun there.
     """
+    if cache is not None:
+        return cache.get((tuple(terms.columns), limits), lambda: _dictionary(terms, limits))
     clean = terms.filter(F.col(_NEEDLE).isNotNull() & (F.trim(_NEEDLE) != ""))
     held = Staged.of(clean, sized=terms.columns)
     if held.n_bytes > limits.automaton_bytes or held.n_rows > max(limits.literal_terms, limits.automaton_terms):
@@ -201,7 +237,7 @@ def text_key(content: str) -> Column:
     return F.sha2(F.col(content), 256)
 
 
-def _key_matches(posts: DataFrame, entries: Staged, content: str, limits: MatchLimits) -> DataFrame:
+def _key_matches(posts: DataFrame, entries: Staged, content: str, limits: MatchLimits, cache: DictionaryCache | None = None) -> DataFrame:
     """Beyond one automaton: (text key, columns of the dictionary entry) of every distinct text, each pair once.
 
     ``entries`` is a cleaned snapshot with ``_needle``; its distinct rows count.
@@ -211,7 +247,12 @@ def _key_matches(posts: DataFrame, entries: Staged, content: str, limits: MatchL
     present = posts.filter(F.col(content).isNotNull())
     if term_store.shards_needed(entries.n_rows, entries.n_bytes, limits.shard_terms, limits.shard_bytes) <= limits.store_shards:
         texts = present.select(text_key(content).alias(_KEY), F.lower(content).alias(_LOWER))
-        store = term_store.TermStore.of(rows, entries.n_rows, entries.n_bytes, limits.shard_terms, limits.shard_bytes)
+
+        def write() -> tuple:
+            store = term_store.TermStore.of(rows, entries.n_rows, entries.n_bytes, limits.shard_terms, limits.shard_bytes)
+            return "store", store, store.entries
+
+        _, store, _ = write() if cache is None else cache.get(("store", tuple(columns), limits), write)
         return store.hits(texts, columns)
     return _joined_matches(present, rows, content, columns)
 
@@ -269,6 +310,7 @@ def match_terms(
     content: str = "content",
     how: str = "inner",
     limits: MatchLimits = DEFAULT_LIMITS,
+    cache: DictionaryCache | None = None,
 ) -> DataFrame:
     """Posts with the columns of every dictionary entry found in them, one row per (post, entry).
 
@@ -283,7 +325,7 @@ def match_terms(
         raise ValueError(f"posts and terms share the columns {sorted(shared)}")
     spark = posts.sparkSession
     entries = terms.withColumn(_NEEDLE, F.lower(term))
-    way, rows, snapshot = _dictionary(entries, limits)
+    way, rows, snapshot = _dictionary(entries, limits, cache)
     base = with_lower(posts, content)
     if way == "literal":
         kind = f"struct<{','.join(f'`{f.name}`:{f.dataType.simpleString()}' for f in terms.schema)}>"
@@ -314,7 +356,7 @@ def match_terms(
         return out.join(F.broadcast(listed), "_label", how).select(*posts.columns, *terms.columns)
     # repeated entries are counted before the keys are made distinct, and spread out again afterwards
     counted = snapshot.table.groupBy(*snapshot.table.columns).agg(F.count(F.lit(1)).cast("int").alias("_times"))
-    hits = _key_matches(posts, snapshot.of_same_size(counted), content, limits)
+    hits = _key_matches(posts, snapshot.of_same_size(counted), content, limits, cache)
     copies = F.array_repeat(F.lit(0), F.coalesce("_times", F.lit(1)))
     keyed = _with_hits(posts, hits, content, how)
     return keyed.select("*", F.explode(copies).alias("_copy")).select(*posts.columns, *terms.columns)
@@ -396,13 +438,14 @@ def is_spam(
     term: str = "term",
     content: str = "content",
     limits: MatchLimits = DEFAULT_LIMITS,
+    cache: DictionaryCache | None = None,
 ) -> DataFrame:
     """Add ``has_spamwords``: NULL for a missing or empty text, else whether a spam term occurs."""
     needles = spam.select(F.lower(term).alias(_NEEDLE)).distinct()
-    way, rows, snapshot = _dictionary(needles, limits)
+    way, rows, snapshot = _dictionary(needles, limits, cache)
     present = F.col(content).isNotNull() & (F.col(content) != "")
     if way == "any":
-        hits = _key_matches(posts, snapshot, content, limits).select(_KEY, F.lit(True).alias("_spam")).distinct()
+        hits = _key_matches(posts, snapshot, content, limits, cache).select(_KEY, F.lit(True).alias("_spam")).distinct()
         keyed = _with_hits(posts, hits, content, "left")
         return keyed.select(*posts.columns, F.when(present, F.coalesce("_spam", F.lit(False))).alias("has_spamwords"))
     if way == "automaton":
@@ -419,7 +462,8 @@ def drop_spam(
     term: str = "term",
     content: str = "content",
     limits: MatchLimits = DEFAULT_LIMITS,
+    cache: DictionaryCache | None = None,
 ) -> DataFrame:
     """Posts with a non-empty text in which no spam term occurs; an empty list drops nothing else."""
-    flagged = is_spam(has_text(posts, content), spam, term=term, content=content, limits=limits)
+    flagged = is_spam(has_text(posts, content), spam, term=term, content=content, limits=limits, cache=cache)
     return flagged.filter(~F.col("has_spamwords")).drop("has_spamwords")

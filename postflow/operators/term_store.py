@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postflow.session import Staged, scratch_folder, stage
+from postflow.session import Staged, scratch_folder
 
 NEEDLE = "_needle"
 KEY = "_text_key"
@@ -30,7 +30,7 @@ _REMEMBERED = 100_000
 class TermStore:
     """``entries`` holds the needle, any payload, and the shard; written in files by shard."""
 
-    entries: DataFrame
+    entries: Staged
     n_shards: int
 
     @classmethod
@@ -41,15 +41,15 @@ class TermStore:
         """
         n_shards = shards_needed(n_rows, n_bytes, shard_terms, shard_bytes)
         cut = entries.withColumn(_SHARD, F.pmod(F.xxhash64(NEEDLE), F.lit(n_shards)).cast("int"))
-        return cls(stage(cut.repartition(min(n_shards, 200), _SHARD).sortWithinPartitions(_SHARD)), n_shards)
+        return cls(Staged.of(cut.repartition(min(n_shards, 200), _SHARD).sortWithinPartitions(_SHARD)), n_shards)
 
     def hits(self, texts: DataFrame, columns: list[str]) -> DataFrame:
         """Distinct (key, ``columns`` of an entry) of all texts, given as (key, lower-cased text)."""
         spark = texts.sparkSession
         folder = scratch_folder(spark, "term-hits")
-        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.entries.select(*columns).schema)
+        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.entries.table.select(*columns).schema)
         for number in range(self.n_shards):
-            shard = self.entries.filter(F.col(_SHARD) == number).drop(_SHARD)
+            shard = self.entries.table.filter(F.col(_SHARD) == number).drop(_SHARD)
             needles = [r[NEEDLE] for r in shard.select(NEEDLE).distinct().collect()]
             if not needles:
                 continue

@@ -11,6 +11,7 @@ from postflow.functions.phrases import org_keywords, spam_terms
 from postflow.operators.dedupe import latest_crawl
 from postflow.operators.matching import (
     DEFAULT_LIMITS,
+    DictionaryCache,
     MatchLimits,
     drop_spam,
     has_text,
@@ -72,10 +73,12 @@ def classify_all(
     how: str = "left",
     encoded_spam: bool = False,
     limits: MatchLimits = DEFAULT_LIMITS,
+    cache: DictionaryCache | None = None,
 ) -> DataFrame:
     """One row per (post, matching dictionary entry) with its ``org_id``; unmatched posts stay with NULL.
 
     Nothing is reduced: two keywords of one organisation give two rows. ``how="inner"`` drops the unmatched.
+    With a ``cache`` the dictionary is the one of the version begun there.
     """
-    clean = drop_spam(with_lower(posts, "content"), spam_terms(orgs, encoded_spam), limits=limits)
-    return match_terms(clean, org_keywords(orgs), how=how, limits=limits).select(*posts.columns, "org_id")
+    clean = drop_spam(with_lower(posts, "content"), spam_terms(orgs, encoded_spam), limits=limits, cache=cache)
+    return match_terms(clean, org_keywords(orgs), how=how, limits=limits, cache=cache).select(*posts.columns, "org_id")

@@ -120,14 +120,30 @@ def staging_scope() -> Iterator[None]:
             delete_folder(spark, folder)
 
 
+@contextmanager
+def outside_scopes() -> Iterator[None]:
+    """What is staged inside outlives the scope this stands in; whoever makes it deletes it, or the process does."""
+    outer, _scopes.folders = getattr(_scopes, "folders", None), None
+    try:
+        yield
+    finally:
+        _scopes.folders = outer
+
+
+_roots: dict[str, str] = {}
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder that is deleted with the scope it is made in, or with the process."""
-    folder = run_folder(spark, label)
+    """A new path below the shared folder that is deleted with the scope it is made in, or else when the driver process ends."""
+    shared = shared_folder(spark)
+    if shared not in _roots:
+        _roots[shared] = f"{shared}/scratch-{uuid.uuid4().hex}"
+        files, path = _path(spark, _roots[shared])
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    folder = f"{_roots[shared]}/{label}-{uuid.uuid4().hex}"
     if getattr(_scopes, "folders", None) is not None:
         _scopes.folders.append((spark, folder))
-    else:
-        files, path = _path(spark, folder)
-        files.deleteOnExit(path)
     return folder
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postflow.functions.variations import split_variations, variation_names, variation_values
 from postflow.operators.incremental import append_missing
-from postflow.operators.matching import DEFAULT_LIMITS, MatchLimits
+from postflow.operators.matching import DEFAULT_LIMITS, DictionaryCache, MatchLimits, dictionary_version
 from postflow.operators.sales import KEYS, all_set, delta, window_last
 from postflow.plans.classify import classify_all
 from postflow.plans.property_sales import sales_columns
@@ -45,16 +45,21 @@ def classify_each_batch(
     encoded_spam: bool = False,
     limits: MatchLimits = DEFAULT_LIMITS,
     ledger: EpochLedger | None = None,
+    cache: DictionaryCache | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` writer that classifies every micro-batch against the dictionary of the moment.
 
     With ``keys`` only rows absent from the sink are appended, so a replayed batch adds nothing; with a ``ledger`` a
-    batch that was committed is not even classified again. What a batch stages is deleted with it.
+    batch that was committed is not even classified again. What a batch stages is deleted with it. The dictionary is prepared when
+    its content has changed since the batch before; otherwise a batch costs one digest of it.
     """
+    cache = DictionaryCache() if cache is None else cache
 
     def run(batch: DataFrame, epoch_id: int) -> int | None:
         with staging_scope():
-            rows = classify_all(batch, read_orgs(), how="inner", encoded_spam=encoded_spam, limits=limits)
+            orgs = read_orgs()
+            cache.begin(dictionary_version(orgs))
+            rows = classify_all(batch, orgs, how="inner", encoded_spam=encoded_spam, limits=limits, cache=cache)
             if keys:
                 return append_missing(rows, sink, keys, count_target=False).n_missing
             write(rows, sink)

@@ -103,6 +103,12 @@ def test_collapse_orgs(spark):
     assert got == {"p": ([1, 3], 2, "b"), "q": ([], 5, "d")}
 
 
+def test_posts_that_differ_by_a_microsecond_stay_apart(spark):
+    rows = [("2024-01-01 00:00:00.123456", 0.0, 1, 1), ("2024-01-01 00:00:00.123999", 0.0, 2, 1), ("2024-01-01 00:00:00.123999", -0.0, 3, 1), (None, None, 4, 1)]
+    df = spark.createDataFrame(rows, "at string, v double, org_id int, crawl_time long").withColumn("at", F.to_timestamp("at"))
+    assert sorted(r.org_ids for r in dedupe.collapse_orgs(df, ("at", "v")).collect()) == [[1], [2, 3], [4]]
+
+
 def test_newest_is_a_total_order(spark):
     df = spark.createDataFrame([(1, 5), (2, 7), (3, 7), (4, 1)], "k int, t int")
     assert [r.k for r in dedupe.newest(df, "t", 3, ["k"]).collect()] == [2, 3, 1]

@@ -226,4 +226,4 @@ def test_a_text_that_many_posts_share_stays_in_place(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     hot = [r["count"] for r in found if r["n"] == len(texts[0])]
-    assert sum(hot) == 3000 * 4 and len(hot) == 8 and max(hot) <= 2 * sorted(hot)[4]
+    assert sum(hot) == 3000 * 5 and len(hot) == 8 and max(hot) <= 2 * sorted(hot)[4]

@@ -5,6 +5,7 @@ import os
 import pytest
 from conftest import values
 from postflow.schemas import PROPERTY_EVENT, table
+from postflow.session import scratch_folder
 from postflow.sources import specs
 from postflow.sources.readers import read_stream
 from postflow.sources.writers import write_stream
@@ -20,6 +21,12 @@ def drain(stream, tmp_path, name, each=None):
     return spec.path, query
 
 
+def staged(spark):
+    """Folders that are staged at the moment."""
+    root = os.path.dirname(scratch_folder(spark, "none").removeprefix("file:"))
+    return set(os.listdir(root))
+
+
 def events_in(spark, tmp_path, parts):
     """A stream that delivers one part after the other, in batches of their own."""
     for rows in parts:
@@ -106,14 +113,37 @@ def test_a_failed_batch_is_not_committed(spark, tmp_path):
 
 
 def test_batches_leave_nothing_staged(spark, tmp_path):
-    from postflow.session import shared_folder
-
     spark.range(4).coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = read_stream(spark, specs.files("parquet", str(tmp_path / "in"), table("id BIGINT")))
-    folder = shared_folder(spark).removeprefix("file:")
-    before = set(os.listdir(folder))
+    before = staged(spark)
     sink = specs.SinkSpec("parquet", path=str(tmp_path / "t"))
     drain(stream, tmp_path, "a", jobs.append_missing_each_batch(sink, ["id"], key_rows=1))
     drain(stream, tmp_path, "b", jobs.append_missing_each_batch(sink, ["id"], key_rows=1))
-    assert set(os.listdir(folder)) == before and spark.read.parquet(sink.path).count() == 4
-
+    assert staged(spark) == before and spark.read.parquet(sink.path).count() == 4
+
+
+
+@pytest.mark.parametrize("way", ["automaton", "store"])
+def test_an_unchanged_dictionary_is_prepared_once(spark, tmp_path, way):
+    from postflow.operators.matching import DictionaryCache, MatchLimits
+    from postflow.schemas import ORG_DICT
+
+    limits = MatchLimits(literal_terms=0) if way == "automaton" else MatchLimits(literal_terms=0, automaton_terms=0)
+    state = {"words": ["alpha"]}
+
+    def read_orgs():
+        return spark.createDataFrame([{"code": "A", "org_id": 1, "keywords": state["words"], "spamwords": ["junk"]}], ORG_DICT)
+
+    cache = DictionaryCache()
+    sink = specs.SinkSpec("parquet", path=str(tmp_path / "out"))
+    run = jobs.classify_each_batch(read_orgs, sink, limits=limits, cache=cache)
+    sizes, prepared = [], []
+    for epoch, text in enumerate(["alpha one", "alpha two", "beta junk", "beta alpha"]):
+        if epoch == 3:
+            state["words"] = ["beta"]
+        run(spark.createDataFrame([(str(epoch), text)], "post_id string, content string"), epoch)
+        sizes.append(len(staged(spark)))
+        prepared.append(cache.prepared)
+    assert sorted((r["post_id"], r["org_id"]) for r in spark.read.parquet(sink.path).collect()) == [("0", 1), ("1", 1), ("3", 1)]
+    assert prepared[0] == prepared[1] == prepared[2] and prepared[3] == 2 * prepared[0]
+    assert sizes[1] == sizes[2] == sizes[3]
