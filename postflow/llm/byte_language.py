@@ -212,11 +212,10 @@ def fit(
     rows = rows.withColumn("mark", F.xxhash64("id", "text"))
     marks = rows.select("language", "mark").distinct()
     common = marks.groupBy("language").count().orderBy(F.desc("count"), "language").limit(most_languages)
-    # of a language that most texts have, no task ranks more than its part, or the few that are left of every part
-    part, chosen = F.pmod("mark", F.lit(64)), marks.join(F.broadcast(common.select("language")), "language")
-    for dealt in (["language", part], ["language"]):
-        rank = F.row_number().over(Window.partitionBy(*dealt).orderBy("mark"))
-        chosen = chosen.withColumn("rank", rank).where(F.col("rank") <= per_language)
+    # hashes are spread evenly, so what lies in the lowest part of their range is some eight times what is taken
+    low = F.col("mark").cast("double") / 2**64 + 0.5 <= 8 * per_language / F.col("count")
+    rank = F.row_number().over(Window.partitionBy("language").orderBy("mark"))
+    chosen = marks.join(F.broadcast(common), "language").where(low).withColumn("rank", rank).where(F.col("rank") <= per_language)
     picked = rows.join(F.broadcast(chosen.select("language", "mark")), ["language", "mark"]).select("mark", "language", "text")
     cut = picked.mapInPandas(_cut(window, most_windows), "mark long, language string, windows binary, n_bytes long")
     examples = []
