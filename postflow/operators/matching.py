@@ -395,6 +395,43 @@ def match_orgs(
     return out.select(*posts.columns, F.col("_label").alias("org_id"))
 
 
+def org_sets(
+    posts: DataFrame,
+    keywords: DataFrame,
+    *,
+    content: str = "content",
+    limits: MatchLimits = DEFAULT_LIMITS,
+    cache: DictionaryCache | None = None,
+) -> DataFrame:
+    """Add ``org_ids``: the sorted organisations one of whose keywords occurs, an empty array where none does.
+
+    Posts keep their rows: a text is not repeated for each keyword or organisation.
+    """
+    entries = (
+        keywords.filter(F.col("org_id").isNotNull())
+        .select(F.col("org_id").cast("int").alias("org_id"), F.lower("keyword").alias(_NEEDLE))
+        .distinct()
+    )
+    way, rows, snapshot = _dictionary(entries, limits, cache)
+    none = F.array().cast("array<int>")
+    if way == "any":
+        hits = _key_matches(posts, snapshot, content, limits, cache).groupBy(_KEY).agg(F.array_sort(F.collect_set("org_id")).alias("org_ids"))
+        return _with_hits(posts, hits, content, "left").select(*posts.columns, F.coalesce("org_ids", none).alias("org_ids"))
+    by_org: dict[int, list[str]] = {}
+    for r in sorted(rows):
+        by_org.setdefault(r["org_id"], []).append(r[_NEEDLE])
+    if way == "automaton":
+        labels: dict[str, list[int]] = {}
+        for org, needles in by_org.items():
+            for needle in needles:
+                labels.setdefault(needle, []).append(org)
+        found = _labels_found(posts.sparkSession, labels)(_LOWER)
+    else:
+        tests = [F.when(_any_term(needles), F.lit(org)) for org, needles in sorted(by_org.items())]
+        found = F.array_compact(F.array(*tests)) if tests else none
+    return with_lower(posts, content).select(*posts.columns, F.coalesce(found, none).alias("org_ids"))
+
+
 def matched_keywords(
     posts: DataFrame,
     keywords: DataFrame,

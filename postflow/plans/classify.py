@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postflow.functions.calendar import AsOf, in_publish_window, stored_stamp
 from postflow.functions.ids import post_id
 from postflow.functions.phrases import org_keywords, spam_terms
-from postflow.operators.dedupe import latest_crawl
+from postflow.operators.dedupe import keep_latest, latest_crawl
 from postflow.operators.matching import (
     DEFAULT_LIMITS,
     DictionaryCache,
@@ -17,9 +19,11 @@ from postflow.operators.matching import (
     has_text,
     match_orgs,
     match_terms,
+    org_sets,
     with_lower,
     without_lower,
 )
+from postflow.operators.row_keys import row_digest
 from postflow.schemas import POST_STORED, conform
 
 
@@ -82,3 +86,24 @@ def classify_all(
     """
     clean = drop_spam(with_lower(posts, "content"), spam_terms(orgs, encoded_spam), limits=limits, cache=cache)
     return match_terms(clean, org_keywords(orgs), how=how, limits=limits, cache=cache).select(*posts.columns, "org_id")
+
+
+def classify_collapsed(
+    posts: DataFrame,
+    orgs: DataFrame,
+    keys: Sequence[str] = ("post_id", "content"),
+    *,
+    encoded_spam: bool = False,
+    limits: MatchLimits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """One row per ``keys``, of the latest crawl, with the sorted set of its organisations; unmatched posts stay, with none.
+
+    ``keys`` must hold ``content``, so that rows with equal keys have equal organisations. These are found before anything is
+    shuffled, as one array per post: no aggregation holds a text, and it is shuffled once and not for every keyword.
+    """
+    if "content" not in keys:
+        raise ValueError("keys must hold content")
+    clean = drop_spam(with_lower(posts, "content"), spam_terms(orgs, encoded_spam), limits=limits)
+    sets = without_lower(org_sets(clean, org_keywords(orgs), limits=limits))
+    keyed = sets.withColumn("_key", row_digest(sets.select(*keys).schema))
+    return keep_latest(keyed, ["_key"], [F.col("crawl_time").desc_nulls_last()]).drop("_key")

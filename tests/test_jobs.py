@@ -3,7 +3,7 @@ import json
 
 import pytest
 from conftest import values
-from postflow.operators import sales
+from postflow.operators import dedupe, sales
 from postflow.plans import classify, daily, publish
 from postflow.schemas import (
     ORG_DICT, POST_PUBLISH, POST_RAW, POST_RAW_CLASSIFIED, POST_STORED, POST_STREAM, PROPERTY_EVENT, PROPERTY_OUT, table,
@@ -84,6 +84,19 @@ def test_classify_all_keeps_unmatched_and_repeats(posts, orgs):
     assert not any(u == "u2" for u, _ in counts) and ("u3", None) not in counts
 
 
+def test_collapsed_posts_shuffle_each_text_once(spark, posts, orgs):
+    plain = orgs.withColumn("spamwords", F.array(F.lit("casino")))
+    given = posts.withColumn("post_id", F.col("url"))
+    got = classify.classify_collapsed(given, plain)
+    old = dedupe.collapse_orgs(classify.classify_all(given, plain).select("post_id", "content", "crawl_time", "org_id"))
+    columns = ["post_id", "content", "crawl_time", "org_ids"]
+    assert values(got.select(*columns)) == values(old.select(*columns))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Exchange hashpartitioning") == 1
+    with pytest.raises(ValueError, match="content"):
+        classify.classify_collapsed(given, plain, ("post_id",))
+
+
 def test_publish(spark, orgs):
     stamp = dt.datetime(2024, 3, 10, 7, 0)
     stored = frame(spark, POST_STORED, [

@@ -75,6 +75,12 @@ def test_keyword_array(spark, limits):
         assert got[i] == want
 
 
+def test_org_sets_leave_the_rows_alone(spark, limits):
+    got = {r.id: r.org_ids for r in m.org_sets(posts(spark), dictionary(spark), limits=limits).collect()}
+    assert got == {i: sorted({o for j, o, _ in expected(TEXTS, TERMS) if j == i}) for i in range(len(TEXTS))}
+    assert m.org_sets(posts(spark, ["a"]), dictionary(spark, []), limits=limits).first()["org_ids"] == []
+
+
 def test_spam_flag_and_filter(spark, limits):
     spam = spark.createDataFrame([("LICENSE",), ("😀b",), ("x",)], "term string")
     flags = {r.id: r.has_spamwords for r in m.is_spam(posts(spark), spam, limits=limits).collect()}

@@ -190,6 +190,16 @@ def classify_collapse_orgs(spark, d):
     )
 
 
+@query(ORACLES["classify_collapse_orgs"])
+def classify_collapsed_sets(spark, d):
+    """The same with organisations found as one array per post."""
+    posts = _posts(spark, d).withColumn("post_id", F.col("url"))
+    one = classify.classify_collapsed(posts, plain_orgs(spark))
+    return one.select(
+        "post_id", F.md5("content").alias("content_md5"), F.array_join("org_ids", ",").alias("org_ids"), "crawl_time", "id"
+    )
+
+
 @query(f"""WITH {POSTS_SQL}, classified AS (SELECT *, org_of_lang AS org_id FROM posts WHERE {_IN_WINDOW})
     {_stored_sql('classified')}""")
 def normalise_classified(spark, d):
@@ -519,6 +529,18 @@ def append_missing_many_keys(spark, d):
     return spark.read.parquet(sink.path)
 
 
+@query("SELECT s_suppkey, s_name FROM supplier")
+def append_missing_preview(spark, d):
+    """A load that is announced with its first rows, into a table whose presence and first key are checked before and after."""
+    sink = SinkSpec("parquet", path=run_folder(spark, "suppliers-preview"))
+    suppliers = table(spark, d, "supplier").select("s_suppkey", "s_name")
+    suppliers.createOrReplaceTempView("known_suppliers")
+    quality.require_table(spark, "known_suppliers", F.col("s_suppkey") == suppliers.agg(F.min("s_suppkey")).first()[0])
+    for part in (suppliers.filter("s_suppkey % 2 = 0"), suppliers):
+        incremental.append_missing(part, sink, ["s_suppkey"], preview=3)
+    return spark.read.parquet(sink.path)
+
+
 @query("SELECT o_totalprice, o_orderkey, o_orderstatus FROM orders")
 def append_missing_key_not_first(spark, d):
     """A target whose format goes by position, and a key that is not the first column."""
