@@ -121,6 +121,55 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(found.id.alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
 
 
+_CRC_SQL = """xor(list_reduce(list_transform(range(1, length(key) + 1), lambda i: ascii(substr(key, i, 1))::BIGINT),
+    lambda c, b: list_reduce([xor(c, b)::BIGINT] || list_transform(range(8), lambda k: 0::BIGINT),
+                             lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END), 4294967295::BIGINT), 4294967295)"""
+
+# The grammar as a table of states: 0 nothing, 1 system, 2 user, 3 pairs. ``ins``: states reached by inserted rows; ``act``: by a role.
+ORACLES["op11_conversation_repair"] = rf"""
+WITH RECURSIVE src AS (
+    SELECT dense_rank() OVER (ORDER BY conv_id) AS gid, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' ')) AS key FROM conversations),
+dealt AS (SELECT *, {_CRC_SQL} % 20 AS d FROM src),
+damaged AS (
+    SELECT gid, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+           CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE WHEN d = 3 THEN 2 ELSE 1 END)) AS copy FROM dealt WHERE d <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY gid ORDER BY turn NULLS FIRST, role, text, copy) AS rn, substr(role, 1, 1) AS ini FROM damaged),
+rows_ AS MATERIALIZED (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b'
+                   WHEN row_number() OVER (PARTITION BY gid, role, text ORDER BY rn) > 1 THEN 'd'
+                   WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 't' ELSE '' END AS fault,
+           coalesce(rn > 1 AND lag(ini) OVER (PARTITION BY gid ORDER BY rn) || ini NOT IN ('su', 'ua', 'au'), false) AS illegal FROM placed),
+found AS (
+    SELECT gid, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+           count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (illegal) AS illegal FROM rows_ GROUP BY gid),
+ins(e, f, marks) AS (VALUES (0, 0, ''), (0, 2, 'I'), (0, 3, 'II'), (1, 1, ''), (1, 2, 'I'), (1, 3, 'II'), (2, 2, ''), (2, 3, 'I'), (3, 3, ''), (3, 2, 'I')),
+act(f, sym, t) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+step AS (
+    SELECT r.gid, r.rn, f, f AS t, 2 AS cost, 'D' AS edit FROM rows_ r, range(4) s(f) UNION ALL
+    SELECT r.gid, r.rn, f, t, CASE fault WHEN 't' THEN 5 ELSE 0 END, 'K' FROM rows_ r JOIN act ON ini = sym WHERE fault IN ('', 't') UNION ALL
+    SELECT r.gid, r.rn, f, t, 1 + CASE fault WHEN 't' THEN 5 ELSE 0 END, 'R' FROM rows_ r, act WHERE sym IN ('u', 'a') AND fault IN ('', 't')),
+tops(gid, rn, e, best) AS (
+    SELECT gid, 0::BIGINT, 0, {{'cost': 0::BIGINT, 'audit': ''}} FROM found UNION ALL
+    SELECT p.gid, p.rn + 1, x.t, min({{'cost': (p.best.cost + 5 * length(marks) + x.cost)::BIGINT, 'audit': p.best.audit || marks || edit}})
+    FROM tops p JOIN ins ON ins.e = p.e JOIN step x ON x.gid = p.gid AND x.rn = p.rn + 1 AND x.f = ins.f GROUP BY p.gid, p.rn, x.t),
+ends AS (
+    SELECT p.gid, min({{'cost': (p.best.cost + 5 * length(marks))::BIGINT, 'audit': p.best.audit || marks}}) AS best
+    FROM tops p JOIN found USING (gid) JOIN ins ON ins.e = p.e WHERE p.rn = found.n AND ins.f IN (0, 3) GROUP BY p.gid),
+edits AS (SELECT gid, j, substr(best.audit, j, 1) AS edit, length(replace(substr(best.audit, 1, j), 'I', '')) AS rn FROM ends, range(1, 10000) t(j) WHERE j <= length(best.audit)),
+kept AS (
+    SELECT e.gid, e.j, e.edit, r.role, CASE WHEN e.edit = 'I' THEN '' ELSE r.text END AS text, row_number() OVER w AS o,
+           first_value(e.edit = 'K' AND r.ini = 's') OVER w AS led
+    FROM edits e LEFT JOIN rows_ r ON r.gid = e.gid AND r.rn = e.rn WHERE e.edit <> 'D' WINDOW w AS (PARTITION BY e.gid ORDER BY e.j)),
+text_ AS (
+    SELECT gid, string_agg(CASE WHEN edit = 'K' THEN role WHEN (o - led::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY j) AS repaired FROM kept GROUP BY gid)
+SELECT s.conv_id, coalesce(f.gaps, 0) AS gaps, coalesce(f.blank, 0) AS blank, coalesce(f.duplicate, 0) AS duplicate, coalesce(f.truncated, 0) AS truncated,
+       coalesce(f.illegal, 0) AS illegal, coalesce(e.best.cost, 0) AS cost, coalesce(e.best.audit, '') AS audit, sha256(coalesce(t.repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT gid, conv_id FROM src) s LEFT JOIN found f USING (gid) LEFT JOIN ends e USING (gid) LEFT JOIN text_ t USING (gid)
+"""
+
+
 @_query
 def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, by a network trained on documents that are not held out."""
