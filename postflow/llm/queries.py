@@ -114,6 +114,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", found.warc_type.alias("record_type"), "refers_to")
 
 
+ORACLES["op10_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+k AS (SELECT *, sha1(payload) AS hexed, min(page_id) OVER (PARTITION BY payload) AS least FROM p)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((('0x' || substr(hexed, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31), 1)), '') AS payload_digest,
+       CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> least THEN least END AS refers_to
+FROM k
+"""
+
+
 @_query
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, least repair and hash of the repaired rows of every conversation, after the agreed damage."""
@@ -137,9 +148,11 @@ damaged AS (
            unnest(range(CASE WHEN d = 3 THEN 2 ELSE 1 END)) AS copy FROM dealt WHERE d <> 0),
 placed AS (SELECT *, row_number() OVER (PARTITION BY gid ORDER BY turn NULLS FIRST, role, text, copy) AS rn, substr(role, 1, 1) AS ini FROM damaged),
 rows_ AS MATERIALIZED (
-    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b'
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'b'
                    WHEN row_number() OVER (PARTITION BY gid, role, text ORDER BY rn) > 1 THEN 'd'
-                   WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 't' ELSE '' END AS fault,
+                   WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 't' ELSE '' END AS fault,
            coalesce(rn > 1 AND lag(ini) OVER (PARTITION BY gid ORDER BY rn) || ini NOT IN ('su', 'ua', 'au'), false) AS illegal FROM placed),
 found AS (
     SELECT gid, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
