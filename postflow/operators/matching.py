@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from postflow.operators import term_store
 from postflow.operators.row_keys import row_digest
+from postflow.operators.skew import fits_broadcast, join_isolated
 from postflow.session import Staged, outside_scopes, stage
 
 BLOCK = 6
@@ -173,21 +174,6 @@ def _any_found(spark: SparkSession, needles: list[str]):
     return find
 
 
-def table_size(df: DataFrame) -> tuple[int, int]:
-    """(rows, bytes of the values as text), from one distributed pass."""
-    size = F.lit(0).cast("bigint")
-    for name in df.columns:
-        size = size + F.coalesce(F.octet_length(F.col(name).cast("string")).cast("bigint"), F.lit(0))
-    n, total = df.agg(F.count(F.lit(1)), F.sum(size)).first()
-    return n, total or 0
-
-
-def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
-    """Measure a table with one bounded job before it is broadcast."""
-    rows, size = table_size(df.limit(max_rows + 1))
-    return rows <= max_rows and size <= max_bytes
-
-
 def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
     """``broadcast(df)`` if its measured size allows it, else ``df`` unchanged."""
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
@@ -271,27 +257,13 @@ def _joined_matches(posts: DataFrame, entries: DataFrame, content: str, columns:
     return found
 
 
-def hot_keys(keyed: DataFrame, key: str, most: int = 64) -> list[str]:
-    """Keys with more rows than half a shuffle partition's share, found by a sketch; at most ``most``."""
-    n_parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n, top = keyed.agg(F.count(F.lit(1)), F.expr(f"approx_top_k({key}, {most}, 10000)")).first()
-    return [r["item"] for r in top or [] if r["count"] > 1 and r["count"] * 2 * n_parts >= n]
-
-
 def _with_hits(posts: DataFrame, hits: DataFrame, content: str, how: str) -> DataFrame:
     """Posts joined with ``hits`` by the key of their text; posts without text stay out of the shuffle.
 
     Posts of a text that very many share do not move either: the hits of these few texts are measured and broadcast. The rest
     is joined by key.
     """
-    keyed = posts.filter(F.col(content).isNotNull()).withColumn(_KEY, text_key(content))
-    hot = hot_keys(keyed.select(_KEY), _KEY)
-    few = hits.filter(F.col(_KEY).isin(hot)) if hot else None
-    if few is not None and fits_broadcast(few, 1_000_000, 64 * 1024 * 1024):
-        is_hot = F.col(_KEY).isin(hot)
-        found = keyed.filter(~is_hot).join(hits.filter(~is_hot), _KEY, how).unionByName(keyed.filter(is_hot).join(F.broadcast(few), _KEY, how))
-    else:
-        found = keyed.join(hits, _KEY, how)
+    found = join_isolated(posts.filter(F.col(content).isNotNull()).withColumn(_KEY, text_key(content)), hits, [_KEY], how)
     if how == "inner":
         return found
     return found.unionByName(posts.filter(F.col(content).isNull()), allowMissingColumns=True)

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postflow.operators.skew import join_isolated
+
 KEYS = ("product_id", "property_id")
 
 
@@ -97,12 +99,13 @@ def attach_gmv(
 ) -> DataFrame:
     """Events with quantity and gmv of their window; 0 where there is none.
 
-    Events without a time or key have no window; they are kept, with 0.
+    Events without a time or key have no window; they are kept, with 0. A key that holds much of a window's events stays in place
+    (see :func:`join_isolated`).
     """
     at = F.col(time)
     # window functions drop rows without a time, so these go round the join
     keyed = events.filter(at.isNotNull()).withColumn("window_start", F.window(time, width)["start"])
     values = gmv.select(*keys, "window_start", "quantity", "gmv")
-    joined = keyed.join(values, [*keys, "window_start"], "left")
+    joined = join_isolated(keyed, values, [*keys, "window_start"], "left")
     timeless = events.filter(at.isNull())
     return joined.unionByName(timeless, allowMissingColumns=True).fillna({"quantity": 0, "gmv": 0})

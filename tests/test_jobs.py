@@ -166,6 +166,23 @@ def test_no_per_key_window_frame(spark):
     assert "Window [" not in plan
 
 
+def test_events_of_a_hot_product_stay_in_place(spark):
+    rows = [(1, s % 50, s) for s in range(3000)] + [(2 + s % 700, s % 1000, s) for s in range(6000)] + [(None, 3, 1)]
+    events = sold(spark, rows).repartition(8)
+    plain = sorted((r.product_id or 0, r.property_sold, r.quantity) for r in events.join(sales.property_gmv(events), ["product_id", "property_id"], "left").where(
+        "window_start is null or (crawl_time >= window_start and crawl_time < window_start + interval 1 minute)").fillna({"quantity": 0}).collect())
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = sales.attach_gmv(events, sales.property_gmv(events)).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted((r.product_id or 0, r.property_sold, r.quantity) for r in found) == plain
+    parts = [r.part for r in found if r.product_id == 1]
+    assert len(parts) == 3000 and len(set(parts)) == 8
+
+
 # --- streams
 
 def drain(stream, tmp_path, name, each=None):
