@@ -213,7 +213,7 @@ def fit(
     marks = rows.select("language", "mark").distinct()
     common = marks.groupBy("language").count().orderBy(F.desc("count"), "language").limit(most_languages)
     # hashes are spread evenly, so what lies in the lowest part of their range is some eight times what is taken
-    low = F.col("mark").cast("double") / 2**64 + 0.5 <= 8 * per_language / F.col("count")
+    low = F.col("mark").cast("double") / 2.0**64 + 0.5 <= 8 * per_language / F.col("count")
     rank = F.row_number().over(Window.partitionBy("language").orderBy("mark"))
     chosen = marks.join(F.broadcast(common), "language").where(low).withColumn("rank", rank).where(F.col("rank") <= per_language)
     picked = rows.join(F.broadcast(chosen.select("language", "mark")), ["language", "mark"]).select("mark", "language", "text")
