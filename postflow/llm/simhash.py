@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from postflow.llm.common import keep_marked, partitions_for, stage, text_mark
 from postflow.llm.components import components
+from postflow.operators.skew import join_isolated
 
 #: Shingles hashed before their bits are added up; bounds the memory a long text takes.
 _PIECE = 1 << 16
@@ -254,8 +255,9 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(fingerprint_links(prints, max_bits, **search))
     rooted = stage(prints.join(roots, prints.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "rooted")
     best = rooted.groupBy("root").agg(F.min("first").alias("best"))
-    by_print = rooted.join(best, "root").select("fp", "best")
-    return rows.join(by_print, "fp").select(
+    # rows of a class or a print that holds much of the table stay where they are
+    by_print = join_isolated(rooted, best, ["root"]).select("fp", "best")
+    return join_isolated(rows, by_print, ["fp"]).select(
         "row", "id", "mark", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("best.id").alias("component_id"), (F.col("row") == F.col("best.row")).alias("leader"),
     )

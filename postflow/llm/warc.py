@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from postflow.llm.common import stage
+from postflow.operators.skew import join_isolated
 from postflow.session import scratch_folder
 
 # fixed values of the format
@@ -61,7 +62,7 @@ def plan_records(pages: DataFrame, id_col: str, url_col: str, html_col: str, min
     key = ["none", "number", "sha"]
     pairs = stage(source.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")), "payloads")
     first = pairs.groupBy("sha").agg(F.min(F.struct("none", "number")).alias("first"))
-    odd = pairs.join(first, "sha").where((F.col("rows") > 1) | (F.struct("none", "number") != F.col("first")))
+    odd = join_isolated(pairs, first, ["sha"]).where((F.col("rows") > 1) | (F.struct("none", "number") != F.col("first")))
     odd = stage(odd.select(*key, "rows", (F.struct("none", "number") != F.col("first")).alias("later"), F.when(~F.col("first.none"), F.col("first.number")).alias("first_id")), "odd")
     joined = source.join(odd, key, "left")
     single = joined.where("rows is null or rows = 1").withColumn("copy_no", F.lit(1))
