@@ -129,12 +129,13 @@ def windowed_delta(
     )
 
 
-def property_sales_stream(events: DataFrame, *, width: str = "1 minute", late: str = "10 minutes", salts: int = 16) -> DataFrame:
+def property_sales_stream(events: DataFrame, *, width: str = "1 minute", late: str = "10 minutes", salts: int = 4) -> DataFrame:
     """Every event with quantity and gmv of its window, emitted once that window is closed.
 
     Events wait in the state of a join on (window, key) until :func:`windowed_delta` emits the window; the
     watermark clears both sides. Events of one key are dealt over ``salts`` parts by their content, and the one row a window
-    and key have on the other side is repeated for each, so a key with most of the events fills all state partitions alike.
+    and key have on the other side is repeated for each, so a key with most of the events is spread over as many state partitions. Raise
+    ``salts`` where windows are few and events many: the repeated rows are state too.
     """
     deltas = windowed_delta(events, width=width, late=late).select("time_window", *KEYS, "quantity", "gmv")
     deltas = deltas.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -59,7 +59,7 @@ def test_a_hot_product_fills_all_state_partitions(spark, tmp_path):
     def each(batch, epoch):
         seen.append(batch.count())
 
-    _, query = drain(jobs.property_sales_stream(stream), tmp_path, "sales", each)
+    _, query = drain(jobs.property_sales_stream(stream, salts=16), tmp_path, "sales", each)
     state = f"{tmp_path}/sales-state"
     metadata = spark.read.format("state-metadata").load(state).where("operatorName = 'symmetricHashJoin'").select("operatorId").distinct().collect()
     side = spark.read.format("statestore").option("operatorId", metadata[0][0]).option("joinSide", "left").load(state)
