@@ -17,7 +17,6 @@ from postflow.operators.matching import (
     MatchLimits,
     drop_spam,
     has_text,
-    match_orgs,
     match_terms,
     org_sets,
     with_lower,
@@ -25,6 +24,7 @@ from postflow.operators.matching import (
 )
 from postflow.operators.row_keys import row_digest
 from postflow.schemas import POST_STORED, conform
+from postflow.session import stage
 
 
 def to_stored(posts: DataFrame, as_of: AsOf = None, null_url: str = "reject") -> DataFrame:
@@ -33,19 +33,35 @@ def to_stored(posts: DataFrame, as_of: AsOf = None, null_url: str = "reject") ->
     A NULL url would make all such posts of an organisation one row. They are rejected by default, as the
     store's own contract demands; ``null_url="collapse"`` keeps that one row.
     """
+    checked = _checked_url(posts, null_url)
+    return _stored(latest_crawl(checked.withColumn("post_id", post_id()), ["post_id"]), as_of)
+
+
+def _checked_url(posts: DataFrame, null_url: str) -> DataFrame:
     if null_url not in ("reject", "collapse"):
         raise ValueError(f"null_url must be reject or collapse, not {null_url!r}")
-    if null_url == "reject":
-        posts = posts.filter(F.col("url").isNotNull())
-    stamped = posts.withColumns(
-        {
-            "post_id": post_id(),
-            "pg_sync": F.lit(False),
-            "createdAt": stored_stamp(as_of),
-            "updatedAt": stored_stamp(as_of),
-        }
-    )
-    return conform(latest_crawl(stamped, ["post_id"]), POST_STORED)
+    return posts.filter(F.col("url").isNotNull()) if null_url == "reject" else posts
+
+
+def _stored(kept: DataFrame, as_of: AsOf) -> DataFrame:
+    stamps = {"pg_sync": F.lit(False), "createdAt": stored_stamp(as_of), "updatedAt": stored_stamp(as_of)}
+    return conform(kept.withColumns(stamps), POST_STORED)
+
+
+def _latest_of_sets(posts: DataFrame) -> DataFrame:
+    """Posts with ``org_ids`` to one row per ``post_id`` with ``org_id``, of the latest crawl.
+
+    The posts are written once; which of them stays for an organisation is settled on their ids and times alone. A text moves
+    once, to the organisations it stays for, and is repeated for these only after that.
+    """
+    columns = [c for c in posts.columns if c != "org_ids"]
+    held = stage(posts.withColumns({"_row": F.monotonically_increasing_id(), "_tie": F.xxhash64(*[F.col(c) for c in columns])}))
+    few = [c for c in ("url", "crawl_time", "id") if c in columns]
+    slim = held.select("_row", "_tie", *few, F.explode("org_ids").alias("org_id")).withColumn("post_id", post_id()).drop("url")
+    order = [F.col(c).desc_nulls_last() for c in few if c != "url"]
+    stays = keep_latest(slim, ["post_id"], [*order, F.col("_tie")]).groupBy("_row").agg(F.collect_list("org_id").alias("org_ids"))
+    spread = held.drop("org_ids", "_tie").join(stays, "_row").select(*columns, F.explode("org_ids").alias("org_id"))
+    return spread.withColumn("post_id", post_id())
 
 
 def classify_posts(
@@ -61,8 +77,8 @@ def classify_posts(
     recent = has_text(posts.filter(in_publish_window(F.col("pub_time"), as_of)))
     lowered = with_lower(recent, "content")
     clean = drop_spam(lowered, spam_terms(orgs, encoded_spam), limits=limits)
-    matched = without_lower(match_orgs(clean, org_keywords(orgs), limits=limits))
-    return to_stored(matched, as_of, null_url)
+    sets = without_lower(org_sets(_checked_url(clean, null_url), org_keywords(orgs), limits=limits))
+    return _stored(_latest_of_sets(sets.filter(F.size("org_ids") > 0)), as_of)
 
 
 def normalise_classified(posts: DataFrame, as_of: AsOf = None, *, null_url: str = "reject") -> DataFrame:

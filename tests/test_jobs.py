@@ -67,6 +67,20 @@ def test_null_urls_collapse_on_request(posts, orgs):
         classify.to_stored(posts, DAY, null_url="?")
 
 
+def test_texts_are_repeated_for_organisations_after_the_last_shuffle(posts, orgs):
+    plan = classify.classify_posts(posts, orgs, DAY)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate explode(org_ids") < plan.index("Exchange")
+
+
+def test_an_older_post_stays_for_the_organisations_the_newer_one_lacks(spark):
+    dictionary = frame(spark, ORG_DICT, [{"code": "A", "org_id": 1, "keywords": ["bank"]}, {"code": "B", "org_id": -1, "keywords": ["loan"]}])
+    rows = [post(url="u", content="bank loan", crawl_time=1), post(url="u", content="bank", crawl_time=2),
+            post(url="u-", content="bank", crawl_time=3), post(url="u-", content="bank", crawl_time=None)]
+    out = classify.classify_posts(frame(spark, POST_RAW, rows), dictionary, DAY)
+    # "u" with organisation -1 and "u-" with organisation 1 share an id
+    assert values(out.select("post_id", "crawl_time")) == [("u--1", 3), ("u-1", 2)]
+
+
 def test_normalise_keeps_spam_and_empty_texts(spark):
     rows = frame(spark, POST_RAW_CLASSIFIED, [
         post(org_id=3, level="7"), post(org_id=3, level="x", crawl_time=NOON + 1), post(org_id=4, content=None, level=None),
