@@ -220,11 +220,11 @@ def _verified() -> Column:
 
 def text_key(content: str) -> Column:
     """Key of a text; equal texts share it."""
-    return F.sha2(F.col(content), 256)
+    return F.unhex(F.sha2(F.col(content), 256))
 
 
 def _key_matches(posts: DataFrame, entries: Staged, content: str, limits: MatchLimits, cache: DictionaryCache | None = None) -> DataFrame:
-    """Beyond one automaton: (text key, columns of the dictionary entry) of every distinct text, each pair once.
+    """Beyond one automaton: (text key, columns of the dictionary entry) of every distinct text; a pair may come more than once.
 
     ``entries`` is a cleaned snapshot with ``_needle``; its distinct rows count.
     """
@@ -328,7 +328,7 @@ def match_terms(
         return out.join(F.broadcast(listed), "_label", how).select(*posts.columns, *terms.columns)
     # repeated entries are counted before the keys are made distinct, and spread out again afterwards
     counted = snapshot.table.groupBy(*snapshot.table.columns).agg(F.count(F.lit(1)).cast("int").alias("_times"))
-    hits = _key_matches(posts, snapshot.of_same_size(counted), content, limits, cache)
+    hits = _key_matches(posts, snapshot.of_same_size(counted), content, limits, cache).distinct()
     copies = F.array_repeat(F.lit(0), F.coalesce("_times", F.lit(1)))
     keyed = _with_hits(posts, hits, content, how)
     return keyed.select("*", F.explode(copies).alias("_copy")).select(*posts.columns, *terms.columns)

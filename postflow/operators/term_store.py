@@ -44,7 +44,10 @@ class TermStore:
         return cls(Staged.of(cut.repartition(min(n_shards, 200), _SHARD).sortWithinPartitions(_SHARD)), n_shards)
 
     def hits(self, texts: DataFrame, columns: list[str]) -> DataFrame:
-        """Distinct (key, ``columns`` of an entry) of all texts, given as (key, lower-cased text)."""
+        """(key, ``columns`` of an entry) of all texts, given as (key, lower-cased text).
+
+        Copies of a text that lie in different tasks are found by each of them, so a pair may come more than once.
+        """
         spark = texts.sparkSession
         folder = scratch_folder(spark, "term-hits")
         kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.entries.table.select(*columns).schema)
@@ -63,13 +66,12 @@ class TermStore:
             held.delete()
             shared.destroy()
         try:
-            written = spark.read.schema(f"{KEY} string" + (f", {kinds}" if kinds else "")).parquet(folder)
+            written = spark.read.schema(f"{KEY} binary" + (f", {kinds}" if kinds else "")).parquet(folder)
         except Exception as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            written = spark.createDataFrame([], f"{KEY} string" + (f", {kinds}" if kinds else ""))
-        # copies of a text that lie in different tasks are found by each of them
-        return written.distinct()
+            written = spark.createDataFrame([], f"{KEY} binary" + (f", {kinds}" if kinds else ""))
+        return written
 
 
 def shards_needed(n_rows: int, n_bytes: int, shard_terms: int, shard_bytes: int) -> int:
@@ -85,7 +87,7 @@ def _needles_found(shared):
         for needle in shared.value:
             automaton.add_word(needle, needle)
         automaton.make_automaton()
-        seen: set[str] = set()
+        seen: set[bytes] = set()
         for keys, texts in batches:
             out = []
             for key, text in zip(keys, texts):

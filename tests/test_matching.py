@@ -233,3 +233,11 @@ def test_a_text_that_many_posts_share_stays_in_place(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     hot = [r["count"] for r in found if r["n"] == len(texts[0])]
     assert sum(hot) == 3000 * 5 and len(hot) == 8 and max(hot) <= 2 * sorted(hot)[4]
+
+
+def test_what_the_store_finds_is_not_shuffled(spark):
+    entries = spark.createDataFrame([("ab", 1), ("license", 2)], "_needle string, org_id int")
+    texts = posts(spark).filter("content is not null").select(m.text_key("content").alias("_text_key"), F.lower("content").alias("_text_lower"))
+    hits = m.term_store.TermStore.of(entries, 2, 9, 1, 100).hits(texts, ["org_id"])
+    assert "Exchange" not in hits._jdf.queryExecution().executedPlan().toString()
+    assert hits.distinct().groupBy("org_id").count().count() == 2 and {len(r[0]) for r in hits.collect()} == {32}
