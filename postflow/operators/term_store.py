@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +24,8 @@ LOWER = "_text_lower"
 _SHARD = "_shard"
 #: Text keys a task remembers, so that copies of a text are searched once.
 _REMEMBERED = 100_000
+#: About how many (text key, needle) a task holds before they leave.
+_FOUND = 8192
 
 
 @dataclass(frozen=True)
@@ -57,7 +59,7 @@ class TermStore:
             if not needles:
                 continue
             shared = spark.sparkContext.broadcast(needles)
-            found = texts.select(KEY, F.explode(_needles_found(shared)(KEY, LOWER)).alias(NEEDLE))
+            found = texts.select(KEY, LOWER).mapInArrow(_needles_found(shared), f"{KEY} binary, {NEEDLE} string")
             # a needle may have any number of entries, so they are measured before they are sent out
             held = Staged.of(shard, sized=shard.columns)
             small = held.n_bytes <= 64 * 1024 * 1024
@@ -79,24 +81,31 @@ def shards_needed(n_rows: int, n_bytes: int, shard_terms: int, shard_bytes: int)
 
 
 def _needles_found(shared):
-    """Arrow UDF: (text key, lower-cased text) -> the shard's needles in it; nothing for a text this task has had before."""
+    """Arrow batches of (text key, lower-cased text) -> (text key, needle of the shard); nothing for a text this task has had before.
 
-    @F.pandas_udf("array<string>")
-    def find(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    Texts become Python strings one at a time, and what is found leaves in batches of bounded size, however many rows come in one.
+    """
+    kinds = pa.schema([(KEY, pa.binary()), (NEEDLE, pa.string())])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = ahocorasick.Automaton()
         for needle in shared.value:
             automaton.add_word(needle, needle)
         automaton.make_automaton()
         seen: set[bytes] = set()
-        for keys, texts in batches:
-            out = []
-            for key, text in zip(keys, texts):
+        found: list[tuple[bytes, str]] = []
+        for batch in batches:
+            for key, text in zip(batch.column(0), batch.column(1)):
+                key, text = key.as_py(), text.as_py()
                 if key in seen or not text:
-                    out.append([])
                     continue
                 if len(seen) < _REMEMBERED:
                     seen.add(key)
-                out.append(list({needle for _, needle in automaton.iter(text)}))
-            yield pd.Series(out)
+                found += [(key, needle) for needle in {needle for _, needle in automaton.iter(text)}]
+                if len(found) >= _FOUND:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds.types)], schema=kinds)
+                    found = []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds.types)], schema=kinds)
 
     return find

@@ -241,3 +241,16 @@ def test_what_the_store_finds_is_not_shuffled(spark):
     hits = m.term_store.TermStore.of(entries, 2, 9, 1, 100).hits(texts, ["org_id"])
     assert "Exchange" not in hits._jdf.queryExecution().executedPlan().toString()
     assert hits.distinct().groupBy("org_id").count().count() == 2 and {len(r[0]) for r in hits.collect()} == {32}
+
+
+def test_what_a_task_holds_of_the_store_is_bounded():
+    import types
+
+    import pyarrow as pa
+
+    needles = [chr(97 + i) + chr(97 + j) for i in range(26) for j in range(26)]
+    text = "".join(needles)
+    batch = pa.RecordBatch.from_arrays([pa.array([bytes([i // 256, i % 256]) for i in range(1000)]), pa.array([text] * 1000)], ["k", "t"])
+    out = list(m.term_store._needles_found(types.SimpleNamespace(value=needles))(iter([batch, batch])))
+    assert max(b.num_rows for b in out) <= m.term_store._FOUND + len(needles)
+    assert sum(b.num_rows for b in out) == 1000 * len(needles)  # the second time nothing is found again
