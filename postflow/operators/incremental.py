@@ -96,8 +96,9 @@ def append_missing(
     write. If their keys are small (up to ``key_rows`` and ``key_bytes``, as measured), the target scan is first reduced
     to the keys they share with a broadcast semi join: one pass over the target, no shuffle of its keys. Beyond that size a
     Bloom filter of the incoming keys is sent out instead, so that of the target little more than the keys both sides share
-    is shuffled. The difference is staged, because the append changes the table it was computed from. Both staged tables
-    are deleted in the end.
+    is shuffled. These shared keys are staged, because the append changes the table they come from, and are sent out if they are
+    small, so that incoming rows neither move nor are written a second time; of whole rows the difference is staged. All staged
+    tables are deleted in the end.
 
     ``target_filter`` limits the scan of the target to rows that can hold the incoming keys (a day, a partition).
     ``count_target=False`` saves counting the target, whose cost grows with it. ``unique_keys`` raises if a key comes twice.
@@ -124,11 +125,15 @@ def append_missing(
                     keyed = KeyFilter.of(mine, n_incoming, common_schema(mine, held))
                     staged.append(keyed.blocks)
                     held = keyed.passing(held)
-                difference = insert_missing(incoming, held, keys, null_keys)
+                # the keys both sides share are all that is kept of the target: the difference does not change with the append
+                shared = Staged.of(held, sized=keys)
+                staged.append(shared)
+                few = shared.n_rows <= key_rows and shared.n_bytes <= key_bytes
+                missing = insert_missing(incoming, F.broadcast(shared.table) if few else shared.table, keys, null_keys)
+                n_missing = missing.count()
             else:
-                difference = insert_missing_rows(incoming, held, surrogate)
-            staged.append(Staged.of(difference))
-            missing, n_missing = staged[-1].table, staged[-1].n_rows
+                staged.append(Staged.of(insert_missing_rows(incoming, held, surrogate)))
+                missing, n_missing = staged[-1].table, staged[-1].n_rows
             order = [c for c in target.columns if c in missing.columns]
             missing = missing.select(*order, *[c for c in missing.columns if c not in order])
         if preview:

@@ -173,7 +173,7 @@ class Staged:
         length = F.lit(0).cast("bigint")
         for name in sized:
             length = length + F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")).cast("bigint"), F.lit(0))
-        df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(length).alias("bytes")).write.parquet(folder)
+        df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(length).alias("bytes")).write.option("compression", "zstd").parquet(folder)
         return cls(spark.read.schema(df.schema).parquet(folder), folder, seen.get["n"], seen.get["bytes"] or 0)
 
     def of_same_size(self, table: DataFrame) -> Staged:

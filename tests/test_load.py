@@ -57,6 +57,14 @@ def test_append_missing_large_keys_take_the_shuffled_way(spark, incoming, tmp_pa
     assert incremental.append_missing(incoming, sink, ["url", "org_id"], key_rows=1).n_missing == 2
 
 
+def test_append_missing_writes_incoming_rows_to_no_second_place(spark, incoming, tmp_path, monkeypatch):
+    sink, widths, of = SinkSpec("parquet", path=str(tmp_path / "t")), [], incremental.Staged.of
+    monkeypatch.setattr(incremental.Staged, "of", lambda df, sized=(): widths.append(len(df.columns)) or of(df, sized))
+    incremental.append_missing(incoming.filter("url = 'a'"), sink, ["url", "org_id"])
+    assert incremental.append_missing(incoming, sink, ["url", "org_id"]).n_missing == 2
+    assert widths == [len(incoming.columns)] * 2 + [2]  # of the second load the shared keys
+
+
 def test_append_missing_rows(spark, tmp_path):
     sink = SinkSpec("parquet", path=str(tmp_path / "t"))
     new = spark.createDataFrame([(1, None), (1, None), (2, "b")], "k int, v string")
