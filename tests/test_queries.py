@@ -18,3 +18,12 @@ def test_query_equals_sql(spark, sf_dir, con, name):
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_late_events_come_in_deliveries_of_any_number_of_files(spark, sf_dir, monkeypatch):
+    from workload import queries
+
+    runs, write_stream = [], queries.write_stream
+    monkeypatch.setattr(queries, "write_stream", lambda df, spec: runs.append(spec) or write_stream(df, spec))
+    queries.stream_prev_delta_late(spark, sf_dir)
+    assert len(runs) == 3 and all(r == runs[0] for r in runs)

@@ -868,11 +868,15 @@ def stream_prev_delta_late(spark, d):
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     last = events.agg(F.max(at)).first()[0]
     marked = events.withColumn("late", (F.col("event_id") % 50 == 0) & (at < last - 7_200_000_000))
-    # rows are late against the watermark of the batch before, so the newest ones come in between
+    spec = StreamSinkSpec("parquet", f"{folder}/state", path=f"{folder}/rows", available_now=True)
+    # rows are late against the watermark of the batch before, so the newest ones come in between; every delivery is as many files
+    # as there are tasks, and one run of the stream, which goes on from its checkpoint
     for part in (~F.col("late") & (at < last), at == last, F.col("late")):
-        as_properties(marked.filter(part)).coalesce(1).write.mode("append").parquet(folder)
-    source = spark.readStream.schema(PROPERTY_EVENT).option("maxFilesPerTrigger", 1).parquet(folder)
-    return _drain(spark, _window_epoch(jobs.windowed_delta(source, width=HOUR)), "late-delta")
+        as_properties(marked.filter(part)).write.mode("append").parquet(f"{folder}/events")
+        source = spark.readStream.schema(PROPERTY_EVENT).parquet(f"{folder}/events")
+        rows = _window_epoch(jobs.windowed_delta(source, width=HOUR))
+        write_stream(rows, spec).awaitTermination()
+    return read_source(spark, files("parquet", spec.path, rows.schema))
 
 
 @query(f"{_SALES_SQL} AND {_CLOSED}")
