@@ -27,3 +27,12 @@ def test_late_events_come_in_deliveries_of_any_number_of_files(spark, sf_dir, mo
     monkeypatch.setattr(queries, "write_stream", lambda df, spec: runs.append(spec) or write_stream(df, spec))
     queries.stream_prev_delta_late(spark, sf_dir)
     assert len(runs) == 3 and all(r == runs[0] for r in runs)
+
+
+def test_files_of_json_arrays_are_fewer_than_rows(spark, sf_dir, tmp_path, monkeypatch):
+    from workload import queries
+
+    monkeypatch.setattr(queries, "run_folder", lambda spark, label: str(tmp_path / label))
+    n = queries.json_array_import(spark, sf_dir).count()
+    written = [f for part in "ab" for f in (tmp_path / "json-arrays" / part).glob("*.txt") if f.stat().st_size]
+    assert n == spark.read.parquet(f"{sf_dir}/customer.parquet").count() and 2 <= len(written) <= 2 * (n // 1000 + 2)

@@ -578,10 +578,10 @@ def json_array_import(spark, d):
     """Files that hold one array of objects, or one object."""
     folder = run_folder(spark, "json-arrays")
     rows = table(spark, d, "customer").select(F.to_json(F.struct("c_custkey", "c_name")).alias("o"), F.col("c_custkey").alias("k"))
-    # an array has up to a thousand objects, so their number grows with the table and not their size
-    arrays = rows.filter("k % 7 <> 0").groupBy(F.expr("floor(k / 1000)")).agg(F.concat(F.lit("["), F.array_join(F.collect_list("o"), ",\n"), F.lit("]")).alias("value"))
+    # of a thousand keys one object has a file of its own and the others are one array, so files grow with a thousandth of the rows
+    arrays = rows.filter("k % 1000 <> 7").groupBy(F.expr("floor(k / 1000)")).agg(F.concat(F.lit("["), F.array_join(F.collect_list("o"), ",\n"), F.lit("]")).alias("value"))
     arrays.select("value").write.option("maxRecordsPerFile", 1).text(f"{folder}/a")
-    rows.filter("k % 7 = 0").select(F.col("o").alias("value")).write.option("maxRecordsPerFile", 1).text(f"{folder}/b")
+    rows.filter("k % 1000 = 7").select(F.col("o").alias("value")).write.option("maxRecordsPerFile", 1).text(f"{folder}/b")
     kinds = schema("c_custkey BIGINT, c_name STRING")
     parts = [read_source(spark, files("json", f"{folder}/{x}", kinds, multiLine="true")) for x in "ab"]
     return parts[0].unionByName(parts[1])
