@@ -14,10 +14,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postflow.operators.row_keys import row_digest
+from postflow.operators.row_keys import KeyFilter, row_digest
 from postflow.session import Staged, delete_folder, folder_exists, move_folder, staging_scope
 
 _DIGEST, _BUCKET = "_digest", "_bucket"
+#: Bytes of a row's SHA-256 that are compared: of 2 ** 40 different rows two have the same ones with a chance of 2 ** -49.
+_BYTES = 16
 
 
 @dataclass(frozen=True)
@@ -53,7 +55,7 @@ class BucketedTable:
         paths = [f"{self.folder}/data/{run}/{_BUCKET}={b}" for b, run in buckets.items()]
         if not paths:
             return None
-        return self.spark.read.schema(f"{columns}, {_DIGEST} string").parquet(*paths)
+        return self.spark.read.schema(columns).parquet(*paths)
 
     def read(self) -> DataFrame:
         """The rows of the newest manifest."""
@@ -61,7 +63,7 @@ class BucketedTable:
         if columns is None:
             raise FileNotFoundError(self.folder)
         found = self._stored(buckets, columns)
-        return self.spark.createDataFrame([], columns) if found is None else found.drop(_DIGEST)
+        return self.spark.createDataFrame([], columns) if found is None else found
 
     def add(self, rows: DataFrame) -> Compaction:
         """Add rows, each once (see :func:`row_digest` for what counts as equal); columns and types must be those of the table."""
@@ -69,23 +71,31 @@ class BucketedTable:
         given = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
         if columns is not None and columns != given:
             raise ValueError(f"rows have the columns {given}, the table has {columns}")
+        whole = row_digest(rows.schema)
+        digest = F.substring(F.unhex(whole), 1, _BYTES).alias(_DIGEST)
+        bucket = F.pmod(F.xxhash64(whole), F.lit(self.n_buckets)).cast("int").alias(_BUCKET)
         with staging_scope():
-            bucket = F.pmod(F.xxhash64(_DIGEST), F.lit(self.n_buckets)).cast("int")
-            marked = rows.withColumn(_DIGEST, row_digest(rows.schema)).withColumn(_BUCKET, bucket)
-            incoming = Staged.of(marked)
-            distinct = incoming.table.dropDuplicates([_DIGEST])
-            touched = [r[0] for r in incoming.table.select(_BUCKET).distinct().collect()]  # at most ``n_buckets``
-            held = self._stored({b: buckets[b] for b in touched if b in buckets}, columns)
-            missing = Staged.of(distinct if held is None else distinct.join(held.select(_DIGEST), _DIGEST, "left_anti").select(*marked.columns))
+            incoming = Staged.of(rows)
+            marked = incoming.table.select("*", digest, bucket)
+            touched = [r[0] for r in marked.select(_BUCKET).distinct().collect()]  # at most ``n_buckets``
+            held = self._stored({b: buckets[b] for b in touched if b in buckets}, given)
+            if held is not None:
+                # digests alone are compared; rows move only if they are missing
+                new = Staged.of(marked.select(_DIGEST).distinct().join(held.select(digest), _DIGEST, "left_anti"))
+                if not new.n_rows:
+                    return Compaction(version, incoming.n_rows, 0, ())
+                marked = KeyFilter.of(new.table, new.n_rows).passing(marked).join(new.table, _DIGEST, "left_semi")
+            missing = Staged.of(marked.dropDuplicates([_DIGEST]).drop(_DIGEST))
             changed = sorted(r[0] for r in missing.table.select(_BUCKET).distinct().collect())
             if not changed and columns is not None:
                 return Compaction(version, incoming.n_rows, 0, ())
-            run, out = uuid.uuid4().hex, missing.table
-            old = self._stored({b: buckets[b] for b in changed if b in buckets}, columns)
-            if old is not None:
-                out = out.unionByName(old.withColumn(_BUCKET, bucket))
+            run = uuid.uuid4().hex
             if changed:
-                out.repartition(len(changed), _BUCKET).write.partitionBy(_BUCKET).parquet(f"{self.folder}/data/{run}")
+                # rows a bucket has already are copied by one task each, without a shuffle
+                out = missing.table.repartition(len(changed), _BUCKET)
+                for b in (b for b in changed if b in buckets):
+                    out = out.unionByName(self._stored({b: buckets[b]}, given).coalesce(1).withColumn(_BUCKET, F.lit(b)))
+                out.write.partitionBy(_BUCKET).parquet(f"{self.folder}/data/{run}")
             self._commit(version + 1, {**buckets, **dict.fromkeys(changed, run)}, given)
             return Compaction(version + 1, incoming.n_rows, missing.n_rows, tuple(changed))
 

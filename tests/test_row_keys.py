@@ -196,3 +196,11 @@ def test_a_scope_deletes_what_is_staged_in_it(spark):
             spark.range(1).write.parquet(inner)
         assert os.path.exists(folder) and not os.path.exists(inner)
     assert not os.path.exists(folder)
+
+
+def test_a_bucketed_table_holds_the_rows_alone(spark, tmp_path):
+    store = BucketedTable(spark, str(tmp_path / "t"), n_buckets=2)
+    for n in (10, 20, 20):
+        store.add(spark.range(n).toDF("k"))
+    folders = [f"{store.folder}/data/{run}/_bucket={b}" for b, run in store.manifest()[1].items()]
+    assert spark.read.parquet(*folders).columns == ["k"] and values(store.read()) == [(k,) for k in sorted(range(20), key=str)]
