@@ -32,7 +32,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates stays: sets of five-word shingles, similarity 0.8 or more.
+    """One document of each class of near duplicates stays: fingerprints meet in a forest of vantage-point trees and are
+    verified on whole sets of five-word shingles, similarity 0.8 or more.
 
     NULL and blank texts are one class; of repeated rows one stays.
     """

@@ -102,3 +102,30 @@ def test_recall_on_the_given_documents(spark):
     together = [i for i, root in enumerate(wanted) if root != i]
     assert all(wanted[i] == wanted[k] for i, k in found.items())
     assert sum(found[i] == wanted[i] for i in together) >= 0.9 * len(together)
+
+
+def test_the_fingerprints_alone_decide_which_texts_meet(spark):
+    rng = random.Random(3)
+    base, texts = [f"w{rng.randrange(900)}" for _ in range(150)], []
+    for first in range(40):
+        copy = list(base)
+        copy[first * 3] = "other"
+        texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["component_id"] for r in similar_classes(docs, n_mins=0).collect()} == {0}
+
+
+def test_prints_that_meet_in_a_block_are_linked_whatever_the_leaves_and_parts(spark):
+    rng = np.random.default_rng(4)
+    prints = rng.integers(0, 1 << 63, (300, S.WORDS), np.int64)
+    near = prints[:100].copy()
+    for k in range(100):
+        for bit in rng.choice(256, k % 40, replace=False):
+            near[k, bit // 64] ^= np.int64(1) << np.int64(bit % 64 if bit % 64 < 63 else 0)
+    every = np.concatenate([prints, near]).view(np.uint64)
+    halves = every.view("<u2")
+    met = {(a, b) for a in range(400) for b in range(a) if (np.bitwise_count(halves[a] ^ halves[b]) <= 1).any() and np.bitwise_count(every[a] ^ every[b]).sum() <= 64}
+    points = spark.createDataFrame([(i, 10, *map(int, p)) for i, p in enumerate(every.view(np.int64))], "node long, n long, " + ", ".join(f"p{w} long" for w in range(S.WORDS)))
+    for options in ({}, {"leaf_rows": 20, "part_rows": 15}):
+        found = {(max(r), min(r)) for r in S.print_links(points, 0.8, 64, **options).collect()}
+        assert found == met and len(met) > 90
