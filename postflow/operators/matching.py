@@ -11,17 +11,17 @@ once as a snapshot, and its size decides between four ways that give the same ro
                costs (text length x terms), the automaton only (text length). Posts are not shuffled.
 ``store``      up to 64 such automata: the dictionary is cut into bounded shards, and the texts are searched
                with one after another (see ``term_store``). Texts are not shuffled, only (text key, entry) is.
-``shuffled``   any size: texts and terms meet in an equi-join. Terms of up to ten characters meet the
-               distinct stretches of just their length of every text, so what meets is a match. A longer
-               term meets the consecutive blocks of the texts; such candidates return to their text by key
-               and are verified there. Only (text key, stretch) pairs are shuffled, and adaptive execution
+``shuffled``   any size: texts and terms meet in an equi-join. Terms of up to 22 bytes meet the stretches of just
+               their length of every text, so what meets is a match. A longer term meets the consecutive
+               blocks of the texts; such candidates return to their text by key and are verified there.
+               A bitmap of the dictionary, bounded in size, holds back the stretches that are no term (see
+               ``stretches``), so only few (text key, stretch) pairs are shuffled, and adaptive execution
                splits the partitions of stretches that many texts share.
 
-Why blocks find everything: wherever a term of eleven characters or more starts, each possible alignment
-puts a whole block of six inside it. A term is therefore filed once per alignment, each time under the
+Lengths, places and blocks are those of the UTF-8 bytes, in which a term occurs where and only where it occurs in
+the characters. Why blocks find everything: wherever a term of 23 bytes or more starts, each possible alignment
+puts a whole block of twelve inside it. A term is therefore filed once per alignment, each time under the
 block the fewest other terms use, so that a common block does not gather a large part of the dictionary.
-A candidate counts only under the alignment of the term's first occurrence, which makes every (post, term)
-pair appear exactly once.
 """
 
 from __future__ import annotations
@@ -34,20 +34,23 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postflow.operators import term_store
-from postflow.operators.row_keys import row_digest
+from postflow.operators import stretches, term_store
+from postflow.operators.row_keys import KeyFilter, row_digest
 from postflow.operators.skew import fits_broadcast, join_isolated
 from postflow.session import Staged, outside_scopes, stage
 
-BLOCK = 6
-#: Terms shorter than this need not hold a whole block at every alignment.
+#: Bytes of a block.
+BLOCK = 12
+#: Terms of fewer bytes need not hold a whole block at every alignment.
 LONG = 2 * BLOCK - 1
 
 _LOWER = term_store.LOWER
 _KEY = term_store.KEY
-_BLOCK = "_block"
+_BLOCK = stretches.PIECE
 _NEEDLE = term_store.NEEDLE
 _PHASE = "_phase"
+#: Whether a post has a text; taken before joins, so that texts nobody asks for do not move.
+_PRESENT = "_present"
 
 
 @dataclass(frozen=True)
@@ -179,13 +182,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int =
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
-def _text_blocks(text: Column) -> Column:
-    """Distinct consecutive blocks of the whole text."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s).{{{BLOCK}}}"), F.lit(0)))
-
-
 def _stretches(text: Column, lengths: list[int]) -> Column:
-    """Distinct stretches of the given lengths, from every place of the text.
+    """Distinct stretches of the given lengths in characters, from every place of the text: the plain form of what ``stretches`` looks for.
 
     Each match moves on by one character and looks ahead for the stretch, so the time is in proportion to the text.
     """
@@ -198,24 +196,16 @@ def _stretches(text: Column, lengths: list[int]) -> Column:
 
 def _filed(entries: DataFrame) -> DataFrame:
     """Long dictionary entries with one block per alignment."""
+    spelt = F.encode(_NEEDLE, "UTF-8")
     blocks = (
         entries.select(_NEEDLE)
         .distinct()
-        .select(_NEEDLE, F.explode(F.sequence(F.lit(0), F.char_length(_NEEDLE) - BLOCK)).alias("_offset"))
-        .select(_NEEDLE, (F.col("_offset") % BLOCK).alias(_PHASE), F.substring(F.col(_NEEDLE), F.col("_offset") + 1, F.lit(BLOCK)).alias(_BLOCK))
+        .select(_NEEDLE, F.explode(F.sequence(F.lit(0), F.octet_length(_NEEDLE) - BLOCK)).alias("_offset"))
+        .select(_NEEDLE, (F.col("_offset") % BLOCK).alias(_PHASE), F.substring(spelt, F.col("_offset") + 1, F.lit(BLOCK)).alias(_BLOCK))
     )
     users = blocks.groupBy(_BLOCK).agg(F.count(F.lit(1)).alias("_users"))
     filed = blocks.join(users, _BLOCK).groupBy(_NEEDLE, _PHASE).agg(F.min_by(_BLOCK, F.struct("_users", _BLOCK)).alias(_BLOCK))
-    return entries.join(filed, _NEEDLE)
-
-
-def _verified() -> Column:
-    """The needle occurs, and its first occurrence has the alignment this row was filed for.
-
-    ``contains`` comes first: it is the cheap test that rejects most candidates.
-    """
-    at = F.position(F.col(_NEEDLE), F.col(_LOWER))
-    return F.contains(F.col(_LOWER), F.col(_NEEDLE)) & ((at - 1 + F.col(_PHASE)) % BLOCK == 0)
+    return entries.join(filed.select(_NEEDLE, _BLOCK), _NEEDLE)
 
 
 def text_key(content: str) -> Column:
@@ -244,17 +234,28 @@ def _key_matches(posts: DataFrame, entries: Staged, content: str, limits: MatchL
 
 
 def _joined_matches(posts: DataFrame, entries: DataFrame, content: str, columns: list[str]) -> DataFrame:
-    """Shuffled way. Distinct texts are written once and read by both joins."""
-    texts = posts.select(text_key(content).alias(_KEY), F.col(content).alias("_text"))
-    texts = stage(texts.dropDuplicates([_KEY]).select(_KEY, F.lower("_text").alias(_LOWER)))
-    short, long_ = (entries.filter(F.char_length(_NEEDLE) < LONG), entries.filter(F.char_length(_NEEDLE) >= LONG))
-    lengths = sorted(r["n"] for r in short.select(F.char_length(_NEEDLE).alias("n")).distinct().collect())  # at most LONG rows
-    found = texts.select(_KEY, F.explode(_text_blocks(F.col(_LOWER))).alias(_BLOCK)).join(_filed(long_), _BLOCK).drop(_BLOCK)
-    found = found.join(texts, _KEY).filter(_verified()).select(_KEY, *columns)
-    if lengths:
-        pieces = texts.select(_KEY, F.explode(_stretches(F.col(_LOWER), lengths)).alias(_NEEDLE))
-        found = found.unionByName(pieces.join(short, _NEEDLE).select(_KEY, *columns))
-    return found
+    """Shuffled way. What may be a term or a block of one is written once; of the texts only those with a candidate of a long term move."""
+    texts = posts.select(text_key(content).alias(_KEY), F.lower(content).alias(_LOWER))
+    spelt, n_bytes = F.encode(_NEEDLE, "UTF-8"), F.octet_length(_NEEDLE)
+    lengths = sorted(r["n"] for r in entries.select(F.least(n_bytes, F.lit(LONG)).alias("n")).distinct().collect())  # at most LONG rows
+    whole, block = [n for n in lengths if n < LONG], BLOCK if LONG in lengths else 0
+    short = entries.where(n_bytes < LONG).withColumn(_BLOCK, spelt)
+    begins = short.select(F.substring(_BLOCK, 1, min(whole, default=1)).alias(_BLOCK), F.lit(stretches.BEGINNING).alias(stretches.KIND))
+    keys = begins.unionByName(short.select(_BLOCK, n_bytes.alias(stretches.KIND)))
+    if block:
+        filed = stage(_filed(entries.where(n_bytes >= LONG)))
+        keys = keys.unionByName(filed.select(_BLOCK, F.lit(stretches.IN_BLOCK).alias(stretches.KIND)))
+    keys = Staged.of(keys.distinct())
+    bitmap = stretches.bitmap_of(keys.table, keys.n_rows)
+    keys.delete()
+    pieces = stage(stretches.passing(texts, _KEY, F.col(_LOWER), bitmap, whole, block))
+    found = pieces.join(short, _BLOCK).select(_KEY, *columns)
+    if not block:
+        return found
+    candidates = Staged.of(pieces.join(filed, _BLOCK).select(_KEY, _NEEDLE, *columns).distinct())
+    held = KeyFilter.of(candidates.table.select(_KEY), candidates.n_rows)
+    some = held.passing(texts.select(_KEY, _LOWER)).dropDuplicates([_KEY])
+    return found.unionByName(candidates.table.join(some, _KEY).where(F.contains(_LOWER, _NEEDLE)).select(_KEY, *columns))
 
 
 def _with_hits(posts: DataFrame, hits: DataFrame, content: str, how: str) -> DataFrame:
@@ -417,9 +418,9 @@ def matched_keywords(
     present = F.col(content).isNotNull()
     if way == "any":
         hits = _key_matches(posts, snapshot, content, limits).groupBy(_KEY).agg(F.array_sort(F.collect_set("keyword")).alias("matched_keywords"))
-        keyed = _with_hits(posts, hits, content, "left")
+        keyed = _with_hits(posts.withColumn(_PRESENT, present), hits, content, "left")
         found = F.coalesce("matched_keywords", F.array().cast("array<string>"))
-        return keyed.select(*posts.columns, F.when(present, found).alias("matched_keywords"))
+        return keyed.select(*posts.columns, F.when(F.col(_PRESENT), found).alias("matched_keywords"))
     rows = sorted(rows)
     base = with_lower(posts, content)
     if way == "automaton":
@@ -455,8 +456,8 @@ def is_spam(
     present = F.col(content).isNotNull() & (F.col(content) != "")
     if way == "any":
         hits = _key_matches(posts, snapshot, content, limits, cache).select(_KEY, F.lit(True).alias("_spam")).distinct()
-        keyed = _with_hits(posts, hits, content, "left")
-        return keyed.select(*posts.columns, F.when(present, F.coalesce("_spam", F.lit(False))).alias("has_spamwords"))
+        keyed = _with_hits(posts.withColumn(_PRESENT, present), hits, content, "left")
+        return keyed.select(*posts.columns, F.when(F.col(_PRESENT), F.coalesce("_spam", F.lit(False))).alias("has_spamwords"))
     if way == "automaton":
         hit = _any_found(posts.sparkSession, [r[_NEEDLE] for r in rows])(_LOWER)
     else:

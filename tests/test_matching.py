@@ -254,3 +254,31 @@ def test_what_a_task_holds_of_the_store_is_bounded():
     out = list(m.term_store._needles_found(types.SimpleNamespace(value=needles))(iter([batch, batch])))
     assert max(b.num_rows for b in out) <= m.term_store._FOUND + len(needles)
     assert sum(b.num_rows for b in out) == 1000 * len(needles)  # the second time nothing is found again
+
+
+def test_only_stretches_that_may_be_terms_leave_the_texts(spark):
+    """Of all places of the texts about those that hold a term become rows, of any length in bytes, across parts of a batch."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdé😀 ") for _ in range(rng.randint(0, 3000))) for _ in range(40)] + ["", "x" * 600_000 + "needle in a very long haystack" + "y" * 9]
+    terms = sorted({"".join(rng.choice("abcdé😀") for _ in range(rng.randint(3, 8))) for _ in range(300)}) + ["needle"]
+    long_ = "needle in a very long haystack"
+    keys = [(t.encode()[: min(len(x.encode()) for x in terms)], 0) for t in terms] + [(t.encode(), len(t.encode())) for t in terms] + [(long_.encode()[k : k + 12], -1) for k in range(12)]
+    bitmap = m.stretches.bitmap_of(spark.createDataFrame([(bytearray(k), n) for k, n in set(keys)], "_block binary, _kind int"), len(keys))
+    base = posts(spark, texts).select(m.text_key("content").alias("k"), "content")
+    out = m.stretches.passing(base, "k", F.col("content"), bitmap, sorted({len(t.encode()) for t in terms}), 12).collect()
+    number = {r["k"]: r["content"] for r in base.collect()}
+    found = {(number[r["k"]], bytes(r["_block"])) for r in out}
+    want = {(t, n.encode()) for t in texts for n in terms if n in t}
+    assert want <= found and all(b in t.encode() for t, b in found)
+    assert any(b in long_.encode() and len(b) == 12 for _, b in found)
+    assert len(out) <= 1.2 * len(want) + 20 < sum(len(t) for t in texts) / 50
+
+
+def test_long_terms_and_copies_by_the_join(spark):
+    """Terms around the length from which blocks decide, at every alignment, in texts that come more than once."""
+    rng = random.Random(6)
+    stem = "".join(rng.choice("abcdefgé") for _ in range(60))
+    terms = [(k, stem[a : a + n]) for k, (a, n) in enumerate((a, n) for a in range(13) for n in (10, 20, 22, 23, 30))]
+    texts = ["z" * pad + stem[cut:] for pad in range(13) for cut in (0, 5, 20)] * 2 + ["nothing", None, ""]
+    got = m.match_terms(posts(spark, texts), dictionary(spark, terms), limits=WAYS["shuffled"]).select("id", "org_id", "keyword")
+    assert values(got) == sorted(expected(texts, terms), key=key)
