@@ -14,6 +14,9 @@ from postflow.llm.similar_texts import drop_similar
 from postflow.llm.tiling import drop_contaminated
 from postflow.llm.toxicity import drop_toxic
 
+#: Rows of an Arrow batch in the session of the pipeline.
+BATCH_ROWS = 1000
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose most toxic window scores 0.3 or more go.
@@ -57,12 +60,31 @@ def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return found.select(found.id.alias("doc_id"), "n_ids", "ids", found.same.alias("round_trip"))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("toxicity", toxicity),
-    ("exact dedup", exact_dedup),
-    ("SimHash near-dedup", near_dedup),
-    ("benchmark decontamination", decontamination),
-    ("SentencePiece encoding and decoding", sentence_pieces),
+Step = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(step: Step) -> Step:
+    """The stage, with rows that go to Python at most as many at a time as ``build_session`` sets: they hold whole texts, and an
+    Arrow batch is held by the executor and its worker at once."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+        if not 0 < rows <= BATCH_ROWS:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        return step(spark, docs, sf_dir)
+
+    return run
+
+
+STAGES: list[tuple[str, Step]] = [
+    (name, in_small_batches(step))
+    for name, step in [
+        ("toxicity", toxicity),
+        ("exact dedup", exact_dedup),
+        ("SimHash near-dedup", near_dedup),
+        ("benchmark decontamination", decontamination),
+        ("SentencePiece encoding and decoding", sentence_pieces),
+    ]
 ]
 
 #: SQL cannot express the classifier, the fingerprints or the tokenizer; tests hold stages against plain versions.

@@ -15,6 +15,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Unicode White_Space, as the tokenizers' pattern counts it (Python's \s has four characters more).
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -86,6 +88,16 @@ def pieces(texts: list[str], most_chars: int = 1 << 20) -> Iterator[tuple[int, i
     return parts(map(len, texts), most_chars)
 
 
+def text_parts(column: pa.Array, most_chars: int = 1 << 20) -> Iterator[tuple[int, int, list[str]]]:
+    """(first, end, texts) of ranges of a column of texts, as ``pieces`` cuts them; NULL is empty.
+
+    Only the texts of one range are Python strings at a time.
+    """
+    sizes = pc.fill_null(pc.utf8_length(column), 0)
+    for a, b in parts(sizes.to_pylist(), most_chars):
+        yield a, b, [t or "" for t in column.slice(a, b - a).to_pylist()]
+
+
 class ByteBpe:
     """A byte-level BPE of the tokenizers library; special tokens in a text are ordinary text."""
 

@@ -11,13 +11,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postflow.llm.chunks import ChunkMemory, _summed, pieces
+from postflow.llm.chunks import ChunkMemory, _summed, pieces, text_parts
 from postflow.llm.common import free_name
 
 #: What the normaliser writes for a space.
 MARK = "▁"
 #: Symbols per packed key; a symbol takes 16 bits.
 _PER_KEY = 4
+#: Characters whose suffixes are sorted at once; their edges take some 400 bytes for each.
+_AT_ONCE = 1 << 17
+#: Pairs of pieces a worker remembers.
+_PAIRS = 200_000
 
 
 def merged(symbols: list[str], rank: dict[str, int]) -> tuple[list[str], tuple[str, str] | None]:
@@ -79,7 +83,11 @@ class PieceLattice:
         inside = np.arange(spelled.shape[1]) < self.width[:, None]
         self.highest = self._packed(np.where(inside, spelled, np.uint64(0xFFFF)))
         points = np.array([ord(c) for c in self.alphabet], np.int64)
-        self._points, self._known = points, {}
+        self._points = points
+        self._forget_pairs()
+
+    def _forget_pairs(self) -> None:
+        self._pairs, self._pair_fits = np.zeros(0, np.int64), np.zeros(0, bool)  # sorted
 
     @staticmethod
     def _packed(symbols: np.ndarray) -> list[np.ndarray]:
@@ -145,14 +153,20 @@ class PieceLattice:
         """``fits``, worked out once for each different pair."""
         key = one * len(self.names) + two
         unique, back = np.unique(key, return_inverse=True)
-        known = np.array([self._known.get(k, 2) for k in unique.tolist()], np.int8)
-        new = np.flatnonzero(known == 2)
+        at = np.searchsorted(self._pairs, unique)
+        held = np.zeros(len(unique), bool)
+        inside = np.flatnonzero(at < len(self._pairs))
+        held[inside] = self._pairs[at[inside]] == unique[inside]
+        good = np.zeros(len(unique), bool)
+        good[held] = self._pair_fits[at[held]]
+        new = np.flatnonzero(~held)
         if len(new):
-            known[new] = self.fits(unique[new] // len(self.names), unique[new] % len(self.names))
-            if len(self._known) > 200_000:
-                self._known.clear()
-            self._known.update(zip(unique[new].tolist(), known[new].tolist()))
-        return known[back].astype(bool)
+            good[new] = self.fits(unique[new] // len(self.names), unique[new] % len(self.names))
+            if len(self._pairs) > _PAIRS:
+                self._forget_pairs()
+            at = np.searchsorted(self._pairs, unique[new])
+            self._pairs, self._pair_fits = np.insert(self._pairs, at, unique[new]), np.insert(self._pair_fits, at, good[new])
+        return good[back]
 
     def segment(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(pieces of each string, their numbers), for strings over the model's alphabet."""
@@ -232,7 +246,7 @@ class Pieces:
         inside = [c for c in chunks if c[0] in self._alphabet]
         outside = [c for c in chunks if c[0] not in self._alphabet]
         numbers, counts = [], []
-        for a, b in pieces(inside, 1 << 18):
+        for a, b in pieces(inside, _AT_ONCE):
             count, found = self.lattice.segment(inside[a:b])
             numbers.append(found)
             counts.append(count)
@@ -278,12 +292,11 @@ def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            for a, b in pieces(texts):
-                count, ids = model.encode(texts[a:b])
+            for a, b, texts in text_parts(batch.column(2)):
+                count, ids = model.encode(texts)
                 ends = np.cumsum(count)
                 flat = ids.tolist()
-                same = [model.decode(flat[e - n : e]) == t for t, n, e in zip(texts[a:b], count.tolist(), ends.tolist())]
+                same = [model.decode(flat[e - n : e]) == t for t, n, e in zip(texts, count.tolist(), ends.tolist())]
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(count), lists, pa.array(same)], schema=_OUT

@@ -161,7 +161,7 @@ def _routed(forest: list[tuple[int, int, Tree]], parts: dict[int, int]):
     return run
 
 
-def _block_pairs(values: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _block_pairs(values: np.ndarray, most: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of all 16-bit values that differ in at most one bit, each pair once, about ``most`` at a time."""
     order = np.argsort(values, kind="stable")
     held = values[order].astype(np.int64)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postflow.llm.chunks import pieces
+from postflow.llm.chunks import text_parts
 from postflow.llm.common import free_name
 
 #: Marks that may stand around a word.
@@ -355,8 +355,7 @@ def _scored(net: Network):
         if not holder:
             holder.append(Scorer(net))
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            found = [holder[0].scores(texts[a:b]) for a, b in pieces(texts, 1 << 19)]
+            found = [holder[0].scores(texts) for _, _, texts in text_parts(batch.column(2), 1 << 19)]
             score = np.concatenate(found) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score)], ["row", "id", "score"])
 
@@ -385,8 +384,7 @@ def _harmless(net: Network, threshold: float, text_at: int):
         if not holder:
             holder.append(Scorer(net))
         for batch in batches:
-            texts = [t or "" for t in batch.column(text_at).to_pylist()]
-            score = np.concatenate([holder[0].scores(texts[a:b]) for a, b in pieces(texts, 1 << 19)] or [np.zeros(0)])
+            score = np.concatenate([holder[0].scores(texts) for _, _, texts in text_parts(batch.column(text_at), 1 << 19)] or [np.zeros(0)])
             yield batch.filter(pa.array(score < threshold))
 
     return run

@@ -66,3 +66,16 @@ def test_stages_take_empty_and_awkward_tables(spark, tmp_path):
 
 def test_every_operator_has_a_query():
     assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
+
+
+def test_stages_send_texts_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was, seen = spark.conf.get(key), []
+    step = corpus_pipeline.in_small_batches(lambda s, docs, d: seen.append(s.conf.get(key)))
+    try:
+        for rows in ("10000", "0", "200"):
+            spark.conf.set(key, rows)
+            step(spark, None, "")
+    finally:
+        spark.conf.set(key, was)
+    assert seen == ["1000", "1000", "200"]

@@ -129,3 +129,21 @@ def test_prints_that_meet_in_a_block_are_linked_whatever_the_leaves_and_parts(sp
     for options in ({}, {"leaf_rows": 20, "part_rows": 15}):
         found = {(max(r), min(r)) for r in S.print_links(points, 0.8, 64, **options).collect()}
         assert found == met and len(met) > 90
+
+
+def test_pairs_of_near_copies_are_taken_few_at_a_time():
+    """Four thousand prints with one block make eight million pairs; what is held at once stays small."""
+    import tracemalloc
+
+    import pandas as pd
+
+    prints = np.repeat(np.array([[5, 6, 7, 8]], np.int64), 4000, axis=0)
+    prints[:, 1] ^= 1 << (np.arange(4000) % 60)
+    frame = pd.DataFrame({"node": np.arange(4000), "n": 100, **{f"p{w}": prints[:, w] for w in range(4)}, "home": True, "leaf": 0, "part": 0, "p": 0, "q": 0})
+    met = S._met([(0, 0)], 0.8, 64)
+    tracemalloc.start()
+    found = met(frame)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 3999 and set(found["v"]) == {0}
+    assert most < 40 << 20

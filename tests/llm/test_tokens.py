@@ -198,3 +198,20 @@ def test_stretches_are_those_of_the_pattern():
         flat, ends = [cut.distinct[k] for k in cut.which], np.cumsum(cut.parts)
         assert [flat[e - n : e] for e, n in zip(ends, cut.parts)] == [pattern.findall(t) for t in texts]
         assert cut.width.tolist() == [len(x) for x in flat] and len(set(cut.distinct)) == len(cut.distinct)
+
+
+def test_texts_of_a_batch_become_strings_part_by_part():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from postflow.llm.chunks import text_parts
+
+    column = pa.array(["x" * (1 << 20), None, "é" * 10, ""] * 48).slice(3)
+    tracemalloc.start()
+    seen = [(a, b, [len(t) for t in texts]) for a, b, texts in text_parts(column)]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [n for _, _, own in seen for n in own] == [len(t or "") for t in column.to_pylist()]
+    assert [a for a, _, _ in seen] == [0, *(b for _, b, _ in seen[:-1])] and seen[-1][1] == len(column)
+    assert most < 8 << 20
