@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import string
-from collections import Counter
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -182,49 +183,69 @@ class _Adam:
 
 
 def _grid(numbers: np.ndarray, starts: np.ndarray, ends: np.ndarray, shape: Shape) -> np.ndarray:
-    """(places, windows) of word numbers, 0 behind the end of a window's text."""
+    """(places, windows) of word numbers, 0 behind the end of a window's text; ``numbers`` end with a 0 of no word."""
     at = starts + np.arange(shape.window)[:, None]
-    padded = np.append(numbers, 0)
-    return np.where(at < ends, padded[np.minimum(at, len(numbers))], 0)
+    return np.where(at < ends, numbers[np.minimum(at, len(numbers) - 1)], 0)
 
 
-def train(examples: list[tuple[int, str, int]], shape: Shape = Shape(), *, passes: int = 7, batch: int = 512, steps: int = 100, rate: float = 0.01, seed: int = 11) -> Network:
+def _numbered(examples: Iterable[tuple[int, str, int]]) -> tuple[dict[str, int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(number of each bare word, from 1; numbers of all words and a 0; words, document and label of each example).
+
+    Each distinct word is held once, and every other one is four bytes.
+    """
+    known: dict[str, int] = {}
+    numbers, length, doc, label = array("i"), array("q"), array("q"), array("f")
+    for number, text, y in examples:
+        before = len(numbers)
+        numbers.extend(known.setdefault(bare(w), len(known) + 1) for w in text.split())
+        length.append(len(numbers) - before)
+        doc.append(number)
+        label.append(y)
+    numbers.append(0)
+    return known, np.frombuffer(numbers, np.int32), np.array(length, np.int64), np.array(doc, np.int64), np.array(label, np.float32)
+
+
+def _documents_with(numbers: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray, words: int) -> np.ndarray:
+    """In how many documents each word is, by its number."""
+    found, order = np.zeros(words + 1, np.int64), np.argsort(doc, kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(doc[order])) + 1) if len(order) else []:
+        found[np.unique(np.concatenate([numbers[starts[i] : ends[i]] for i in own]))] += 1
+    return found
+
+
+def train(examples: Iterable[tuple[int, str, int]], shape: Shape = Shape(), *, passes: int = 7, batch: int = 512, steps: int = 100, rate: float = 0.01, seed: int = 11) -> Network:
     """Fit on (document number, window text, document label).
 
     A label says that some window of the document is toxic, not which. At first every window takes its document's label;
     after three passes, only the highest-scoring window of a toxic document keeps it, and the others are left out.
     Windows of other documents are examples of 0 all the time. Small sets are taken in smaller batches than ``batch``, so
-    that a pass has about ``steps`` steps.
+    that a pass has about ``steps`` steps. Examples are read once, and their texts are not kept.
     """
-    texts = [[bare(w) for w in text.split()] for _, text, _ in examples]
-    in_docs = Counter(w for _, w in {(d, w) for (d, _, _), words in zip(examples, texts) for w in words})
-    frequent = [w for w, n in sorted(in_docs.items(), key=lambda x: (-x[1], x[0])) if n >= shape.least_docs]
-    net = Network.fresh(shape, {w: i for i, w in enumerate(frequent[: shape.word_slots - 1], 1)}, seed)
-    known = {w: i for i, w in enumerate(dict.fromkeys(w for words in texts for w in words), 1)}  # 0 is no word
-    numbers = np.array([known[w] for words in texts for w in words], np.int64)
-    length = np.array([len(t) for t in texts], np.int64)
+    known, numbers, length, doc, label = _numbered(examples)
     ends = np.cumsum(length)
-    grid = _grid(numbers, ends - length, ends, shape) if len(numbers) else np.zeros((shape.window, len(texts)), np.int64)
-    doc = np.array([d for d, _, _ in examples], np.int64)
-    label = np.array([y for _, _, y in examples], np.float32)
+    starts = ends - length
+    in_docs = _documents_with(numbers, starts, ends, doc, len(known))
+    frequent = sorted((w for w, i in known.items() if in_docs[i] >= shape.least_docs), key=lambda w: (-in_docs[known[w]], w))
+    net = Network.fresh(shape, {w: i for i, w in enumerate(frequent[: shape.word_slots - 1], 1)}, seed)
     word_slot, char_slot, char_count = word_inputs(["", *known], net.vocabulary, shape)
     char_end = np.cumsum(char_count)
     adam, rng = _Adam(net.weights, rate), np.random.default_rng(seed)
 
     def gather(columns: np.ndarray):
-        used, back = np.unique(grid[:, columns], return_inverse=True)
+        grid = _grid(numbers, starts[columns], ends[columns], shape)
+        used, back = np.unique(grid, return_inverse=True)
         count = char_count[used]
         at = np.repeat(char_end[used] - count - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        return used, back.reshape(shape.window, len(columns)), char_slot[at], count
+        return used, back.reshape(grid.shape), char_slot[at], count, (grid > 0).astype(np.float32)
 
     def logits(columns: np.ndarray) -> np.ndarray:
-        used, place, chars, count = gather(columns)
-        return net.forward(net.embed(word_slot[used], chars, count)[place], (grid[:, columns] > 0).astype(np.float32))
+        used, place, chars, count, mask = gather(columns)
+        return net.forward(net.embed(word_slot[used], chars, count)[place], mask)
 
-    for turn in range(passes if len(examples) else 0):
-        chosen = np.arange(len(examples))
+    for turn in range(passes if len(doc) else 0):
+        chosen = np.arange(len(doc))
         if turn >= 3:
-            score = np.concatenate([logits(chosen[a : a + 4096]) for a in range(0, len(chosen), 4096)])
+            score = np.concatenate([logits(chosen[a : a + batch]) for a in range(0, len(chosen), batch)])
             order = np.lexsort((-score, doc))
             top = np.zeros(len(chosen), bool)
             top[order[np.unique(doc[order], return_index=True)[1]]] = True
@@ -233,8 +254,7 @@ def train(examples: list[tuple[int, str, int]], shape: Shape = Shape(), *, passe
         size = max(16, min(batch, len(chosen) // steps))
         for a in range(0, len(chosen), size):
             columns = chosen[a : a + size]
-            used, place, chars, count = gather(columns)
-            mask = (grid[:, columns] > 0).astype(np.float32)
+            used, place, chars, count, mask = gather(columns)
             logit, kept = net.forward(net.embed(word_slot[used], chars, count)[place], mask, keep=True)
             error = ((_sigmoid(logit) - label[columns]) / len(columns)).astype(np.float32)
             grad, d_x = net.backward(error, kept, mask)
@@ -292,7 +312,7 @@ class Scorer:
                 starts.append(base + start)
                 ends.append(base + min(start + shape.window, len(own)))
                 owner.append(i)
-        numbers = self._numbers(words)
+        numbers = np.append(self._numbers(words), 0)
         starts, ends, owner = np.array(starts, np.int64), np.array(ends, np.int64), np.array(owner, np.int64)
         best = np.full(len(texts), -np.inf)
         for a in range(0, len(starts), at_once):
@@ -325,6 +345,14 @@ def _cut(shape: Shape, most: int):
     return run
 
 
+def _in_order(rows: pa.Table, at_once: int = 1024) -> Iterator[tuple[int, str, int]]:
+    """(number, text, label) by number and text; only a few at a time are Python objects."""
+    order = pc.sort_indices(rows, [("number", "ascending"), ("text", "ascending")])
+    for a in range(0, len(order), at_once):
+        part = rows.take(order[a : a + at_once])
+        yield from zip(*(part[name].to_pylist() for name in ("number", "text", "label")))
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     *, shape: Shape = Shape(), most_toxic: int = 1200, most_clean: int = 3600, most_windows: int = 32, **training,
@@ -343,9 +371,8 @@ def fit(
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     chosen = source.join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     chosen = chosen.select(F.col("id").alias("number"), "text", "label")
-    rows = chosen.mapInPandas(_cut(shape, most_windows), "number long, text string, label int").toPandas()
-    rows = rows.sort_values(["number", "text"], kind="stable")
-    return train(list(zip(rows["number"], rows["text"], rows["label"])), shape, **training)
+    rows = chosen.mapInPandas(_cut(shape, most_windows), "number long, text string, label int")
+    return train(_in_order(rows.toArrow()), shape, **training)
 
 
 def _scored(net: Network):

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -256,3 +257,33 @@ def test_training_windows_hold_whole_words():
 
 def test_training_takes_no_examples():
     assert Scorer(train([], SMALL)).scores(["x", ""]).shape == (2,)
+
+
+def test_training_holds_a_few_bytes_a_word():
+    """Most of the driver's memory were the words of all windows, each a string, and their pairs with documents."""
+    words = [f"word{i}" for i in range(2000)]
+    rng = np.random.default_rng(5)
+    examples = [(i // 8, " ".join(words[k] for k in rng.integers(0, len(words), 32)), i // 8 % 2) for i in range(1600)]
+
+    def most(n):
+        tracemalloc.start()
+        train(examples[:n], batch=32, steps=1, passes=4)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return peak
+
+    most(100)
+    assert most(1600) - most(400) < 20 * 32 * 1200
+
+
+def test_vocabulary_has_words_of_enough_documents():
+    texts = ["a b b ... c", "a (b) zz", "a c c", "b ,a c", "", "... d d d d"]
+    examples = [(doc, texts[k], k % 2) for doc in (9, -3, 9, 4, 2**40) for k in (doc % 6, (doc + 2) % 6, 0)]
+    docs = {}
+    for doc, text, _ in examples:
+        docs.setdefault(doc, set()).update(bare(w) for w in text.split())
+    count = Counter(w for own in docs.values() for w in own)
+    for least in (1, 2, 4):
+        wanted = sorted((w for w in count if count[w] >= least), key=lambda w: (-count[w], w))
+        shape = Shape(window=2, stride=1, least_docs=least, word_slots=6)
+        assert train(iter(examples), shape, passes=0).vocabulary == {w: i for i, w in enumerate(wanted[:5], 1)}
